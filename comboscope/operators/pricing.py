@@ -48,7 +48,7 @@ def price_ladder(params: DataFrame, step: float = 0.98, floors: dict[str, float]
     steps = F.ceil(F.log(F.col("cost") / F.col("retail_price")) / F.log(F.lit(step))).cast("int")
     raw = F.transform(F.sequence(F.lit(0), F.greatest(steps, F.lit(0))), lambda k: F.col("retail_price") * F.pow(F.lit(step), k))
     above = F.filter(raw, lambda x: x > F.col("cost"))
-    rounded = sellable.withColumn("_l", F.transform(above, half_even))
+    rounded = sellable.withColumn("_l", F.transform(above, lambda x: half_even(x)))
     floor = F.coalesce(_lookup(floors, F.col("product_desc")), F.col("cost"))
     trimmed = F.when(F.element_at("_l", -1) <= floor, F.slice("_l", 1, F.size("_l") - 1)).otherwise(F.col("_l"))
     return rounded.select(*PRODUCT, F.posexplode(trimmed).alias("k", "price"))

@@ -84,7 +84,7 @@ def main():
         try:
             out = compare(spark, con, sf_dir, name, fn, oracles.get(name))
         except Exception as e:  # report and go on with the other queries
-            out = f"MISMATCH error {type(e).__name__}: {str(e)[:1500]}"
+            out = f"MISMATCH error {type(e).__name__}: {str(e)[:400]}"
         bad += out.startswith("MISMATCH")
         print(f"{name:32s} {time.time() - t:6.1f}s {out}", flush=True)
     print(f"{bad} bad")

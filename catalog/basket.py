@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from catalog.registry import query, r
-from catalog.relational import basket_long_rows, detail
+from catalog.relational import basket_long_rows, documents
 from catalog.views import items, product, with_views
 from comboscope.operators import baskets, cleaning, rules, transactions
 
@@ -16,8 +16,7 @@ KEY = ["transaction_uid"]
     SELECT h.transaction_uid, i.fine AS item, SUM(i.quantity_sold) AS quantity
     FROM headers h JOIN items i USING (transaction_uid) WHERE i.quantity_sold >= 0 GROUP BY 1, 2"""))
 def basket_long(spark, sf):
-    docs = transactions.transaction_documents(detail(spark, sf, "fine"))
-    return baskets.basket_rows(transactions.document_lines(docs), KEY)
+    return baskets.basket_rows(transactions.document_lines(documents(spark, sf, "fine")), KEY)
 
 
 @query("basket_food_semi", with_views("items", """

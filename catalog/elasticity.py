@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog.registry import query, r
 from catalog.views import brand_number, items, with_views
+from comboscope.functions.storage import written
 from comboscope.operators import correlation, elasticity, linreg, series
 
 
@@ -67,6 +68,11 @@ def weekly(spark, sf):
     return elasticity.log_sales(elasticity.with_week_calendar(labelled(spark, sf)))
 
 
+def stored_weekly(spark, sf):
+    """Weekly logs for queries that read them more than once."""
+    return written(weekly(spark, sf), "log-sales")
+
+
 @query("weighted_logs", with_views("items series_coarse", WEEKS + """
     SELECT category, product_desc, wk_year, wk_month, week_of_year, ROUND(log_qty, 9) AS log_qty,
         ROUND(log_price, 9) AS log_price FROM logs"""))
@@ -181,7 +187,7 @@ def competitors(spark, sf):
     FROM logs l LEFT JOIN p ON p.item = l.product_desc LEFT JOIN logs o ON o.product_desc = p.other
         AND o.wk_year = l.wk_year AND o.wk_month = l.wk_month AND o.week_of_year = l.week_of_year"""))
 def competitor_prices(spark, sf):
-    logs = weekly(spark, sf)
+    logs = stored_weekly(spark, sf)
     chosen = correlation.choose_competitors(correlation.price_correlations(logs), 1, 0.02, 0.9)
     out, _ = elasticity.with_competitor_prices(logs, logs, chosen, slots=1)
     return out.select("product_desc", "wk_year", "wk_month", "week_of_year", "n_competitors", r("log_price_competitor_1", 9))
@@ -217,7 +223,7 @@ def _season_sql() -> str:
 @query("seasonal_residuals", with_views("items series_coarse", WEEKS + _season_sql() + """
     SELECT product_desc, wk_year, wk_month, week_of_year, ROUND(res, 6) AS residuals FROM f5"""))
 def seasonal_residuals(spark, sf):
-    out = elasticity.seasonal_residuals(weekly(spark, sf))
+    out = elasticity.seasonal_residuals(stored_weekly(spark, sf))
     return out.select("product_desc", "wk_year", "wk_month", "week_of_year", r("residuals"))
 
 
@@ -232,7 +238,7 @@ def seasonal_residuals(spark, sf):
         FROM w GROUP BY 1)
     SELECT product_desc, ROUND(b, 5) AS elasticity, ROUND(b / sqrt((syy - b * sxy) / (n - 2) / sxx), 4) AS t FROM m"""))
 def elasticity_own_price(spark, sf):
-    out = elasticity.product_elasticities(elasticity.seasonal_residuals(weekly(spark, sf)), ["log_price"])
+    out = elasticity.product_elasticities(elasticity.seasonal_residuals(stored_weekly(spark, sf)), ["log_price"])
     return out.select("product_desc", r("elasticity", 5), r("t", 4))
 
 

@@ -134,8 +134,10 @@ def deduped_sales(spark, sf):
             .groupBy("business_date").agg(F.count("*").alias("n"), F.sum("quantity_sold").alias("qty")))
 
 
-def detail(spark, sf, desc: str = "coarse"):
-    return transactions.transaction_lines(headers(spark, sf), items(spark, sf), product(spark, sf, desc), promotion(spark))
+def documents(spark, sf, desc: str = "coarse"):
+    sold = items(spark, sf)
+    lines = transactions.transaction_lines(headers(spark, sf), sold, product(spark, sf, desc), promotion(spark))
+    return transactions.transaction_documents(lines, transactions.oversized_transactions(sold))
 
 
 @query("transaction_documents", with_views("items headers", """
@@ -154,7 +156,7 @@ def detail(spark, sf, desc: str = "coarse"):
         SUM(q) AS sales_vol, YEAR(business_date) AS year, MONTH(business_date) AS month, WEEKOFYEAR(business_date) AS week
     FROM lines GROUP BY transaction_uid, business_date, site_number"""))
 def transaction_documents(spark, sf):
-    docs = transactions.transaction_documents(detail(spark, sf))
+    docs = documents(spark, sf)
 
     def joined(field: str, cast: str = "string"):
         return F.array_join(F.transform("lines", lambda x: x[field].cast(cast).cast("string")), ";")

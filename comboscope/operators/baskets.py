@@ -33,9 +33,10 @@ def basket_pivot(rows: DataFrame, items: list[str], key: list[str] = TXN_KEY) ->
 
 
 def baskets(rows: DataFrame, dropped: list = BASKET_DROP_ITEMS, key: list[str] = TXN_KEY) -> DataFrame:
-    """Distinct bought items per transaction. A basket is at most the item catalogue long."""
+    """Distinct bought items per transaction. Repeats collapse before the shuffle, so a basket is at
+    most as long as the item catalogue."""
     bought = rows.where((F.col("quantity") > 0) & not_in("item", dropped))
-    return bought.select(*key, "item").distinct().groupBy(*key).agg(F.sort_array(F.collect_list("item")).alias("items"))
+    return bought.groupBy(*key).agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
 def item_totals(rows: DataFrame) -> DataFrame:
@@ -83,7 +84,9 @@ def frequent_itemsets(carts: DataFrame, min_support: float = 0.01, items_column:
     if total == 0:
         return carts.sparkSession.createDataFrame([], "items array<string>, freq bigint, support double")
     found = FPGrowth(itemsCol="items", minSupport=min_support).fit(carts).freqItemsets
-    return found.select(F.array_sort("items").alias("items"), "freq", (F.col("freq") / F.lit(total)).alias("support"))
+    # The model mines again whenever its itemsets are read, and rules read them three times.
+    return written(found.select(F.array_sort("items").alias("items"), "freq",
+                                (F.col("freq") / F.lit(total)).alias("support")), "itemsets")
 
 
 def frequent_itemsets_by_chunk(carts: DataFrame, min_support: float = 0.01, chunks: int = 2, seed: int = 42,

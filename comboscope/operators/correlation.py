@@ -98,6 +98,7 @@ def quantity_correlations(series: DataFrame, align: str = "ordinal", anchor: str
     if align != "ordinal":
         raise ValueError("align must be 'ordinal' or 'date'")
     placed = with_ordinal(series.where(F.col("product_desc").isNotNull()))
+    placed = written(placed.select("product_desc", "business_date", "ordinal", "quantity_sold"), "ordinals")
     if anchor is None:
         first = placed.agg(F.min(F.struct("business_date", "product_desc")).alias("f")).first().f
         anchor = first.product_desc if first else None

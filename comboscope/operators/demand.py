@@ -36,7 +36,7 @@ def demand_features(series: DataFrame, edges: DataFrame, lags: int = 8) -> tuple
     kept = with_price_lags(series.select("business_date", *PRODUCT, "quantity_sold", "price"), lags)
     rows = written(kept.select(*PRODUCT, "business_date", "quantity_sold", "price", "price_lag_3")
                    .withColumn("year", F.year("business_date")).withColumn("month", F.month("business_date")), "demand-rows")
-    cross = cross_prices(rows, series, edges).withColumn("other_price", finite("other_price"))
+    cross = written(cross_prices(rows, series, edges).withColumn("other_price", finite("other_price")), "cross-prices")
     sizes = rows.groupBy(*PRODUCT).agg(F.count("*").alias("n"), *[
         (F.count(finite(c)) == F.count("*")).alias(f"has_{c}") for c in ("price", "price_lag_3")])
     complete = cross.groupBy(*PRODUCT, "other").agg(F.count("other_price").alias("n")).join(sizes, [*PRODUCT, "n"], "left_semi")

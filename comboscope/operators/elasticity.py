@@ -180,7 +180,8 @@ def elasticity_tables(sales: DataFrame, years: list[int] | None = [2022, 2023, 2
                       threshold: float = 0.8, time: str = "W", min_corr: float = 0.2, max_inter_corr: float = 0.9,
                       method: str = "ols", winsor: float | None = 0.05) -> tuple[DataFrame, DataFrame]:
     """The whole study: (elasticity per product, weighted elasticity per category and label)."""
-    kept = written(covered_sales(with_week_calendar(sales), years, presence, threshold, time), "covered-sales")
+    dated = written(with_week_calendar(sales), "dated-sales")
+    kept = written(covered_sales(dated, years, presence, threshold, time), "covered-sales")
     logs = written(log_sales(kept, time), "log-sales")
     competitors = choose_competitors(price_correlations(logs, "product", time), 3, min_corr, max_inter_corr)
     rows, names = with_competitor_prices(seasonal_residuals(logs, time), logs, competitors, 3, time)

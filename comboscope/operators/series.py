@@ -85,6 +85,7 @@ def product_universe(primary: DataFrame, secondary: DataFrame, cuts: tuple[float
                      prefix: str | None = SERIES_DROP_PREFIX, names: list = SERIES_DROP_ITEMS,
                      jump_date: str = JUMP_DATE, jump_factor: float = 2.0) -> DataFrame:
     """Primary series plus the best sellers of the secondary one, unwanted names and jumps removed."""
+    primary, secondary = written(primary, "primary-series"), written(secondary, "secondary-series")
     extra = secondary.join(primary.select("product_desc").distinct(), "product_desc", "left_anti")
     extra = extra.join(quantile_cascade(extra, cuts).select("product_desc"), "product_desc", "left_semi")
     both = drop_named(union_all([primary, extra]), "product_desc", prefix, names)

@@ -37,25 +37,37 @@ def transaction_lines(headers: DataFrame, items: DataFrame, product: DataFrame,
             .where(not_in("category_desc", excluded_categories)))
 
 
-def transaction_documents(lines: DataFrame, key: list[str] = ["transaction_uid"], line_order: str = "line_seq",
-                          max_lines: int = 100_000) -> DataFrame:
+def oversized_transactions(items: DataFrame, key: list[str] = ["transaction_uid"], max_lines: int = 100_000) -> DataFrame | None:
+    """Transactions of more than ``max_lines`` raw lines with the pages they need, or None.
+
+    Later filters only remove lines, so the raw count is an upper bound and one narrow pass will do.
+    """
+    sizes = items.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_lines)
+    long = written(sizes.select(*key, F.ceil(F.col("_n") / F.lit(max_lines)).cast("int").alias("pages")), "long-transactions")
+    return None if long.isEmpty() else long
+
+
+def transaction_documents(lines: DataFrame, oversized: DataFrame | None = None, key: list[str] = ["transaction_uid"],
+                          line_order: str = "line_seq") -> DataFrame:
     """One row per transaction with its lines as an ordered array of structs.
 
-    Site and date come from the earliest header row. A transaction of more than ``max_lines`` lines
-    is laid out in several pages (``page`` of ``pages``) chosen by a hash of the line, so no task
-    has to hold an oversized list; ``sales_vol`` is always the whole transaction's volume.
+    Site and date come from the earliest header row. A transaction listed in ``oversized`` is laid
+    out over several pages (``page`` of ``pages``) chosen by a hash of the line, so no task has to
+    hold an unbounded list; ``sales_vol`` is the whole transaction's volume on each of its pages.
     """
-    sizes = lines.groupBy(*key).agg(F.count("*").alias("_n"), F.sum("quantity_sold").alias("_vol"))
-    long = written(sizes.where(F.col("_n") > max_lines), "long-transactions")
-    pages = F.coalesce(F.ceil(F.col("_n") / F.lit(max_lines)), F.lit(1)).cast("int")
     line = F.struct(line_order, *LINE_FIELDS)
-    paged = (lines.join(long, key, "left").withColumn("pages", pages)
-             .withColumn("page", F.when(F.col("pages") == 1, 0).otherwise(
-                 F.pmod(F.xxhash64(line), F.col("pages")).cast("int"))))
+    volume = F.coalesce(F.sum("quantity_sold"), F.lit(0.0))
+    if oversized is None:
+        paged = lines.withColumn("pages", F.lit(1)).withColumn("page", F.lit(0))
+    else:
+        totals = lines.join(oversized, key, "left_semi").groupBy(*key).agg(F.sum("quantity_sold").alias("_vol"))
+        marks = written(oversized.join(totals, key), "long-volumes")
+        page = F.pmod(F.xxhash64(line), F.col("pages")).cast("int")
+        paged = lines.join(marks, key, "left").na.fill(1, ["pages"]).withColumn("page", page)
+        volume = F.coalesce(F.max("_vol"), volume)
     docs = paged.groupBy(*key, "page", "pages").agg(
         F.min(F.struct("business_date", "site_number")).alias("_head"),
-        F.array_sort(F.collect_list(line)).alias("lines"),
-        F.coalesce(F.max("_vol"), F.sum("quantity_sold"), F.lit(0.0)).alias("sales_vol"))
+        F.array_sort(F.collect_list(line)).alias("lines"), volume.alias("sales_vol"))
     date = F.col("_head.business_date")
     return docs.select(*key, "page", "pages", date.alias("business_date"),
                        F.col("_head.site_number").alias("site_number"), "lines", "sales_vol",

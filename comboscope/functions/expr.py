@@ -11,6 +11,11 @@ def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def named(name: str) -> Column:
+    """The column of exactly this name, dots and spaces included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def half_even(c: Column | str, digits: int = 2) -> Column:
     """Round by scaling and rounding half to even, as array libraries do (0.125 -> 0.12)."""
     scale = F.lit(float(10**digits))

@@ -46,7 +46,7 @@ def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame
     return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
-def any_of(columns: list[str]) -> Column:
+def any_of(columns: list[Column | str]) -> Column:
     """Largest of several 0/1 flags, ignoring nulls."""
     return F.greatest(*[col(c) for c in columns]) if len(columns) > 1 else col(columns[0])
 

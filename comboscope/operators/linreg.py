@@ -96,36 +96,31 @@ def merge_moments(parts: list[dict], drop: int | None = None) -> dict:
 def least_squares(m: dict) -> dict:
     """Smallest-norm least squares. A regressor that is constant and not zero stands in for the
     intercept, which is then not added."""
-    p, n, mx = len(m["mx"]), m["n"], m["mx"]
-    fixed = (m["lo"] == m["hi"]) & (m["lo"] != 0)
-    c = np.where(m["lo"] == m["hi"], 0.0, m["cxx"].diagonal())
-    scale = np.where(c > 0, np.sqrt(np.where(c > 0, c, 1.0)), 0.0)
-    live = scale > 0
-    s = np.where(live, scale, 1.0)
-    corr = np.where(np.outer(live, live), m["cxx"] / np.outer(s, s), 0.0)
-    values, vectors = np.linalg.eigh(corr)
-    real = values > RANK_TOL * max(values.max(initial=0.0), 1e-300)
-    inverse = (vectors[:, real] / values[real]) @ vectors[:, real].T
-    beta = inverse @ np.where(live, m["cxy"] / s, 0.0) / s
+    p, n = len(m["mx"]), m["n"]
+    live = (m["lo"] != m["hi"]) & (m["cxx"].diagonal() > 0)
+    fixed = ~live & (m["lo"] != 0)
+    c, cxy, mx = m["cxx"][np.ix_(live, live)], m["cxy"][live], m["mx"][live]
+    s = np.sqrt(c.diagonal())
+    values, vectors = np.linalg.eigh(c / np.outer(s, s))
+    real = values > RANK_TOL * values.max(initial=0.0)
+    inverse = (vectors[:, real] / values[real]) @ vectors[:, real].T / np.outer(s, s)
+    beta = inverse @ cxy
     weight = float(np.sum(m["lo"][fixed] ** 2)) if fixed.any() else 1.0
-    free = np.where(fixed, 0.0, mx)
-    # Directions the data cannot tell apart: take the smallest coefficients, intercept included.
-    null = (vectors[:, ~real] / s[:, None])[:, :] * (~fixed)[:, None]
-    if null.shape[1]:
-        stacked = np.vstack([null, free @ null / math.sqrt(weight)])
-        target = np.append(beta, -(m["my"] - free @ beta) / math.sqrt(weight))
+    if not real.all():
+        # Directions the data cannot tell apart: take the smallest coefficients, intercept included.
+        null = vectors[:, ~real] / s[:, None]
+        stacked = np.vstack([null, mx @ null / math.sqrt(weight)])
+        target = np.append(beta, -(m["my"] - mx @ beta) / math.sqrt(weight))
         beta = beta - null @ np.linalg.lstsq(stacked, target, rcond=None)[0]
-    level = m["my"] - free @ beta
-    rss = n * max(m["cyy"] - 2 * beta @ m["cxy"] + beta @ m["cxx"] @ beta, 0.0)
+    level = m["my"] - mx @ beta
+    rss = n * max(m["cyy"] - 2 * beta @ cxy + beta @ c @ beta, 0.0)
     rank = int(real.sum()) + 1
-    dof = n - rank
-    se = np.full(p, np.nan)
-    if dof > 0:
-        se = np.sqrt(np.maximum(rss / dof * inverse.diagonal() / n, 0.0)) / s
-        se[~live] = np.nan
-    beta = np.where(fixed, level * m["lo"] / weight, beta)
-    return {"intercept": 0.0 if fixed.any() else level, "has_const": not fixed.any(), "coef": beta, "se": se,
-            "rss": rss, "rank": rank, "dof": dof}
+    coef, se = np.where(fixed, level * m["lo"] / weight, 0.0), np.full(p, np.nan)
+    coef[live] = beta
+    if n > rank:
+        se[live] = np.sqrt(np.maximum(rss / (n - rank) * inverse.diagonal() / n, 0.0))
+    return {"intercept": 0.0 if fixed.any() else level, "has_const": not fixed.any(), "coef": coef, "se": se,
+            "rss": rss, "rank": rank, "dof": n - rank}
 
 
 def ridge(m: dict, lam: float) -> dict:

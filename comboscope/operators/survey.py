@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame, functions as F
 
 from comboscope.constants import SURVEY_COMBOS
-from comboscope.functions.expr import engagement_level
+from comboscope.functions.expr import engagement_level, named
 
 SEGMENT = ["rating_column", "spending", "engagement", "is_vege"]
 ROLLUPS = [
@@ -18,13 +18,13 @@ ROLLUPS = [
 
 def checkbox(c: str) -> Column:
     """'x' is 1 and empty is 0; numbers stay."""
-    return F.when(F.col(c) == "x", 1).when(F.col(c).isNull(), 0).otherwise(F.expr(f"try_cast(`{c}` AS int)"))
+    return F.when(named(c) == "x", 1).when(named(c).isNull(), 0).otherwise(named(c).try_cast("int"))
 
 
 def clean_survey(raw: DataFrame, item_columns: list[str], drop: list[str] = [], rename: dict[str, str] = {},
                  attention_column: str = "Attention", attention_answer: str = "Somewhat satisfied") -> DataFrame:
     """Attentive responses with the ticked items as one array."""
-    kept = raw.drop(*drop).where(F.col(attention_column) == attention_answer).withColumnsRenamed(rename)
+    kept = raw.drop(*drop).where(named(attention_column) == attention_answer).withColumnsRenamed(rename)
     names = [rename.get(c, c) for c in item_columns]
     ticked = F.array(*[F.when(checkbox(n) == 1, F.lit(n)) for n in names])
     return kept.withColumn("chosen_items", F.filter(ticked, lambda x: x.isNotNull())).drop(*names, attention_column)
@@ -52,9 +52,9 @@ def with_matches(survey: DataFrame, combos: dict[str, list[str]] = SURVEY_COMBOS
 
 def rating_rows(survey: DataFrame, ratings: dict[str, str], spending: str, vege: str) -> DataFrame:
     """Long ratings: ``ratings`` maps each rating column to its bundle's engagement column."""
-    cells = F.array(*[F.struct(F.lit(c).alias("rating_column"), F.col(c).cast("int").alias("rating"), F.col(e).alias("engagement"))
+    cells = F.array(*[F.struct(F.lit(c).alias("rating_column"), named(c).cast("int").alias("rating"), named(e).alias("engagement"))
                       for c, e in ratings.items()])
-    return survey.select(F.col(spending).alias("spending"), F.col(vege).alias("is_vege"), F.inline(cells))
+    return survey.select(named(spending).alias("spending"), named(vege).alias("is_vege"), F.inline(cells))
 
 
 def nps_counts(rating: str = "rating") -> list[Column]:
@@ -74,9 +74,9 @@ def nps_rollups(segments: DataFrame, rollups: list[list[str]] = ROLLUPS, segment
     """All roll-ups of the segments in one pass; ``rollup`` names the grouping of each row."""
     p, d = F.sum("promoters"), F.sum("detractors")
     total = p + F.sum("passives") + d
-    named = F.concat_ws(",", *[F.when(F.grouping(c) == 0, F.lit(c)) for c in segment])
+    rollup = F.concat_ws(",", *[F.when(F.grouping(c) == 0, F.lit(c)) for c in segment])
     return segments.groupingSets([tuple(g) for g in rollups], *segment).agg(
-        named.alias("rollup"), p.alias("promoters"), F.sum("passives").alias("passives"), d.alias("detractors"),
+        rollup.alias("rollup"), p.alias("promoters"), F.sum("passives").alias("passives"), d.alias("detractors"),
         total.alias("total_responses"), F.try_divide((p - d) * 100.0, total).alias("overall_nps"))
 
 

@@ -25,7 +25,7 @@ def corr_ordinal(spark, sf):
 
 
 @query("corr_by_date", with_views("items series_fine", """
-    SELECT a.product_desc AS item_a, b.product_desc AS item_b, ROUND(corr(a.quantity_sold, b.quantity_sold), 7) AS corr, COUNT(*) AS n
+    SELECT a.product_desc AS item_a, b.product_desc AS item_b, CASE WHEN NOT isnan(corr(a.quantity_sold, b.quantity_sold)) THEN ROUND(corr(a.quantity_sold, b.quantity_sold), 7) END AS corr, COUNT(*) AS n
     FROM series_fine a JOIN series_fine b ON a.business_date = b.business_date AND a.product_desc < b.product_desc GROUP BY 1, 2"""))
 def corr_by_date(spark, sf):
     out = correlation.quantity_correlations(series.daily_series(items(spark, sf, "fine")), "date")

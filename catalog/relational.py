@@ -136,8 +136,9 @@ def deduped_sales(spark, sf):
 
 def documents(spark, sf, desc: str = "coarse"):
     sold = items(spark, sf)
-    lines = transactions.transaction_lines(headers(spark, sf), sold, product(spark, sf, desc), promotion(spark))
-    return transactions.transaction_documents(lines, transactions.oversized_transactions(sold))
+    over = transactions.oversized_transactions(sold)
+    lines = transactions.transaction_lines(headers(spark, sf), sold, product(spark, sf, desc), promotion(spark), oversized=over)
+    return transactions.transaction_documents(lines, over)
 
 
 @query("transaction_documents", with_views("items headers", """

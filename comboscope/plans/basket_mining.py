@@ -17,8 +17,9 @@ def mine_baskets(headers: DataFrame, items: DataFrame, product: DataFrame, promo
     With ``chunks`` above 1 each chunk is mined apart and rules stay within their chunk.
     """
     sample = cleaning.sample_keys(sites, "site_number", n_sites, seed)
-    lines = transactions.transaction_lines(headers, items, product, promotion, sample, excluded_categories)
-    docs = transactions.transaction_documents(lines, transactions.oversized_transactions(items, key), key)
+    long = transactions.oversized_transactions(items, key)
+    lines = transactions.transaction_lines(headers, items, product, promotion, sample, excluded_categories, key=key, oversized=long)
+    docs = transactions.transaction_documents(lines, long, key)
     food = cleaning.items_outside(product, "department_desc", non_food)
     rows = baskets.baskets_with_any(baskets.basket_rows(transactions.document_lines(docs, key), key), food, key)
     carts = baskets.baskets(rows, dropped, key)

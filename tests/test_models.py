@@ -210,7 +210,7 @@ def test_infinite_price_removes_only_that_products_price(spark):
 
 def test_demo_split_and_variants(spark):
     sales = _demand_series(spark, 120)
-    for kw in ({}, {"link": "log", "time": "ar"}, {"mode": "multiplicative"}, {"method": "ridge"}):
+    for kw in ({}, {"link": "log", "time": "ar"}, {"mode": "multiplicative", "method": "ridge"}):
         m = demand.demand_model(sales, _edge(spark), purpose="demo", **kw)["metrics"].collect()
         assert sorted((r.product_desc, r.split) for r in m) == [("a", "test"), ("a", "train"), ("b", "test"), ("b", "train")]
         assert all(r.mape < 8 for r in m)

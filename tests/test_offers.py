@@ -123,8 +123,7 @@ def _check(got, want):
 
 
 @pytest.mark.parametrize("seed,low,high,negative,multi", [
-    (0, 2, 2, False, False), (1, 2, 3, False, False), (2, 2, 4, False, False), (4, 2, 3, False, False), (3, 2, 4, True, True),
-    (8, 3, 4, False, True), (9, 2, 4, True, False)])
+    (2, 2, 4, False, False), (4, 2, 3, False, False), (3, 2, 4, True, True), (8, 3, 4, False, True)])
 def test_best_bundles_match_exhaustive_search(spark, seed, low, high, negative, multi):
     inst = _instance(seed, n=10, negative=negative, multi=multi)
     profits, pairs, flags, categories = _frames(spark, inst)

@@ -128,8 +128,8 @@ def test_oversized_transactions_are_paged_whole(spark):
     items = items.unionByName(items.limit(2).withColumn("transaction_uid", F.lit("small")))
     _, _, _, promo = _transaction_inputs(spark)
     product = spark.range(n).selectExpr("id AS product_key", "concat('i', id) AS item_desc", "'c' AS category_desc", "'s' AS sub_category_desc")
-    lines = transactions.transaction_lines(headers, items, product, promo)
     over = transactions.oversized_transactions(items, max_lines=100)
+    lines = transactions.transaction_lines(headers, items, product, promo, oversized=over)
     docs = transactions.transaction_documents(lines, over).collect()
     big = [d for d in docs if d.transaction_uid == "big"]
     assert len(big) > 5 and all(d.pages == 10 and d.sales_vol == n for d in big)

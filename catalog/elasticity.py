@@ -227,7 +227,7 @@ def seasonal_residuals(spark, sf):
     return out.select("product_desc", "wk_year", "wk_month", "week_of_year", r("residuals"))
 
 
-@query("elasticity_own_price", with_views("items series_coarse", WEEKS + _season_sql() + """
+OWN_PRICE = WEEKS + _season_sql() + """
     , j AS (SELECT product_desc, log_price AS x, res AS y FROM logs JOIN f5 USING (product_desc, wk_year, wk_month, week_of_year)),
     rk AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_desc ORDER BY x) AS rx,
         ROW_NUMBER() OVER (PARTITION BY product_desc ORDER BY y) AS ry, COUNT(*) OVER (PARTITION BY product_desc) AS n FROM j),
@@ -235,13 +235,29 @@ def seasonal_residuals(spark, sf):
         MAX(CASE WHEN ry = floor(0.05 * n) + 1 THEN y END) AS yl, MAX(CASE WHEN ry = n - floor(0.05 * n) THEN y END) AS yh FROM rk GROUP BY 1),
     w AS (SELECT product_desc, greatest(least(x, xh), xl) AS x, greatest(least(y, yh), yl) AS y FROM j JOIN lim USING (product_desc)),
     m AS (SELECT product_desc, COUNT(*) AS n, regr_slope(y, x) AS b, regr_syy(y, x) AS syy, regr_sxy(y, x) AS sxy, regr_sxx(y, x) AS sxx
-        FROM w GROUP BY 1)
+        FROM w GROUP BY 1)"""
+
+
+@query("elasticity_own_price", with_views("items series_coarse", OWN_PRICE + """
     SELECT product_desc, ROUND(b, 5) AS elasticity, ROUND(b / sqrt((syy - b * sxy) / (n - 2) / sxx), 4) AS t FROM m"""))
 def elasticity_own_price(spark, sf):
     out = elasticity.product_elasticities(elasticity.seasonal_residuals(stored_weekly(spark, sf)), ["log_price"])
     return out.select("product_desc", r("elasticity", 5), r("t", 4))
 
 
+@query("weighted_elasticity", with_views("items series_coarse", OWN_PRICE + """
+    , sold AS (SELECT category, label, product_desc, SUM(quantity_sold) / SUM(SUM(quantity_sold)) OVER (PARTITION BY category, label) AS weight
+        FROM wk GROUP BY 1, 2, 3)
+    SELECT category, label, ROUND(SUM(weight * b), 5) AS weighted_elasticity, COUNT(DISTINCT product_desc) AS products
+    FROM sold LEFT JOIN m USING (product_desc) GROUP BY 1, 2"""))
+def weighted_elasticity(spark, sf):
+    sales = written(elasticity.with_week_calendar(labelled(spark, sf)), "dated-sales")
+    logs = written(elasticity.log_sales(sales), "log-sales")
+    each = elasticity.product_elasticities(elasticity.seasonal_residuals(logs), ["log_price"])
+    out = elasticity.weighted_elasticity(elasticity.product_weights(sales), each)
+    return out.withColumn("weighted_elasticity", r("weighted_elasticity", 5))
+
+
 def study(spark, sf, method="ols"):
     return elasticity.elasticity_tables(labelled(spark, sf), [1996, 1997, 1998], 3, 0.75, min_corr=0.05,
                                         max_inter_corr=0.10, method=method)

@@ -37,13 +37,16 @@ def moments(df: DataFrame, group: list[str], y: str, xs: list[str]) -> DataFrame
         F.array(*[F.min(c) for c in x]).alias("lo"), F.array(*[F.max(c) for c in x]).alias("hi"))
 
 
-def array_moments(df: DataFrame, group: list[str], y: str, x: str) -> DataFrame:
+def array_moments(df: DataFrame, group: list[str], y: str, x: str, spread: int = 8) -> DataFrame:
     """The same moments where each group has its own number of regressors, held in an array.
 
-    Batches are reduced where they lie and the partial moments of a group are then merged.
+    Rows of a group are brought together in ``spread`` places, so a large group is shared by
+    several tasks while a batch holds few groups. Each batch is reduced to one row of partial
+    moments per group, and those few rows are merged.
     """
     rows = df.select(*group, F.col(y).cast("double").alias("_y"), F.col(x).alias("_x"))
     rows = rows.where(F.col("_y").isNotNull() & ~F.exists("_x", lambda v: v.isNull() | F.isnan(v)))
+    rows = rows.repartition(*group, F.pmod(F.xxhash64("_y", "_x"), F.lit(spread))).sortWithinPartitions(*group)
     kinds = dict(rows.dtypes)
     schema = "".join(f"{g} {kinds[g]}, " for g in group) + MOMENT_TYPES
 

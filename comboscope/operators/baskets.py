@@ -55,6 +55,7 @@ def describe(df: DataFrame, column: str) -> DataFrame:
 
 def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
     """Rows per equal-width bin between minimum and maximum, the last bin closed; empty bins are 0."""
+    df = written(df.select(column), "histogram")
     lo, hi = df.agg(F.min(column).cast("double"), F.max(column).cast("double")).first()
     if lo is None:
         return df.sparkSession.createDataFrame([], "bin int, bin_start double, n bigint")
@@ -70,6 +71,7 @@ def histogram(df: DataFrame, column: str, bins: int = 50) -> DataFrame:
 
 def basket_matrix(rows: DataFrame, key: list[str] = TXN_KEY) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Sparse coordinates (row_id, col_id, quantity) with the item and transaction id tables."""
+    rows = written(rows, "basket-rows")
     items = dense_ids(rows, ["item"], "col_id")
     txns = dense_ids(rows, key, "row_id")
     cells = (rows.where(F.col("quantity") > 0).join(items, "item").join(txns, key)

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from comboscope.constants import BASKET_DROP_ITEMS, EXCLUDED_CATEGORIES, NON_FOOD_DEPARTMENTS
+from comboscope.functions.storage import written
 from comboscope.operators import baskets, cleaning, rules, transactions
 
 
@@ -21,7 +22,8 @@ def mine_baskets(headers: DataFrame, items: DataFrame, product: DataFrame, promo
     lines = transactions.transaction_lines(headers, items, product, promotion, sample, excluded_categories, key=key, oversized=long)
     docs = transactions.transaction_documents(lines, long, key)
     food = cleaning.items_outside(product, "department_desc", non_food)
-    rows = baskets.baskets_with_any(baskets.basket_rows(transactions.document_lines(docs, key), key), food, key)
+    sold = lines.select(*key, F.col("item_desc").alias("item"), F.col("quantity_sold").alias("quantity"))
+    rows = baskets.baskets_with_any(written(baskets.basket_rows(sold, key), "basket-rows"), food, key)
     carts = baskets.baskets(rows, dropped, key)
     if chunks > 1:
         found = baskets.frequent_itemsets_by_chunk(carts, min_support, chunks, key=key)

@@ -71,7 +71,7 @@ def near_edges(rows: DataFrame, key: str, near: Callable[[pd.DataFrame], np.ndar
     return together.mapInPandas(scan, f"a {kind}, b {kind}").distinct()
 
 
-def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 50) -> DataFrame:
+def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable from each node.
 
     Alternates large-star and small-star steps, which need a logarithmic number of rounds even for
@@ -79,14 +79,12 @@ def components(nodes: DataFrame, edges: DataFrame, max_rounds: int = 50) -> Data
     """
     pairs = edges.where(F.col("a") != F.col("b")).select(F.greatest("a", "b").alias("hi"), F.least("a", "b").alias("lo"))
     current, mark = written(pairs.distinct(), "components"), None
-    for _ in range(max_rounds):
+    while True:
         current = written(_small_star(_large_star(current)), "components")
         now = tuple(current.agg(F.count("*"), F.bit_xor(F.xxhash64("hi", "lo"))).first())
         if now == mark:
             break
         mark = now
-    else:
-        raise RuntimeError("components did not settle")
     roots = current.select(F.col("hi").alias("id"), F.col("lo").alias("component"))
     return nodes.select("id").join(roots, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 

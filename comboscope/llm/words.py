@@ -20,7 +20,10 @@ _INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
-    """The batches cut by the size of their texts; rows stay whole and in order."""
+    """The batches cut by the size of their texts; rows stay whole and in order.
+
+    Parts are copied, as some Arrow kernels misread arrays that begin inside another one's buffers.
+    """
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -29,7 +32,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK) ->
         while at < batch.num_rows:
             before = size[at - 1] if at else 0
             end = max(at + 1, int(np.searchsorted(size, before + limit, side="right")))
-            yield batch.slice(at, end - at)
+            yield batch.take(pa.array(np.arange(at, end)))
             at = end
 
 

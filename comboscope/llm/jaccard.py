@@ -228,7 +228,8 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str =
     named = usable.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("rep"))
     parts = rows.mapInArrow(_parts(k, percent), "part long, one long")
     shared = parts.groupBy("part").agg(F.min("one").alias("least"), F.max("one").alias("most")).where("least <> most").select("part", "least")
-    met = parts.join(shared, "part").where("one <> least").select(F.col("least").alias("a"), F.col("one").alias("b")).distinct()
+    # both sides grow with the table, so neither is to be broadcast because it happens to be small
+    met = parts.join(shared.hint("merge"), "part").where("one <> least").select(F.col("least").alias("a"), F.col("one").alias("b")).distinct()
     met = written(met, "met-sets")
     nodes = met.select(F.col("a").alias("id")).union(met.select(F.col("b").alias("id"))).distinct()
     groups = components(nodes, met).select(F.col("id").alias("one"), F.col("component").alias("group"))

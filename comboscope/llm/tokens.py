@@ -17,7 +17,7 @@ from comboscope.llm import words as W
 from comboscope.llm.packing import _byte_symbols
 
 #: Words, and parts of words, whose counts a Python worker remembers; others are counted again when they return.
-REMEMBERED = 500_000
+REMEMBERED = 800_000
 _CHUNK = 12 << 20
 
 
@@ -120,7 +120,10 @@ class PrefixCounter:
         return part if part.isascii() and part.isprintable() else "".join(self.symbol[b] for b in part.encode())
 
     def _normal(self, word: str) -> str:
-        return word.lower() if word.isascii() else self.library.normalizer.normalize_str(word)
+        # Latin letters below U+0250 need no composing and have one lower case each, but for dotted I
+        if word.isascii() or max(word) < "\u0250" and "\u0130" not in word:
+            return word.lower()
+        return self.library.normalizer.normalize_str(word)
 
     def _split(self, word: str) -> list[str]:
         """The parts of text without ASCII white space; special strings stay as they are."""

@@ -19,7 +19,7 @@ FREQUENT = 200_000
 #: Rounds of expectation-maximisation over the piece weights.
 ROUNDS = 2
 #: Words whose lattices are computed at once.
-_AT_ONCE = 20_000
+_AT_ONCE = 5_000
 _CHUNK = 16 << 20
 _START = "▁"
 
@@ -46,52 +46,74 @@ def _codes(texts: list[str]) -> np.ndarray:
     return np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
 
 
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+_SLOT = np.uint64(64 - 20)
+
+
 class Lattice:
     """Forward and backward sums over the segmentations of words, many words at a time."""
 
     def __init__(self, names: tuple[str, ...], weights: np.ndarray):
-        plain = [i for i, n in enumerate(names) if not (len(n) == 6 and n.startswith("<0x"))]
+        plain = np.array([i for i, n in enumerate(names) if not (len(n) == 6 and n.startswith("<0x"))])
         sizes = np.array([len(names[i]) for i in plain])
-        rolling = W.Rolling(W.mixed(_codes([names[i] for i in plain])))
-        ends = np.cumsum(sizes)
-        h = rolling.runs(ends - sizes, ends)
-        # tables addressed by some bits of the hash; pieces that meet in one are looked up in the next
-        self.tables, left = [], np.arange(len(h))
-        while len(left):
-            shift = np.uint64(46 - 9 * (len(self.tables) % 5))
-            slot = ((h[left] >> shift) & np.uint64((1 << 18) - 1)).astype(np.int64)
-            _, first = np.unique(slot, return_index=True)
-            hashes, piece = np.zeros(1 << 18, np.uint64), np.full(1 << 18, -1, np.int32)
-            hashes[slot[first]], piece[slot[first]] = h[left[first]], np.array(plain)[left[first]]
-            self.tables.append((shift, hashes, piece))
-            left = np.delete(left, first)
         self.longest = int(sizes.max())
+        h = np.zeros(len(plain), np.uint64)
+        for n in np.unique(sizes):
+            rows = np.nonzero(sizes == n)[0]
+            h[rows] = self._prefixes([names[plain[i]] for i in rows], int(n))[0][n]
         with np.errstate(divide="ignore"):
             self.log = np.log(weights)
+        # the first table has a piece in a slot; the others of that slot are looked up in a sorted list
+        slot = (h >> _SLOT).astype(np.int64)
+        _, first = np.unique(slot, return_index=True)
+        self.hash, self.piece = np.zeros(1 << 20, np.uint64), np.full(1 << 20, -1, np.int32)
+        self.hash[slot[first]], self.piece[slot[first]] = h[first], plain[first]
+        more = np.setdiff1d(np.arange(len(h)), first)
+        more = more[np.argsort(h[more])]
+        self.clash = np.zeros(1 << 20, bool)
+        self.clash[slot[more]] = True
+        self.more_hash, self.more_piece = np.append(h[more], np.uint64(0)), np.append(plain[more], -1)
+        self.more_hash[-1] = np.iinfo(np.uint64).max
         self.byte = [names.index(f"<0x{b:02X}>") for b in range(256)]
         self.log_byte = float(np.mean(self.log[self.byte]))
 
+    @staticmethod
+    def _prefixes(words: list[str], n: int) -> tuple[list[np.ndarray], np.ndarray]:
+        """Hash sums of the prefixes of words of n characters, and the characters by place."""
+        raw = _codes(words).reshape(len(words), n).T.copy()
+        sums, power = [np.zeros(len(words), np.uint64)], 1
+        for row in raw:
+            sums.append(sums[-1] + W.mixed(row) * np.uint64(power))
+            power = power * _BASE % (1 << 64)
+        return sums, raw
+
     def _find(self, h: np.ndarray) -> np.ndarray:
         """The piece of each hash, or -1."""
-        out = np.full(len(h), -1, np.int32)
-        for shift, hashes, piece in self.tables:
-            slot = ((h >> shift) & np.uint64((1 << 18) - 1)).astype(np.int64)
-            out = np.where(hashes[slot] == h, piece[slot], out)
+        slot = (h >> _SLOT).astype(np.int64)
+        out = np.where(self.hash[slot] == h, self.piece[slot], -1)
+        again = np.nonzero(self.clash[slot])[0]
+        if len(again):
+            at = np.searchsorted(self.more_hash[:-1], h[again])
+            hit = self.more_hash[at] == h[again]
+            out[again[hit]] = self.more_piece[at[hit]]
         return out
 
     def _arcs(self, words: list[str], n: int) -> Iterator[tuple[int, list[tuple[int, np.ndarray, np.ndarray]], np.ndarray]]:
         """(to, [(from, piece or -1, log weight)], bytes of the last character) for words of n characters, the word mark first."""
-        raw = _codes(words)
-        rolling, base = W.Rolling(W.mixed(raw)), np.arange(len(words)) * n
-        width = 1 + (raw > 0x7F).astype(int) + (raw > 0x7FF) + (raw > 0xFFFF)
+        sums, raw = self._prefixes(words, n)
+        inverse = [np.uint64(pow(_INVERSE, i, 1 << 64)) for i in range(n)]
+        log = np.append(self.log, -np.inf)  # piece -1 has the last entry
         for j in range(1, n + 1):
-            arcs = []
+            arcs, last = [], raw[j - 1]
+            width = 1 + (last > 0x7F).astype(int) + (last > 0x7FF) + (last > 0xFFFF)
             for i in range(max(0, j - self.longest), j):
-                piece = self._find(rolling.runs(base + i, base + j))
-                single = self.log_byte * width[base + i] if i == j - 1 else -np.inf
-                if i == j - 1 or (piece >= 0).any():
-                    arcs.append((i, piece, np.where(piece >= 0, self.log[piece], single)))
-            yield j, arcs, width[base + j - 1]
+                piece = self._find((sums[j] - sums[i]) * inverse[i])
+                if i == j - 1:
+                    arcs.append((i, piece, np.where(piece >= 0, log[piece], self.log_byte * width)))
+                elif piece.max() >= 0:
+                    arcs.append((i, piece, log[piece]))
+            yield j, arcs, width
 
     def _groups(self, words: list[str]) -> Iterator[tuple[np.ndarray, list[str], int]]:
         sizes = np.array([len(w) + 1 for w in words])
@@ -142,7 +164,21 @@ def _log_sum(terms: list[np.ndarray]) -> np.ndarray:
         return np.array(-np.inf)
     x = np.stack(terms)
     most = x.max(0)
-    return np.where(np.isfinite(most), np.where(np.isfinite(most), most, 0) + np.log(np.exp(x - np.where(np.isfinite(most), most, 0)).sum(0).clip(min=1e-300)), -np.inf)
+    safe = np.maximum(most, -1e300)
+    return most + np.log(np.maximum(np.exp(x - safe).sum(0), 1e-300))
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 100_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in larger batches."""
+    held, n = [], 0
+    for batch in batches:
+        held.append(batch)
+        n += batch.num_rows
+        if n >= rows:
+            yield pa.concat_batches(held)
+            held, n = [], 0
+    if n:
+        yield pa.concat_batches(held)
 
 
 def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,7 +195,7 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _expectation(names: tuple[str, ...], weights: np.ndarray):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, total = Lattice(names, weights), np.zeros(len(names))
-        for batch in batches:
+        for batch in _gathered(batches):
             words = batch["word"].to_pylist()
             total += lattice.expected(words, len(names))
         some = np.nonzero(total)[0]
@@ -182,8 +218,7 @@ def learn_weights(words: DataFrame, path: str, rounds: int = ROUNDS) -> np.ndarr
 def _lattice_scores(names: tuple[str, ...], weights: np.ndarray):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice = Lattice(names, weights)
-        # a word is one piece with the word mark and any number without: their weights must sum to 1 apart from the end
-        for batch in batches:
+        for batch in _gathered(batches):
             yield pa.RecordBatch.from_arrays([batch["word"], batch["n"], pa.array(lattice.log_probability(batch["word"].to_pylist()))], ["word", "n", "lattice"])
     return scan
 

@@ -14,11 +14,13 @@ from comboscope.llm import words as W
 from comboscope.operators.clusters import components
 
 #: Texts that meet in one task; larger groups are cut into blocks that meet in pairs.
-BLOCK = 1024
+BLOCK = 4096
 #: Bits of a signature, and children of a tree node.
 BITS, FANOUT = 4096, 8
 #: Set sizes up to this factor apart share their number of parts.
 CLASS = 1.5
+#: Chance at most that large sets just similar enough are not brought together.
+MISS = 1e-9
 
 
 def shingle_sets(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -65,15 +67,28 @@ def _class(n: np.ndarray) -> np.ndarray:
     return np.floor(np.log(np.maximum(n, 1)) / np.log(CLASS) + 1e-9).astype(np.int64)
 
 
+def _enough(differ: float) -> float:
+    """Parts of which sets that differ in so many shingles agree in one, but for a chance below ``MISS``."""
+    for k in range(2, int(differ) + 1):
+        if k * np.log1p(-((1 - 1 / k) ** differ)) <= np.log(MISS):
+            return k
+    return np.inf
+
+
 def _shape(c: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """Parts of size class ``c``, and how many of them may be empty.
 
-    Sets that link differ in at most (1 - t) / (1 + t) * (|a| + |b|) shingles. With so many parts and as many
-    more as may be empty, they agree in a part that is not.
+    Sets that link differ in at most (1 - t) / (1 + t) * (|a| + |b|) shingles. With one part more, and as many
+    as may be empty, they agree in a part that is not. Shingles fall into parts by hash, so where they are
+    many, fewer and larger parts do as well.
     """
-    differ = np.floor(2 * np.ceil(CLASS ** (c + 1.0)) * (100 - percent) / (100 + percent) + 1e-9)
-    empty = 1 + np.ceil(2 * differ * np.exp(-(CLASS ** c.astype(float)) / (differ + 1)))
-    return (differ + 1 + empty).astype(np.int64), empty.astype(np.int64)
+    kinds, at = np.unique(c, return_inverse=True)
+    differ = np.floor(2 * np.ceil(CLASS ** (kinds + 1.0)) * (100 - percent) / (100 + percent) + 1e-9)
+    empty = 1 + np.ceil(2 * differ * np.exp(-(CLASS ** kinds.astype(float)) / (differ + 1)))
+    fewer = np.array([_enough(d) for d in differ])
+    sure = fewer >= differ + 1 + empty
+    count = np.where(sure, differ + 1 + empty, fewer)
+    return count.astype(np.int64)[at], np.where(sure, empty, count).astype(np.int64)[at]
 
 
 def _parts(k: int, percent: int):
@@ -213,15 +228,15 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str =
     must agree in one; sets that agree in a part form candidate groups, which are much smaller than the table.
     Within a group, the sets' signature trees are traversed against each other, node pairs that cannot
     reach the similarity are dropped, and what is left is verified on the sets themselves unless
-    it is connected already. Groups of many sets are cut into blocks that meet in pairs; no pairs leave
-    a task, only edges that connect what it found.
+    it is connected already. Groups of many sets are cut by size and then into blocks that meet in pairs; no
+    pairs leave a task, only edges that connect what it found.
 
     Texts of fewer than ``k`` words are one shingle; null and empty texts have none and link with nothing. Rows
     with null ids return with their size, unlinked; rows of one id are linked through it. Other columns are
     ignored; an empty table gives an empty result.
     """
-    if percent * CLASS < 100:
-        raise ValueError(f"percent must be at least {100 / CLASS:.0f}")
+    if not 100 <= percent * CLASS < 100 * CLASS:
+        raise ValueError(f"percent must be from {100 / CLASS:.0f} to 99")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     sets = written(rows.mapInArrow(_sets(k), "doc_id long, n_shingles long, one long, two long"), "sets")
     usable = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
@@ -233,12 +248,17 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str =
     met = written(met, "met-sets")
     nodes = met.select(F.col("a").alias("id")).union(met.select(F.col("b").alias("id"))).distinct()
     groups = components(nodes, met).select(F.col("id").alias("one"), F.col("component").alias("group"))
-    members = named.join(groups, "one").select("rep", "group")
-    sizes = members.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
-    members = written(members.join(sizes.drop("n"), "group").withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int")), "members")
+    members = named.join(groups, "one").select("rep", "group", "n_shingles")
+    sizes = members.groupBy("group").agg(F.count("*").alias("n")).where("n > 1")
+    # groups of more than a block are cut by size first: linked sets are of one or of neighbouring classes
+    own = F.floor(F.log("n_shingles") / F.log(F.lit(100 / percent)) + 1e-9).cast("int")
+    members = members.join(sizes, "group").withColumn("class", F.explode(F.when(F.col("n") > BLOCK, F.array(own, own + 1)).otherwise(F.array(F.lit(0)))))
+    members = written(members.select("rep", "group", "class"), "members")
+    blocks = members.groupBy("group", "class").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    members = members.join(blocks, ["group", "class"]).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
     parted = (rows.join(members, rows.doc_id == members.rep).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("group", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc_id", "text"))
-    edges = parted.groupBy("group", "lo", "hi").applyInArrow(_linked(k, percent), "a long, b long").distinct()
+              .select("group", "class", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc_id", "text"))
+    edges = parted.groupBy("group", "class", "lo", "hi").applyInArrow(_linked(k, percent), "a long, b long").distinct()
     same = usable.join(named, ["one", "two", "n_shingles"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
     found = components(sets.where("doc_id is not null").select(F.col("doc_id").alias("id")).distinct(), written(edges.union(same), "near-edges"))
     return sets.join(found, sets.doc_id == found.id, "left").select(sets.doc_id, "n_shingles", F.col("component").alias("component_id"))

@@ -18,6 +18,8 @@ from comboscope.llm import words as W
 
 #: Documents in a fitted pattern, at most. The rest is packed by best fit, with no limit.
 PATTERN_SIZE = 3
+#: Share of a sequence that a fitted pattern must fill.
+FILLED = 0.998
 #: Lengths tried as the least one of three; all pairs are tried.
 LEAST_LENGTHS = 24
 #: Steps of the least-squares fit.
@@ -134,7 +136,8 @@ def _fitted(hist: np.ndarray, limit: int) -> list[tuple[tuple[int, ...], int]]:
     rows = _patterns(limit, hist)
     used = rows > 0
     full = rows.sum(1) / limit
-    rows, used, full = rows[full > 0.97], used[full > 0.97], full[full > 0.97]
+    tight = full >= FILLED
+    rows, used, full = rows[tight], used[tight], full[tight]
     if not len(rows):
         return []
     h = hist.astype(float)
@@ -182,8 +185,8 @@ def _best_fit(hist: np.ndarray, limit: int) -> list[tuple[tuple[int, ...], int]]
                 spaces[space] = bool(free[space])
             else:
                 space, pattern, n = limit, (), todo
-            # as many of this length as fit side by side, in as many sequences as there are documents for
-            each = min(space // length, max(todo // n, 1))
+            # the sequence just filled fits best until it is full, so documents of one length stand side by side
+            each = min(space // length, todo)
             used = min(n, todo // each)
             if used < n and pattern:
                 free.setdefault(space, []).append((pattern, n - used))

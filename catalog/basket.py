@@ -16,7 +16,7 @@ KEY = ["transaction_uid"]
     SELECT h.transaction_uid, i.fine AS item, SUM(i.quantity_sold) AS quantity
     FROM headers h JOIN items i USING (transaction_uid) WHERE i.quantity_sold >= 0 GROUP BY 1, 2"""))
 def basket_long(spark, sf):
-    return baskets.basket_rows(transactions.document_lines(documents(spark, sf, "fine")), KEY)
+    return baskets.basket_rows(transactions.document_lines(documents(spark, sf, "fine"), ["transaction_uid"]), KEY)
 
 
 @query("basket_food_semi", with_views("items", """

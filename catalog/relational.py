@@ -136,9 +136,8 @@ def deduped_sales(spark, sf):
 
 def documents(spark, sf, desc: str = "coarse"):
     sold = items(spark, sf)
-    over = transactions.oversized_transactions(sold)
-    lines = transactions.transaction_lines(headers(spark, sf), sold, product(spark, sf, desc), promotion(spark), oversized=over)
-    return transactions.transaction_documents(lines, over)
+    lines = transactions.transaction_lines(headers(spark, sf), sold, product(spark, sf, desc), promotion(spark), key=["transaction_uid"])
+    return transactions.transaction_documents(lines, ["transaction_uid"])
 
 
 @query("transaction_documents", with_views("items headers", """

@@ -176,7 +176,7 @@ def phrase_clusters(spark, sf):
 
 
 @query("cluster_summary", CLUSTERS + """
-    SELECT cluster, COUNT(*) AS phrases_in_cluster, CAST(SUM(count) AS BIGINT) AS total_count, 0 AS page,
+    SELECT cluster, COUNT(*) AS phrases_in_cluster, CAST(SUM(count) AS BIGINT) AS total_count,
         string_agg(phrase, '|' ORDER BY phrase) AS phrases FROM kept JOIN labels USING (phrase) GROUP BY 1""")
 def cluster_summary(spark, sf):
     out = comments.cluster_summary(comments.cluster_phrases(counted(spark, sf, 2)))

@@ -9,54 +9,48 @@ from pyspark.sql import Column, DataFrame, functions as F
 from comboscope.functions.expr import col, finite
 
 BUCKETS = 256
-DIRECT_ROWS = 20_000  # a range this small is sorted and read directly
 
 
 def exact_quantiles(df: DataFrame, column: Column | str, probs: list[float]) -> list[float | None]:
     """Quantiles of the finite values of ``column``.
 
-    Each pass counts rows in 256 equal value ranges (summed map-side) and continues in the range
-    that holds the wanted position, so heavy ties and long tails cost passes, never memory.
+    Each pass counts rows in 256 equal parts of every value range that still holds a wanted position
+    (summed map-side), and continues in the parts that hold them, so heavy ties and long tails cost
+    passes, never memory. What reaches the driver depends on the number of ``probs`` alone.
     """
     xs = df.select(finite(col(column).cast("double")).alias("x")).where(F.col("x").isNotNull())
     n, lo, hi = xs.agg(F.count("x"), F.min("x"), F.max("x")).first()
     if n == 0:
         return [None for _ in probs]
-    if n <= DIRECT_ROWS:
-        ordered = [r.x for r in xs.sort("x").collect()]
-        at = ordered.__getitem__
-    else:
-        seen: dict[int, float] = {}
-
-        def at(k: int) -> float:
-            if k not in seen:
-                seen[k] = _order_statistic(xs, k, n, lo, hi)
-            return seen[k]
-
-    out = []
-    for p in probs:
-        position = (n - 1) * p
-        k = math.floor(position)
-        low = at(k)
-        high = at(k + 1) if position > k else low
-        out.append(low + (high - low) * (position - k))
-    return out
-
-
-def _order_statistic(xs: DataFrame, k: int, n: int, lo: float, hi: float) -> float:
-    """The value at sorted position ``k`` (0-based) of ``n`` values between ``lo`` and ``hi``."""
-    before = 0
-    while lo < hi:
-        inside = xs.where(F.col("x").between(lo, hi))
-        if n <= DIRECT_ROWS:
-            return inside.sort("x").collect()[k - before].x
-        share = (F.col("x") - F.lit(lo)) / F.lit(hi - lo)
-        ranges = (inside.groupBy(F.least(F.floor(share * BUCKETS), F.lit(BUCKETS - 1)).alias("b"))
-                  .agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi"))
-                  .sort("b").collect())
-        for r in ranges:
-            if before + r.n > k:
-                n, lo, hi = r.n, r.lo, r.hi
-                break
-            before += r.n
-    return lo
+    places = [((n - 1) * p, math.floor((n - 1) * p)) for p in probs]
+    at = _order_statistics(xs, {k for _, k in places} | {min(k + 1, n - 1) for _, k in places}, lo, hi)
+    return [at[k] if position == k else at[k] + (at[k + 1] - at[k]) * (position - k) for position, k in places]
+
+
+def _order_statistics(xs: DataFrame, wanted: set[int], lo: float, hi: float) -> dict[int, float]:
+    """The values at sorted positions ``wanted`` (0-based); all values lie between ``lo`` and ``hi``."""
+    ranges = {k: (lo, hi, 0) for k in wanted}  # with the number of values below
+    halved: set[tuple[float, float]] = set()
+    while any(a < b for a, b, _ in ranges.values()):
+        todo = sorted({r for r in ranges.values() if r[0] < r[1]})
+        part = F.lit(None).cast("struct<r:int,b:int>")
+        for i, (a, b, _) in enumerate(todo):
+            width, middle = b / 2 - a / 2, a / 2 + b / 2
+            if width > 0 and (a, b) not in halved:
+                bucket = F.least(F.floor((F.col("x") / 2 - F.lit(a / 2)) / F.lit(width) * BUCKETS), F.lit(BUCKETS - 1))
+            else:  # too narrow to divide
+                bucket = (F.col("x") > F.lit(middle if a <= middle < b else a)).cast("long")
+            part = F.when(F.col("x").between(a, b), F.struct(F.lit(i).alias("r"), bucket.cast("int").alias("b"))).otherwise(part)
+        found = (xs.select("x", part.alias("p")).where("p is not null").groupBy("p.r", "p.b")
+                 .agg(F.count("x").alias("n"), F.min("x").alias("lo"), F.max("x").alias("hi")).sort("r", "b").collect())
+        for k, (a, b, below) in list(ranges.items()):
+            if a == b:
+                continue
+            for f in (f for f in found if f.r == todo.index((a, b, below))):
+                skipped = below + sum(g.n for g in found if g.r == f.r and g.b < f.b)
+                if skipped + f.n > k:
+                    if (f.lo, f.hi) == (a, b):
+                        halved.add((a, b))
+                    ranges[k] = (f.lo, f.hi, skipped)
+                    break
+    return {k: a for k, (a, _, _) in ranges.items()}

@@ -35,14 +35,16 @@ def drop_named(df: DataFrame, column: str, prefix: str | None = None, names: lis
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
-    """One row per key, first by ``order`` and then by the other columns.
+    """One row per key, first by ``order`` and then by the other columns; nulls come last.
 
     The smallest row is kept by an aggregate, so copies collapse before the shuffle and no key's
     rows are ever sorted in one place.
     """
     rest = [c for c in df.columns if c not in keys]
     ranked = order + [c for c in rest if c not in order]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*[r for r in ranked if r not in keys])).alias("_row"))
+    ranked = [r for r in ranked if r not in keys]
+    parts = [x for r in ranked for x in (F.col(r).isNull().alias(f"_no_{r}"), F.col(r))]
+    best = df.groupBy(*keys).agg(F.min(F.struct(*parts)).alias("_row"))
     return best.select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 

@@ -169,8 +169,14 @@ def product_elasticities(rows: DataFrame, regressors: list[str], method: str = "
 
 
 def weighted_elasticity(weights: DataFrame, elasticities: DataFrame) -> DataFrame:
-    """Weighted elasticity and product count per category and label; missing ones add nothing."""
-    joined = weights.join(elasticities.select("product_desc", "elasticity"), "product_desc", "left")
+    """Weighted elasticity and product count per category and label; missing ones add nothing.
+
+    A product has one elasticity, that of its first category, which counts wherever it is sold.
+    """
+    first = elasticities
+    if "category" in elasticities.columns:
+        first = elasticities.groupBy("product_desc").agg(F.min(F.struct("category", "elasticity")).alias("_first")).select("product_desc", "_first.elasticity")
+    joined = weights.join(first.select("product_desc", "elasticity"), "product_desc", "left")
     return joined.groupBy("category", "label").agg(
         F.coalesce(F.sum(F.col("weight") * F.col("elasticity")), F.lit(0.0)).alias("weighted_elasticity"),
         F.countDistinct("product_desc").alias("products"))

@@ -122,4 +122,6 @@ def objective_scale(profits: DataFrame, pairs: DataFrame, max_size: int, zero_fi
         best = best.withColumn("best", F.when(F.col("top") < F.lit(longest), F.greatest("best", F.lit(0.0))).otherwise(F.col("best")))
     total, periods = best.agg(F.sum("best"), F.countDistinct("period")).first()
     corr = pairs.agg(F.max("corr")).first()[0]
+    if not corr or not periods or total is None:  # no affinity to weigh
+        return 0.0
     return total / (periods * (max_size * (max_size - 1) / 2) * corr)

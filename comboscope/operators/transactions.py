@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from comboscope.constants import EXCLUDED_CATEGORIES
 from comboscope.functions.expr import not_in, unit_price
-from comboscope.functions.storage import written
+from comboscope.operators.baskets import TXN_KEY
 from comboscope.operators.cleaning import non_negative_quantity
 from comboscope.sources.tables import rows_in
 
@@ -14,40 +14,20 @@ LINE_FIELDS = ["item_desc", "quantity_sold", "price", "sub_category_desc", "cate
                "promotion_description", "promotion_type"]
 
 
-def oversized_transactions(items: DataFrame, key: list[str] = ["transaction_uid"], max_lines: int = 100_000) -> DataFrame | None:
-    """Transactions of more than ``max_lines`` raw lines with the pages they need, or None.
-
-    Later filters only remove lines, so the raw count is an upper bound and one narrow pass will do.
-    """
-    sizes = items.groupBy(*key).agg(F.count("*").alias("_n")).where(F.col("_n") > max_lines)
-    long = written(sizes.select(*key, F.ceil(F.col("_n") / F.lit(max_lines)).cast("int").alias("pages")), "long-transactions")
-    return None if long.isEmpty() else long
-
-
 def transaction_lines(headers: DataFrame, items: DataFrame, product: DataFrame, promotion: DataFrame,
                       sites: DataFrame | list | None = None, excluded_categories: list = EXCLUDED_CATEGORIES,
-                      zero_qty: str = "null", dedupe: bool = True, key: list[str] = ["transaction_uid"],
-                      oversized: DataFrame | None = None) -> DataFrame:
+                      zero_qty: str = "null", dedupe: bool = True, key: list[str] = TXN_KEY) -> DataFrame:
     """Item lines with header, product and promotion columns, unit price and line order.
 
     Headers keep their site and date; headers without items have no quantity and drop out. The
-    site filter sits on the header columns, so it is applied before the join. The lines of a
-    transaction listed in ``oversized`` are dealt to several pages by a hash of the line and its
-    header is repeated per page, so the join and whatever groups by page after it stay even.
+    site filter sits on the header columns, so it is applied before the join.
     """
     if dedupe:
         headers, items = headers.dropDuplicates(), items.dropDuplicates()
     if sites is not None:
         headers = rows_in(headers, "site_number", sites)
     lines = items.drop(*[c for c in headers.columns if c not in key])
-    if oversized is None:
-        joined = headers.join(lines, key, "left").withColumn("pages", F.lit(1)).withColumn("page", F.lit(0))
-    else:
-        page = F.pmod(F.xxhash64(*lines.columns), F.col("pages")).cast("int")
-        lines = lines.join(oversized, key, "left").na.fill(1, ["pages"]).withColumn("page", page)
-        every = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("pages"), F.lit(1)) - 1))
-        headers = headers.join(oversized, key, "left").withColumn("page", every).drop("pages")
-        joined = headers.join(lines, [*key, "page"], "left")
+    joined = headers.join(lines, key, "left")
     joined = joined.join(product, "product_key", "left").join(
         promotion.select("promotion_key", "promotion_description", "promotion_type"), "promotion_key", "left")
     return (non_negative_quantity(joined)
@@ -55,29 +35,24 @@ def transaction_lines(headers: DataFrame, items: DataFrame, product: DataFrame,
             .where(not_in("category_desc", excluded_categories)))
 
 
-def transaction_documents(lines: DataFrame, oversized: DataFrame | None = None, key: list[str] = ["transaction_uid"],
-                          line_order: str = "line_seq") -> DataFrame:
+def transaction_documents(lines: DataFrame, key: list[str] = TXN_KEY, line_order: str = "line_seq") -> DataFrame:
     """One row per transaction with its lines as an ordered array of structs.
 
-    Site and date come from the earliest header row. A transaction listed in ``oversized`` has one
-    row per ``page`` of ``pages``, so no task holds an unbounded list; ``sales_vol`` is the whole
-    transaction's volume on each of its pages.
+    Site and date come from the earliest header row. A receipt is one person's purchase, so its
+    lines fit one row; steps over all lines read the line table instead.
     """
     line = F.struct(line_order, *LINE_FIELDS)
-    docs = lines.groupBy(*key, "page", "pages").agg(
+    docs = lines.groupBy(*key).agg(
         F.min(F.struct("business_date", "site_number")).alias("_head"),
         F.array_sort(F.collect_list(line)).alias("lines"),
         F.coalesce(F.sum("quantity_sold"), F.lit(0.0)).alias("sales_vol"))
-    if oversized is not None:
-        totals = lines.join(oversized.drop("pages"), key, "left_semi").groupBy(*key).agg(F.sum("quantity_sold").alias("_vol"))
-        docs = docs.join(written(totals, "long-volumes"), key, "left").withColumn("sales_vol", F.coalesce("_vol", "sales_vol"))
     date = F.col("_head.business_date")
-    return docs.select(*key, "page", "pages", date.alias("business_date"),
+    return docs.select(*key, date.alias("business_date"),
                        F.col("_head.site_number").alias("site_number"), "lines", "sales_vol",
                        F.year(date).alias("year"), F.month(date).alias("month"), F.weekofyear(date).alias("week"))
 
 
-def document_lines(docs: DataFrame, key: list[str] = ["transaction_uid"]) -> DataFrame:
+def document_lines(docs: DataFrame, key: list[str] = TXN_KEY) -> DataFrame:
     """Documents back to one row per line."""
     return docs.select(*key, "business_date", F.explode("lines").alias("l")).select(
         *key, "business_date", F.col("l.item_desc").alias("item"), F.col("l.quantity_sold").alias("quantity"))

@@ -18,9 +18,8 @@ def mine_baskets(headers: DataFrame, items: DataFrame, product: DataFrame, promo
     With ``chunks`` above 1 each chunk is mined apart and rules stay within their chunk.
     """
     sample = cleaning.sample_keys(sites, "site_number", n_sites, seed)
-    long = transactions.oversized_transactions(items, key)
-    lines = transactions.transaction_lines(headers, items, product, promotion, sample, excluded_categories, key=key, oversized=long)
-    docs = transactions.transaction_documents(lines, long, key)
+    lines = transactions.transaction_lines(headers, items, product, promotion, sample, excluded_categories, key=key)
+    docs = transactions.transaction_documents(lines, key)
     food = cleaning.items_outside(product, "department_desc", non_food)
     sold = lines.select(*key, F.col("item_desc").alias("item"), F.col("quantity_sold").alias("quantity"))
     rows = baskets.baskets_with_any(written(baskets.basket_rows(sold, key), "basket-rows"), food, key)

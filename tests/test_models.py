@@ -233,3 +233,10 @@ def test_error_metrics(spark):
     assert got["a"] == pytest.approx((1, 1, 37.5)) and got["b"] == (1, 1, math.inf)
     many = spark.createDataFrame([(f"p{i}", float(i), float(i), float(20 - i)) for i in range(20)], "product_desc string, mse double, rmse double, mape double")
     assert {r[0] for r in demand.best_products(many).select("product_desc").collect()} == {f"p{i}" for i in [*range(6), *range(14, 20)]}
+
+
+def test_weighted_elasticity_takes_the_first_category(spark):
+    weights = spark.createDataFrame([("A", "l", "p", 0.5), ("B", "l", "p", 1.0), ("A", "l", "q", 0.5)], "category string, label string, product_desc string, weight double")
+    each = spark.createDataFrame([("B", "p", -3.0), ("A", "p", -1.0), ("A", "q", -2.0)], "category string, product_desc string, elasticity double")
+    got = {r.category: (r.weighted_elasticity, r.products) for r in elasticity.weighted_elasticity(weights, each).collect()}
+    assert got == {"A": (-1.5, 2), "B": (-1.0, 1)}

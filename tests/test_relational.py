@@ -111,31 +111,43 @@ def _transaction_inputs(spark):
 
 
 def test_transaction_documents(spark):
-    lines = transactions.transaction_lines(*_transaction_inputs(spark), sites=["s1"])
-    docs = transactions.transaction_documents(lines).collect()
+    lines = transactions.transaction_lines(*_transaction_inputs(spark), sites=["s1"], key=["transaction_uid"])
+    docs = transactions.transaction_documents(lines, ["transaction_uid"]).collect()
     assert [d.transaction_uid for d in docs] == ["t1"]          # t2 has no items, t3 is another site
     assert [x.item_desc for x in docs[0].lines] == ["b", "a"]   # line order; the coupon is excluded, null category kept
     assert [x.promotion_type for x in docs[0].lines] == ["PCT", None]
-    assert docs[0].sales_vol == 3.0 and docs[0].page == 0 and docs[0].week == 1
+    assert docs[0].sales_vol == 3.0 and docs[0].week == 1
 
 
-def test_oversized_transactions_are_paged_whole(spark):
-    n = 1000
+def test_long_transaction_is_one_ordered_row(spark):
+    n = 200_000
     headers = spark.createDataFrame([("big", "s", D(2024, 1, 1)), ("small", "s", D(2024, 1, 1))],
                                     "transaction_uid string, site_number string, business_date date")
-    items = spark.range(n).selectExpr("'big' AS transaction_uid", "id AS product_key", "0L AS promotion_key", "'1' AS quantity_sold",
+    items = spark.range(n).selectExpr("'big' AS transaction_uid", "id % 1000 AS product_key", "0L AS promotion_key", "'1' AS quantity_sold",
                                       "1.0D AS sales_amount", "cast(id AS int) AS line_seq")
     items = items.unionByName(items.limit(2).withColumn("transaction_uid", F.lit("small")))
     _, _, _, promo = _transaction_inputs(spark)
-    product = spark.range(n).selectExpr("id AS product_key", "concat('i', id) AS item_desc", "'c' AS category_desc", "'s' AS sub_category_desc")
-    over = transactions.oversized_transactions(items, max_lines=100)
-    lines = transactions.transaction_lines(headers, items, product, promo, oversized=over)
-    docs = transactions.transaction_documents(lines, over).collect()
-    big = [d for d in docs if d.transaction_uid == "big"]
-    assert len(big) > 5 and all(d.pages == 10 and d.sales_vol == n for d in big)
-    assert sorted(x.line_seq for d in big for x in d.lines) == list(range(n))
-    assert [(d.pages, d.sales_vol) for d in docs if d.transaction_uid == "small"] == [(1, 2.0)]
-    assert transactions.oversized_transactions(items, max_lines=10_000) is None
+    product = spark.range(1000).selectExpr("id AS product_key", "concat('i', id) AS item_desc", "'c' AS category_desc", "'s' AS sub_category_desc")
+    key = ["transaction_uid"]
+    docs = transactions.transaction_documents(transactions.transaction_lines(headers, items, product, promo, key=key), key)
+    got = {r.transaction_uid: r for r in docs.select("transaction_uid", "sales_vol", F.col("lines.line_seq").alias("at")).collect()}
+    assert len(got) == 2 and got["big"].sales_vol == n and got["big"].at == list(range(n)) and got["small"].sales_vol == 2.0
+
+
+def test_same_uid_on_two_days_is_two_documents(spark):
+    schema = "transaction_date date, transaction_uid string"
+    headers = spark.createDataFrame([(D(2024, 1, d), "u", "s", D(2024, 1, d)) for d in (1, 2)], schema + ", site_number string, business_date date")
+    items = spark.createDataFrame([(D(2024, 1, d), "u", 1, 0, q, 1.0, 1) for d, q in ((1, "1"), (2, "5"))],
+                                  schema + ", product_key long, promotion_key long, quantity_sold string, sales_amount double, line_seq int")
+    _, _, _, promo = _transaction_inputs(spark)
+    product = spark.createDataFrame([(1, "i", "c", "s")], "product_key long, item_desc string, category_desc string, sub_category_desc string")
+    docs = transactions.transaction_documents(transactions.transaction_lines(headers, items, product, promo)).collect()
+    assert sorted((d.business_date.day, d.sales_vol, len(d.lines)) for d in docs) == [(1, 1.0, 1), (2, 5.0, 1)]
+
+
+def test_first_per_key_takes_nulls_last(spark):
+    df = spark.createDataFrame([("a", None, 1), ("a", "CK", 2), ("b", None, 3)], "item_id string, brand string, n int")
+    assert sorted(map(tuple, cleaning.first_per_key(df, ["item_id"], ["brand"]).collect())) == [("a", "CK", 2), ("b", None, 3)]
 
 
 def test_same_uid_on_two_days_stays_apart(spark, rows):
@@ -152,9 +164,13 @@ def test_quantile_cascade_survivors(spark, rows):
     assert [r[0] for r in rows(series.quantile_cascade(df), "total_qty")] == list(left)
 
 
-@pytest.mark.parametrize("direct", [20_000, 50])
-def test_exact_quantiles_match_numpy(spark, monkeypatch, direct):
-    monkeypatch.setattr(quantiles, "DIRECT_ROWS", direct)
+def test_exact_quantiles_of_extreme_values(spark):
+    values = [-1.6e308, -1.0, 5e-324, 0.0, 1.6e308]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    assert quantiles.exact_quantiles(df, "x", [0.0, 0.25, 0.5, 0.75, 1.0]) == sorted(values)
+
+
+def test_exact_quantiles_match_numpy(spark):
     rng = np.random.default_rng(3)
     x = np.concatenate([rng.exponential(1e3, 3000), np.full(2000, 7.25), [-1e9, 1e12]])
     df = spark.createDataFrame([(float(v),) for v in x], "v double")

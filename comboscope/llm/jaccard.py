@@ -256,7 +256,7 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str =
     members = written(members.select("rep", "group", "class"), "members")
     blocks = members.groupBy("group", "class").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
     members = members.join(blocks, ["group", "class"]).withColumn("block", F.pmod(F.xxhash64("rep"), "blocks").cast("int"))
-    parted = (rows.join(members, rows.doc_id == members.rep).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    parted = (rows.join(members.hint("merge"), rows.doc_id == members.rep).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
               .select("group", "class", F.least("block", "other").alias("lo"), F.greatest("block", "other").alias("hi"), "block", "doc_id", "text"))
     edges = parted.groupBy("group", "class", "lo", "hi").applyInArrow(_linked(k, percent), "a long, b long").distinct()
     same = usable.join(named, ["one", "two", "n_shingles"]).where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))

@@ -84,7 +84,23 @@ def singleton_supports(spark, sf):
     return baskets.singleton_supports(found).withColumn("support", r("support", 9))
 
 
-@query("chunked_itemsets")
+def _chunk_sql(c: int) -> str:
+    names = {n: f"{n}_{c}" for n in ("n", "s1", "k", "s2", "s3")}
+    part = f"""
+    , part_{c} AS (SELECT * FROM baskets_coarse WHERE ('0x' || substr(md5('42|' || transaction_uid), 1, 15))::BIGINT % 2 = {c})"""
+    sql = ITEMSETS.format(b=f"part_{c}", s="0.01")
+    for name, own in names.items():
+        sql = sql.replace(f"{name} AS (", f"{own} AS (").replace(f"FROM {name} x", f"FROM {own} x").replace(f"JOIN {name} ", f"JOIN {own} ")
+        sql = sql.replace(f"FROM {name})", f"FROM {own})")
+    return part + sql
+
+
+def _chunk_rows(c: int) -> str:
+    return f"""SELECT {c} AS chunk, i AS items, f AS freq, ROUND(CAST(f AS DOUBLE) / n, 9) AS support FROM (SELECT a AS i, f FROM s1_{c} UNION ALL
+        SELECT a || ';' || b, f FROM s2_{c} UNION ALL SELECT a || ';' || b || ';' || c, f FROM s3_{c}), n_{c}"""
+
+
+@query("chunked_itemsets", with_views("items baskets_coarse", _chunk_sql(0) + _chunk_sql(1) + _chunk_rows(0) + " UNION ALL " + _chunk_rows(1)))
 def chunked_itemsets(spark, sf):
     out = baskets.frequent_itemsets_by_chunk(carts(spark, sf, "coarse"), 0.01, key=KEY)
     return out.select("chunk", F.array_join("items", ";").alias("items"), "freq", r("support", 9))

@@ -11,11 +11,8 @@ from comboscope.functions.storage import written
 from comboscope.operators import correlation, demand, linreg, series
 
 EDGES = """
-    , p AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_desc ORDER BY business_date) AS o FROM series_coarse),
-    cap AS (SELECT COUNT(*) AS n FROM p WHERE product_desc = (SELECT product_desc FROM p ORDER BY business_date, product_desc LIMIT 1)),
-    k AS (SELECT p.* FROM p, cap WHERE o <= n),
-    pairs AS (SELECT a.product_desc AS item_a, b.product_desc AS item_b, corr(a.quantity_sold, b.quantity_sold) AS corr
-        FROM k a JOIN k b ON a.o = b.o AND a.product_desc < b.product_desc GROUP BY 1, 2),
+    , pairs AS (SELECT a.product_desc AS item_a, b.product_desc AS item_b, corr(a.quantity_sold, b.quantity_sold) AS corr
+        FROM series_coarse a JOIN series_coarse b ON a.business_date = b.business_date AND a.product_desc < b.product_desc GROUP BY 1, 2),
     edges AS (SELECT item_a AS product_desc, item_b AS other FROM pairs WHERE abs(corr) > 0.04
         UNION ALL SELECT item_b, item_a FROM pairs WHERE abs(corr) > 0.04)"""
 
@@ -133,11 +130,11 @@ def real_and_predicted(spark, sf):
 @query("forecast")
 def forecast(spark, sf):
     sales = written(coarse_series(spark, sf), "sales")
-    return demand.demand_model(sales, coarse_edges(sales), steps=257)["time"].where("future").select("product_desc", "ds", r("yhat"))
+    return demand.demand_model(sales, coarse_edges(sales), steps=257, mode="additive")["time"].where("future").select("product_desc", "ds", r("yhat"))
 
 
 @query("forecast_multiplicative")
 def forecast_multiplicative(spark, sf):
     sales = written(coarse_series(spark, sf), "sales")
-    out = demand.demand_model(sales, coarse_edges(sales), steps=257, mode="multiplicative")["time"]
+    out = demand.demand_model(sales, coarse_edges(sales), steps=257)["time"]
     return out.where("future").select("product_desc", "ds", r("yhat"))

@@ -21,23 +21,21 @@ def coarse_series(spark, sf):
     SELECT a.product_desc AS item_a, b.product_desc AS item_b, ROUND(corr(a.quantity_sold, b.quantity_sold), 9) AS corr, COUNT(*) AS n
     FROM k a JOIN k b ON a.o = b.o AND a.product_desc < b.product_desc GROUP BY 1, 2"""))
 def corr_ordinal(spark, sf):
-    return correlation.quantity_correlations(coarse_series(spark, sf)).withColumn("corr", r("corr", 9))
+    return correlation.quantity_correlations(coarse_series(spark, sf), "ordinal").withColumn("corr", r("corr", 9))
 
 
 @query("corr_by_date", with_views("items series_fine", """
     SELECT a.product_desc AS item_a, b.product_desc AS item_b, CASE WHEN NOT isnan(corr(a.quantity_sold, b.quantity_sold)) THEN ROUND(corr(a.quantity_sold, b.quantity_sold), 7) END AS corr, COUNT(*) AS n
     FROM series_fine a JOIN series_fine b ON a.business_date = b.business_date AND a.product_desc < b.product_desc GROUP BY 1, 2"""))
 def corr_by_date(spark, sf):
-    out = correlation.quantity_correlations(series.daily_series(items(spark, sf, "fine")), "date")
+    out = correlation.quantity_correlations(series.daily_series(items(spark, sf, "fine")))
     return out.withColumn("corr", r("corr", 7)).where("n > 0")
 
 
 @query("corr_edges", with_views("items series_coarse", """
-    , p AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY product_desc ORDER BY business_date) AS o FROM series_coarse),
-    cap AS (SELECT COUNT(*) AS n FROM p WHERE product_desc = (SELECT product_desc FROM p ORDER BY business_date, product_desc LIMIT 1)),
-    k AS (SELECT p.* FROM p, cap WHERE o <= n)
+
     SELECT a.product_desc, b.product_desc AS other, ROUND(corr(a.quantity_sold, b.quantity_sold), 9) AS corr
-    FROM k a JOIN k b ON a.o = b.o AND a.product_desc <> b.product_desc GROUP BY 1, 2
+    FROM series_coarse a JOIN series_coarse b ON a.business_date = b.business_date AND a.product_desc <> b.product_desc GROUP BY 1, 2
     HAVING abs(corr(a.quantity_sold, b.quantity_sold)) > 0.04"""))
 def corr_edges(spark, sf):
     pairs = correlation.quantity_correlations(coarse_series(spark, sf), min_abs=0.04)
@@ -174,7 +172,7 @@ def winsorized(spark, sf):
     SELECT category, item, 1 AS slot, other AS competitor, ROUND(corr, 8) AS corr FROM p1 UNION ALL
     SELECT category, item, 2, other, ROUND(corr, 8) FROM p2 UNION ALL SELECT category, item, 3, other, ROUND(corr, 8) FROM p3"""))
 def competitors(spark, sf):
-    out = correlation.choose_competitors(correlation.price_correlations(weekly(spark, sf)), 3, 0.05, 0.10)
+    out = correlation.choose_competitors(correlation.price_correlations(weekly(spark, sf), at_least=0.05), 3, 0.05, 0.10)
     return out.withColumn("corr", r("corr", 8))
 
 
@@ -188,7 +186,7 @@ def competitors(spark, sf):
         AND o.wk_year = l.wk_year AND o.wk_month = l.wk_month AND o.week_of_year = l.week_of_year"""))
 def competitor_prices(spark, sf):
     logs = stored_weekly(spark, sf)
-    chosen = correlation.choose_competitors(correlation.price_correlations(logs), 1, 0.02, 0.9)
+    chosen = correlation.choose_competitors(correlation.price_correlations(logs, at_least=0.02), 1, 0.02, 0.9)
     out, _ = elasticity.with_competitor_prices(logs, logs, chosen, slots=1)
     return out.select("product_desc", "wk_year", "wk_month", "week_of_year", "n_competitors", r("log_price_competitor_1", 9))
 

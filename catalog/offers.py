@@ -197,8 +197,8 @@ def solve(inputs, rules, used=None):
 
 def solution(bundles):
     score = bundles.select("period", F.round("score", 1).alias("score"))
-    return combos.solution_table(bundles).join(score, "period").select(
-        "period", "product_desc", "price_selected", "price_level_index", "score")
+    return combos.in_offer_order(combos.solution_table(bundles).join(score, "period").select(
+        "period", "product_desc", "price_selected", "price_level_index", "score"))
 
 
 def rules_for(low, high):

@@ -28,7 +28,8 @@ def region_sites(spark, sf):
     return site(spark, sf).where(F.col("site_state_desc") == "AMERICA")
 
 
-@query("sampled_sites")
+@query("sampled_sites", """
+    SELECT c_custkey AS site_number FROM customer ORDER BY ('0x' || substr(md5('666|' || c_custkey), 1, 15))::BIGINT, 1 LIMIT 215""")
 def sampled_sites(spark, sf):
     customers = table(spark, sf, "customer").select(F.col("c_custkey").alias("site_number"))
     return cleaning.sample_keys(customers, "site_number", 215, 666)
@@ -231,6 +232,14 @@ def product_universe(spark, sf):
     return out.select("business_date", "product_desc", "quantity_sold")
 
 
+@query("series_union", with_views("items series_coarse series_fine", """
+    SELECT business_date, product_desc, quantity_sold FROM series_coarse UNION SELECT business_date, product_desc, quantity_sold FROM series_fine
+    UNION SELECT business_date, product_desc, quantity_sold FROM series_coarse WHERE product_desc = 'Brand#3'"""))
+def series_union(spark, sf):
+    coarse, fine = (series.daily_series(items(spark, sf, d)).select("business_date", "product_desc", "quantity_sold") for d in ("coarse", "fine"))
+    return cleaning.distinct_union([coarse, fine, coarse.where(F.col("product_desc") == "Brand#3")])
+
+
 @query("price_lags", with_views("items series_fine", """
     , l AS (SELECT *, LAG(price, 1) OVER w AS l1, LAG(price, 3) OVER w AS l3, LAG(price, 8) OVER w AS l8
         FROM series_fine WINDOW w AS (PARTITION BY product_desc ORDER BY business_date))

@@ -105,17 +105,17 @@ def survey_clean(spark, sf):
 
 
 def texts(spark, sf):
-    """Comments: English documents and what users said."""
-    docs = table(spark, sf, "documents").where(F.col("lang") == "en").select(
+    """Comments: all documents and all that was said."""
+    docs = table(spark, sf, "documents").select(
         F.concat(F.lit("d"), F.col("doc_id")).alias("id"), "text")
-    said = table(spark, sf, "conversations").where(F.col("role") == "user").select(
+    said = table(spark, sf, "conversations").select(
         F.concat(F.lit("c"), F.col("conv_id"), F.lit("-"), F.col("turn")).alias("id"), "text")
     return docs.unionByName(said)
 
 
 TEXTS = """
-    texts AS (SELECT 'd' || doc_id AS id, text FROM documents WHERE lang = 'en' UNION ALL
-        SELECT 'c' || conv_id || '-' || turn, text FROM conversations WHERE role = 'user')"""
+    texts AS (SELECT 'd' || doc_id AS id, text FROM documents UNION ALL
+        SELECT 'c' || conv_id || '-' || turn, text FROM conversations)"""
 STOP_SQL = "[" + ", ".join(f"'{w}'" for w in STOP) + "]"
 PHRASES = f"""
     parts AS (SELECT id, regexp_extract_all(lower(text), '[\\p{{L}}\\p{{N}}_''-]+|[^\\p{{L}}\\p{{N}}_''\\s-]') AS p FROM texts),
@@ -153,7 +153,7 @@ def counted(spark, sf, min_count):
 
 @query("phrase_counts", f"WITH {TEXTS}, {PHRASES} SELECT * FROM counts WHERE count >= 2")
 def phrase_counts(spark, sf):
-    return counted(spark, sf, 2)
+    return comments.by_count(counted(spark, sf, 2))
 
 
 CLUSTERS = f"""

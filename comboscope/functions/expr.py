@@ -94,3 +94,9 @@ def engagement_level(percent: Column | str, bins=ENGAGEMENT_BINS) -> Column:
 
 def month_name(d: Column | str) -> Column:
     return F.date_format(col(d), "MMMM")
+
+
+def seeded_draw(seed: int, *keys: Column | str) -> Column:
+    """A number of 60 bits drawn by MD5 from the seed and the keys: the same on every engine."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[col(k).cast("string") for k in keys])
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, 15), 16, 10).cast("long")

@@ -6,7 +6,7 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, functions as F
 
 from comboscope.constants import BASKET_DROP_ITEMS
-from comboscope.functions.expr import not_in
+from comboscope.functions.expr import not_in, seeded_draw
 from comboscope.functions.ids import dense_ids
 from comboscope.functions.quantiles import exact_quantiles
 from comboscope.functions.storage import written
@@ -94,7 +94,7 @@ def frequent_itemsets(carts: DataFrame, min_support: float = 0.01, items_column:
 def frequent_itemsets_by_chunk(carts: DataFrame, min_support: float = 0.01, chunks: int = 2, seed: int = 42,
                                key: list[str] = TXN_KEY) -> DataFrame:
     """Itemsets mined apart in hash-chosen chunks, each with the supports of its own chunk."""
-    marked = written(carts.withColumn("chunk", F.pmod(F.xxhash64(F.lit(seed), *key), F.lit(chunks)).cast("int")), "chunks")
+    marked = written(carts.withColumn("chunk", F.pmod(seeded_draw(seed, *key), F.lit(chunks)).cast("int")), "chunks")
     out = None
     for c in range(chunks):
         mined = frequent_itemsets(marked.where(F.col("chunk") == c), min_support).withColumn("chunk", F.lit(c))

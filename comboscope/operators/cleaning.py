@@ -6,13 +6,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from comboscope.functions.expr import brand_label, col, not_in
+from comboscope.functions.expr import brand_label, col, not_in, seeded_draw
 
 
 def sample_keys(df: DataFrame, key: str, n: int = 215, seed: int = 666) -> DataFrame:
     """``n`` distinct keys chosen by a seeded hash: the same keys whatever the partitioning."""
-    draw = F.xxhash64(F.lit(seed), F.col(key))
-    return df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(draw, key).limit(n)
+    return df.select(key).where(F.col(key).isNotNull()).distinct().orderBy(seeded_draw(seed, key), key).limit(n)
 
 
 def non_negative_quantity(df: DataFrame, column: str = "quantity_sold") -> DataFrame:
@@ -57,6 +56,11 @@ def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def distinct_union(frames: list[DataFrame]) -> DataFrame:
+    """Rows of all frames, each once; a column that a frame lacks is null there."""
+    return union_all(frames).distinct()
+
+
 def missing_keys(wanted: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Keys of ``wanted`` that ``present`` lacks."""
     return wanted.select(key).distinct().join(present.select(key).distinct(), key, "left_anti")

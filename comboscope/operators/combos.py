@@ -209,6 +209,11 @@ def _month_label(number: Column) -> Column:
     return F.element_at(F.array(*[F.lit(m) for m in MONTH_NAMES]), number)
 
 
+def in_offer_order(solution: DataFrame) -> DataFrame:
+    """A solution by product and month."""
+    return solution.orderBy("product_desc", "period")
+
+
 def offer_blocks(solution: DataFrame, months: list[int] = OFFER_MONTHS) -> DataFrame:
     """Runs of consecutive months per product, prices in month columns (0 when not offered)."""
     w = Window.partitionBy("product_desc").orderBy("period")

@@ -13,14 +13,14 @@ BLOCK = 256  # items per block; a task holds two blocks
 
 
 def pairwise_correlations(values: DataFrame, item: str, at: str, value: str, group: list[str] = [],
-                          min_abs: float | None = None, block: int = BLOCK) -> DataFrame:
+                          min_abs: float | None = None, block: int = BLOCK, at_least: float | None = None) -> DataFrame:
     """Pearson correlation of every two items over the positions both have.
 
     Each item's series is packed into one row (as long as the calendar, no longer) and items are
     hashed into blocks. Every pair of blocks meets in one task as two small matrices whose product
     gives all sums at once, so a group with most of the items only means more block pairs and no
-    row per pair and position is ever shuffled. ``min_abs`` keeps only stronger pairs, inside the
-    task.
+    row per pair and position is ever shuffled. ``min_abs`` keeps only stronger pairs and
+    ``at_least`` only pairs that reach it, both inside the task.
     """
     rows = values.select(*group, F.col(item).alias("item"), F.col(at).cast("long").alias("at"),
                          F.col(value).cast("double").alias("v")).na.drop()
@@ -44,6 +44,8 @@ def pairwise_correlations(values: DataFrame, item: str, at: str, value: str, gro
         right = left if lo == hi else pdf[pdf.own == hi]
         names, corr, n = _block_pair(left, right, same=lo == hi)
         keep = np.ones(len(corr), dtype=bool) if min_abs is None else np.abs(corr) > min_abs
+        if at_least is not None:
+            keep &= corr >= at_least
         out = pd.DataFrame({"item_a": names[0][keep], "item_b": names[1][keep],
                             "corr": corr[keep], "n": n[keep]})
         for name, v in zip(group, key):
@@ -85,12 +87,12 @@ def _block_pair(left: pd.DataFrame, right: pd.DataFrame, same: bool):
             np.clip(corr[i, j], -1, 1), n[i, j].astype("int64"))
 
 
-def quantity_correlations(series: DataFrame, align: str = "ordinal", anchor: str | None = None,
+def quantity_correlations(series: DataFrame, align: str = "date", anchor: str | None = None,
                           min_abs: float | None = None) -> DataFrame:
     """Correlation of daily quantities between products.
 
-    'ordinal' matches the k-th rows of two series; rows past the length of the ``anchor`` product
-    (by default the first product of the first day) do not count. 'date' matches equal dates.
+    'date' matches equal dates and reads every row. 'ordinal' matches the k-th rows of two series;
+    rows past the length of the ``anchor`` product (by default the first product of the first day) do not count.
     """
     if align == "date":
         at = F.datediff("business_date", F.lit("1970-01-01"))
@@ -113,13 +115,13 @@ def time_keys(time: str) -> list[str]:
     return ["wk_year", "wk_month", "week_of_year"] if time == "W" else ["year", "month"]
 
 
-def price_correlations(logs: DataFrame, level: str = "product", time: str = "W") -> DataFrame:
-    """Correlation of log prices within each category, between products or brands."""
+def price_correlations(logs: DataFrame, level: str = "product", time: str = "W", at_least: float | None = None) -> DataFrame:
+    """Correlation of log prices within each category, between products or brands; all pairs, or those that reach ``at_least``."""
     ident = "brand" if level == "brand" else "product_desc"
     keys = time_keys(time)
     summed = logs.groupBy("category", *keys, ident).agg(F.sum("log_price").alias("log_price"))
     at = sum((F.col(k) * 100 ** i for i, k in enumerate(reversed(keys))), F.lit(0))
-    return pairwise_correlations(summed.withColumn("at", at), ident, "at", "log_price", group=["category"])
+    return pairwise_correlations(summed.withColumn("at", at), ident, "at", "log_price", group=["category"], at_least=at_least)
 
 
 def both_ways(pairs: DataFrame, group: list[str] = []) -> DataFrame:

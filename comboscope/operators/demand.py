@@ -102,7 +102,7 @@ def _with_time(rows: DataFrame, spans: DataFrame, ds: str) -> DataFrame:
     return rows.join(spans, PRODUCT).withColumn("_t", t).drop("_start", "_days")
 
 
-def time_component(residuals: DataFrame, steps: int, mode: str = "additive", lam: float = 1.0) -> DataFrame:
+def time_component(residuals: DataFrame, steps: int, mode: str = "multiplicative", lam: float = 1.0) -> DataFrame:
     """Trend with bends plus weekly and yearly waves fitted to the residuals of each product.
 
     Returns (product, ds, yhat, future) for every training day and the ``steps`` days after the
@@ -208,7 +208,7 @@ def best_products(metrics: DataFrame, n: int = 6) -> DataFrame:
 
 
 def demand_model(series: DataFrame, edges: DataFrame, steps: int = 257, purpose: str = "train", link: str = "level",
-                 time: str = "seasonal", mode: str = "additive", method: str = "ols", lam: float = 0.01) -> dict[str, DataFrame]:
+                 time: str = "seasonal", mode: str = "multiplicative", method: str = "ols", lam: float = 0.01) -> dict[str, DataFrame]:
     """Fit every product at once: tables ``coefs``, ``time``, ``fitted`` and ``metrics``.
 
     'train' uses all days and forecasts ``steps`` days. 'demo' fits the first 80 % of each

@@ -189,7 +189,7 @@ def elasticity_tables(sales: DataFrame, years: list[int] | None = [2022, 2023, 2
     dated = written(with_week_calendar(sales), "dated-sales")
     kept = written(covered_sales(dated, years, presence, threshold, time), "covered-sales")
     logs = written(log_sales(kept, time), "log-sales")
-    competitors = choose_competitors(price_correlations(logs, "product", time), 3, min_corr, max_inter_corr)
+    competitors = choose_competitors(price_correlations(logs, "product", time, min_corr), 3, min_corr, max_inter_corr)
     rows, names = with_competitor_prices(seasonal_residuals(logs, time), logs, competitors, 3, time)
     each = written(product_elasticities(rows, ["log_price", *names], method, time, winsor), "elasticities")
     return each, weighted_elasticity(product_weights(kept), each)

@@ -12,7 +12,7 @@ from comboscope.operators.series import product_universe
 
 
 def plan_demand(primary: DataFrame, secondary: DataFrame, steps: int = 257, corr_threshold: float = 0.6,
-                align: str = "ordinal", prefix: str | None = SERIES_DROP_PREFIX, names: list = SERIES_DROP_ITEMS,
+                align: str = "date", prefix: str | None = SERIES_DROP_PREFIX, names: list = SERIES_DROP_ITEMS,
                 jump_date: str = JUMP_DATE, jump_factor: float = 2.0, **model) -> dict[str, DataFrame]:
     """Tables ``series``, ``pairs`` and those of the demand model for the chosen products."""
     series = written(product_universe(primary, secondary, prefix=prefix, names=names, jump_date=jump_date,

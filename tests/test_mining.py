@@ -110,10 +110,19 @@ def test_ordinal_alignment_is_capped_by_first_product(spark):
     data = [("a", first + dt.timedelta(days=i), float(i * i % 7)) for i in range(6)]
     data += [("b", first + dt.timedelta(days=2 * i + 1), float(i * 3 % 5)) for i in range(10)]
     df = spark.createDataFrame(data, "product_desc string, business_date date, quantity_sold double")
-    r = correlation.quantity_correlations(df).first()
+    r = correlation.quantity_correlations(df, "ordinal").first()
     assert r.n == 6
     assert r["corr"] == pytest.approx(np.corrcoef([i * i % 7 for i in range(6)], [i * 3 % 5 for i in range(6)])[0, 1])
-    assert correlation.quantity_correlations(df, "date").first().n == 3
+    assert correlation.quantity_correlations(df).first().n == 3
+
+
+def test_weak_pairs_are_cut_inside_the_task(spark):
+    rng = np.random.default_rng(3)
+    data = [(f"i{i}", t, float(v)) for i, series in enumerate(rng.normal(size=(9, 12))) for t, v in enumerate(series)]
+    df = spark.createDataFrame(data, "item string, at int, v double")
+    every = {(r.item_a, r.item_b): r["corr"] for r in correlation.pairwise_correlations(df, "item", "at", "v", block=4).collect()}
+    some = {(r.item_a, r.item_b) for r in correlation.pairwise_correlations(df, "item", "at", "v", block=4, at_least=0.2).collect()}
+    assert len(every) == 36 and some == {k for k, v in every.items() if v >= 0.2}
 
 
 def test_competitors_are_greedy(spark, rows):

@@ -189,7 +189,7 @@ def _edge(spark):
 
 
 def test_demand_model_finds_prices_and_season(spark):
-    out = demand.demand_model(_demand_series(spark), _edge(spark), steps=14)
+    out = demand.demand_model(_demand_series(spark), _edge(spark), steps=14, mode="additive")
     coefs = {(r.product_desc, r.feature): r.coef for r in out["coefs"].collect()}
     assert coefs["a", "price"] == pytest.approx(-20, abs=1) and coefs["a", "b_price"] == pytest.approx(8, abs=1.5)
     assert ("b", "a_price") not in coefs
@@ -210,7 +210,7 @@ def test_infinite_price_removes_only_that_products_price(spark):
 
 def test_demo_split_and_variants(spark):
     sales = _demand_series(spark, 120)
-    for kw in ({}, {"link": "log", "time": "ar"}, {"mode": "multiplicative", "method": "ridge"}):
+    for kw in ({"mode": "additive"}, {"link": "log", "time": "ar"}, {"method": "ridge"}):
         m = demand.demand_model(sales, _edge(spark), purpose="demo", **kw)["metrics"].collect()
         assert sorted((r.product_desc, r.split) for r in m) == [("a", "test"), ("a", "train"), ("b", "test"), ("b", "train")]
         assert all(r.mape < 8 for r in m)

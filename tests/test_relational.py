@@ -249,3 +249,10 @@ def test_sampled_keys_do_not_depend_on_partitioning(spark, rows):
     df = spark.range(1000).selectExpr("cast(id as string) as site_number")
     one = rows(cleaning.sample_keys(df, "site_number", 20))
     assert len(one) == 20 and one == rows(cleaning.sample_keys(df.repartition(13), "site_number", 20))
+
+
+def test_distinct_union_keeps_each_row_once(spark, rows):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (2, None)], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (3, "y")], "k int, v string")
+    assert rows(cleaning.distinct_union([a, b]), "k", "v") == [(1, "x"), (2, None), (3, "y")]
+    assert cleaning.distinct_union([a.limit(0), b.limit(0)]).count() == 0

@@ -130,3 +130,8 @@ def test_cluster_summary_has_one_row_per_cluster(spark):
     got = {r.cluster: r for r in comments.cluster_summary(df).collect()}
     assert len(got) == 2 and (got["c"].phrases_in_cluster, got["c"].total_count) == (50, 100)
     assert got["c"].phrases == sorted(f"p{i}" for i in range(50))
+
+
+def test_phrases_come_by_count_then_name(spark):
+    df = spark.createDataFrame([("b", 2), ("c", 5), ("a", 2)], "phrase string, count long")
+    assert [r.phrase for r in comments.by_count(df).collect()] == ["c", "a", "b"]

@@ -161,7 +161,7 @@ def near_vectors(rows: DataFrame, threshold: float = 0.98, recall: float = 0.999
         _linked(threshold, tables, width, cell, window, least), "a long, b long, n long")
     found = written(found.groupBy("a", "b").agg(F.sum("n").alias("n")), "vector-links")
     counts = found.where("a = b").select(F.col("a").alias("rep"), F.col("n").alias("outside"))
-    group_of = components(groups.select(F.col("rep").alias("id")), found.where("a <> b").select("a", "b")).select(F.col("id").alias("rep"), "component")
+    group_of = components(groups.select(F.col("rep").alias("id")).distinct(), found.where("a <> b").select("a", "b")).select(F.col("id").alias("rep"), "component")
     looked = groups.select("label", "vector", "rep", "copies").join(counts, "rep", "left").join(group_of, "rep", "left")
     own = usable.select("vec_id", "label", "vector").join(looked, ["label", "vector"]).select(
         "vec_id", (F.coalesce("outside", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.col("component").alias("component_id"))

@@ -147,6 +147,13 @@ def test_token_counts_equal_the_library(docs, none):
     assert tokens.token_counts(none, path).collect() == []
 
 
+def test_rows_of_one_vector_id_stay_one_row_each(spark):
+    rows = [(1, [1.0, 0.0, 0.0], "a"), (1, [0.0, 1.0, 0.0], "a"), (2, [1.0, 0.001, 0.0], "a"), (1, [0.0, 0.0, 1.0], "b"), (3, [0.0, 1.0, 0.0], "b")]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label string")
+    got = sorted((r.vec_id, r.n_links, r.component_id) for r in embeddings.near_vectors(table).collect())
+    assert got == [(1, 1, 1), (1, 1, 1), (1, 1, 1), (2, 1, 1), (3, 0, 3)]
+
+
 def test_links_near_vectors(spark):
     rng = packing.np.random.default_rng(2)
     centers = rng.standard_normal((12, 64))

@@ -1,4 +1,4 @@
-"""Benchmark passages in training text: rare n-gram seeds, then local alignment."""
+"""Benchmark passages in training text: n-gram seeds, then local alignment."""
 
 from __future__ import annotations
 
@@ -9,11 +9,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
-from comboscope.functions.storage import written
 from comboscope.llm import words as W
 
-#: Words of a seed; an item of fewer words is one seed.
-SEED = 3
+#: Words of a seed, and of a seed of items below FEW words, where edits of 30 % can hit every longer one; an item of fewer words is one seed.
+SEED, SHORT, FEW = 3, 2, 21
 #: Test items looked for in one pass over the documents; more items take more passes.
 ITEMS = 20_000
 #: Costs of an edited and of a missing or added word against one for an equal word.
@@ -32,12 +31,14 @@ class Seeds:
         flat, offsets = W.split(_plain(pa.array([t for _, t in items], pa.large_string())))
         h = W.hashes(flat)
         self.words = [h[a:b] for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        self.known = [np.unique(w, return_counts=True) for w in self.words]
         rolling, size = W.Rolling(h), np.diff(offsets)
+        each = np.minimum(size, np.where(size < FEW, SHORT, SEED))
         grams, owner, place, length = [], [], [], []
         for n in range(1, SEED + 1):
             starts, counts = W.gram_starts(offsets, n)
             who = np.repeat(np.arange(len(size)), counts)
-            use = size[who] == n if n < SEED else np.ones(len(who), bool)
+            use = each[who] == n
             grams.append(rolling.runs(starts[use], starts[use] + n, n))
             owner.append(who[use])
             place.append(starts[use] - offsets[who[use]])
@@ -51,17 +52,46 @@ class Seeds:
         self.table[(self.hash >> self.bits).astype(np.int64)] = True
 
     def hits(self, h: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(text, gram, place) of every n-gram that some item has."""
-        rolling, out = W.Rolling(h), []
+        """(text, item, begin) of every n-gram that some item has, once each; an unedited copy of the item would begin there."""
+        rolling, out = W.Rolling(h), [np.zeros((0, 3), np.int64)]
         for n in self.lengths:
             starts, counts = W.gram_starts(offsets, n)
             grams = rolling.runs(starts, starts + n, n)
             maybe = np.nonzero(self.table[(grams >> self.bits).astype(np.int64)])[0]
-            at = np.minimum(np.searchsorted(self.hash, grams[maybe]), len(self.hash) - 1)
-            maybe = maybe[self.hash[at] == grams[maybe]]
-            text = np.searchsorted(offsets, starts[maybe], side="right") - 1
-            out.append((text, grams[maybe], starts[maybe] - offsets[text]))
-        return tuple(np.concatenate(x) for x in zip(*out, strict=True)) if out else (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            first, last = (np.searchsorted(self.hash, grams[maybe], side) for side in ("left", "right"))
+            at, start = W.ragged(first, last - first), np.repeat(starts[maybe], last - first)
+            text = np.searchsorted(offsets, start, side="right") - 1
+            out.append(np.stack([text, self.owner[at], start - offsets[text] - self.place[at]], 1))
+        return tuple(np.unique(np.concatenate(out).astype(np.int64), axis=0).T)
+
+
+def windows(begins: np.ndarray, size: int, slack: int) -> Iterator[tuple[int, int]]:
+    """The stretches of text that alignments of ``size`` words through seeds at ``begins`` can reach; those that meet are one."""
+    cuts = np.nonzero(np.diff(begins) > size + 2 * slack)[0] + 1
+    for part in np.split(begins, cuts):
+        yield max(0, int(part[0]) - slack), int(part[-1]) + size + slack
+
+
+def reachable(item: np.ndarray, known: tuple[np.ndarray, np.ndarray], text: np.ndarray, wanted: float, slack: int) -> bool:
+    """Whether an alignment can reach the score: by the item's words (``known``, with their counts) in a stretch that one can span, then by the score alone."""
+    names, counts = known
+    at = np.minimum(np.searchsorted(names, text), len(names) - 1)
+    places, need = np.nonzero(names[at] == text)[0], max(1, int(np.ceil(wanted)))
+    if len(places) < need or np.minimum(np.bincount(at[places], minlength=len(names)), counts).sum() < need:
+        return False
+    if not (places[need - 1 :] - places[: len(places) - need + 1] < len(item) + slack).any():
+        return False
+    above, slope, rest = np.zeros(len(text) + 1), GAP * np.arange(len(text) + 1), len(item)
+    for same in np.where(item[:, None] == text, 1.0, -MISMATCH):
+        score = np.maximum(above - GAP, 0)
+        np.maximum(score[1:], above[:-1] + same, out=score[1:])
+        above = np.maximum.accumulate(score + slope) - slope
+        top, rest = above.max(), rest - 1
+        if top >= wanted:
+            return True
+        if top + rest < wanted:
+            return False
+    return False
 
 
 def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
@@ -88,38 +118,28 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[float, int, int]:
     return best
 
 
-def _hits(seeds):
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows in W.chunks(batches, "text"):
-            flat, offsets = W.split(_plain(rows["text"]))
-            text, gram, place = seeds.value.hits(W.hashes(flat), offsets)
-            take = pa.array(text)
-            yield pa.RecordBatch.from_arrays([rows["doc"].take(take), rows["row"].take(take), pa.array(W.signed(gram)), pa.array(place)], ["doc", "row", "gram", "place"])
-    return scan
-
-
 def _aligned(seeds, ids: list, least: float):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = seeds.value
         for rows in W.chunks(batches, "text"):
             flat, offsets = W.split(_plain(rows["text"]))
             h, out = W.hashes(flat), []
-            for r, candidates in enumerate(rows["near"].to_pylist()):
-                words = h[offsets[r] : offsets[r + 1]]
-                for c in candidates:
-                    item = found.words[c["item"]]
-                    slack = len(item) // 2 + 2
-                    best, done = (0.0, 0, 0), -1
-                    for begin in sorted(c["begins"]):
-                        low, high = max(0, begin - slack), min(len(words), begin + len(item) + slack)
-                        if high <= done:
-                            continue
-                        done = high
-                        score, a, b = align(item, words[low:high])
+            text, who, begins = found.hits(h, offsets)
+            cuts = np.nonzero(np.diff(text) | np.diff(who))[0] + 1
+            for a, b in zip([0, *cuts], [*cuts, len(text)], strict=True):
+                if a == b:
+                    continue
+                r, item = int(text[a]), found.words[who[a]]
+                words, wanted = h[offsets[r] : offsets[r + 1]], least * len(item)
+                slack = int((1 - least) * len(item) / GAP) + 1  # more added words cost more than the item can score
+                best = (0.0, 0, 0)
+                for low, high in windows(begins[a:b], len(item), slack):
+                    if reachable(item, found.known[who[a]], words[low:high], wanted, slack):
+                        score, first, end = align(item, words[low:high])
                         if score > best[0]:
-                            best = (score, low + a, low + b)
-                    if best[0] >= least * len(item):
-                        out.append((r, ids[c["item"]], best[0] / len(item), best[1], best[2]))
+                            best = (score, low + first, low + end)
+                if best[0] >= wanted and best[0] > 0:
+                    out.append((r, ids[who[a]], best[0] / len(item), best[1], best[2]))
             if out:
                 row, item, score, a, b = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([rows["doc_id"].take(pa.array(row)), rows["row"].take(pa.array(row)), pa.array(item), pa.array(score, pa.float64()), pa.array(a, pa.int64()), pa.array(b, pa.int64())],
@@ -127,21 +147,22 @@ def _aligned(seeds, ids: list, least: float):
     return scan
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, rare: float = 0.5,
+def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5,
                  doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", item_text: str = "text") -> DataFrame:
     """Per document and test item found in it: doc_id, text_hash (xxhash64 of the text), item_id, score, first_word, end_word.
 
-    Words are compared without case and punctuation. The rarest share ``rare`` of an item's three-word sequences,
-    by the number of documents that have them, seed candidates; each place where seeds fall on about one diagonal is
-    aligned with the whole item, and the best score over the item's length must reach ``least``. Items come
-    in blocks of ``ITEMS``, each of which takes a pass over the documents; nothing else is kept whole.
+    Words are compared without case and punctuation. Every three-word sequence of an item (two words for items of
+    fewer than ``FEW``) seeds candidates, however common; the text that alignments through an item's seeds can reach is aligned with
+    the whole item unless it has too few of the item's words, and the best score over the item's length must reach
+    ``least``. Copies that keep no such sequence are not found. Items come in blocks of ``ITEMS``, each of which takes
+    a pass over the documents; nothing is shuffled.
 
     Null and empty texts or items match nothing, nor do items with null ids; null document ids are reported as
     such; equal rows are reported each. Other columns are ignored; empty tables give an empty result.
     """
     spark = docs.sparkSession
     kind = docs.schema[doc_id].dataType.simpleString()
-    rows = docs.select(F.xxhash64(F.col(doc_id)).alias("doc"), F.xxhash64(F.col(text)).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    rows = docs.select(F.xxhash64(F.col(text)).alias("row"), F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
     items = benchmark.select(F.col(item_id).alias("item_id"), F.col(item_text).alias("text")).where("item_id is not null and text is not null")
     item_kind = items.schema["item_id"].dataType.simpleString()
     schema = f"doc_id {kind}, text_hash long, item_id {item_kind}, score double, first_word long, end_word long"
@@ -155,16 +176,6 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, least: float = 0.5, rare
         if not len(found.hash):
             continue
         seeds = spark.sparkContext.broadcast(found)
-        hits = written(rows.select("doc", "row", "text").mapInArrow(_hits(seeds), "doc long, row long, gram long, place long"), "seed-hits")
-        frequency = {r["gram"]: r["n"] for r in hits.select("gram", "doc", "row").distinct().groupBy("gram").agg(F.count("*").alias("n")).collect()}
-        # at most the block's own n-grams, with the items and places that have them
-        names, order = W.signed(found.hash), {}
-        for g, item, place in zip(names.tolist(), found.owner.tolist(), found.place.tolist(), strict=True):
-            order.setdefault(item, []).append((frequency.get(g, 0), g, place))
-        chosen = [(g, item, place) for item, all_grams in order.items() for _, g, place in sorted(all_grams)[: -(-int(len(all_grams) * rare * 100) // 100) or 1]]
-        rarest = spark.createDataFrame(chosen, "gram long, item int, at long")
-        near = (hits.join(F.broadcast(rarest), "gram").groupBy("doc", "row", "item").agg(F.collect_set(F.col("place") - F.col("at")).alias("begins"))
-                .groupBy("doc", "row").agg(F.collect_list(F.struct("item", "begins")).alias("near")))
-        aligned = rows.join(near, ["doc", "row"]).select("doc_id", "row", "text", "near").mapInArrow(_aligned(seeds, [i for i, _ in block], least), schema)
+        aligned = rows.mapInArrow(_aligned(seeds, [i for i, _ in block], least), schema)
         out = out.unionByName(aligned)
     return out

@@ -266,6 +266,37 @@ def test_finds_edited_passages(spark, none):
     assert decontamination.contaminated(none, bench).collect() == [] and decontamination.contaminated(table, bench.where("false")).collect() == []
 
 
+def test_finds_what_alignment_with_every_item_finds(spark):
+    rng = random.Random(11)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(900)]
+    items = [[*rng.choices(vocabulary, k=n)] for n in (4, 8, 10, 13, 16, 19, 20, 24, 30, 40, 40, 55)]
+    items = [["what", "is", "the", *x] if i % 3 == 0 else x for i, x in enumerate(items)]
+    bodies = []
+    for x in items:
+        for share in (0.1, 0.2, 0.3):
+            for _ in range(3):
+                body = list(x)
+                for at in rng.sample(range(len(x)), int(share * len(x))):
+                    body[at] = rng.choice(["", "changed", body[at] + " added"])
+                bodies.append(body)
+        bodies += [x[: -(-len(x) // 2)], x[len(x) // 2 :], ["edit" if i % 5 == 4 else w for i, w in enumerate(x)], x]
+    bodies.append([*items[9][:20], *["added"] * 30, *items[9][20:]])
+    texts = [" ".join(rng.choices(vocabulary, k=25) + b + rng.choices(vocabulary, k=rng.randint(0, 90))) for b in bodies]
+    numbers = {}
+    coded = lambda ws: packing.np.array([numbers.setdefault(w, len(numbers)) for w in ws])
+    want = {}
+    for d, t in enumerate(texts):
+        for i, x in enumerate(items):
+            score = decontamination.align(coded(x), coded(t.split()))[0] / len(x)
+            if score >= 0.5:
+                want[d, i] = score
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id): r.score for r in decontamination.contaminated(table, bench).collect()}
+    assert got.keys() == want.keys() and len(got) >= len(texts) - 5
+    assert all(got[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_alignment_equals_plain_smith_waterman():
     rng = random.Random(8)
     for _ in range(60):

@@ -20,7 +20,17 @@ FORMS = {
              rf"|(?<![{_WORD}])\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}(?![{_WORD}])|(?<![{_WORD}-])[0-9]{{3}}[-.][0-9]{{3}}[-.][0-9]{{4}}(?![{_WORD}-])",
     "card": rf"(?<![{_WORD}])[0-9](?:[ -]?[0-9]){{12,18}}(?![{_WORD}])",
 }
-_ANY = "|".join(FORMS.values())
+#: What is looked for in turn: each row's valid account and card numbers join the first step, odd groupings of cards come last.
+_STEPS = (("email", "key", "secret"), ("ip", "date", "ssn", "phone"), ("card",))
+_BEFORE, _AFTER = rf"(?<![{_WORD}+])", rf"(?![{_WORD}])"
+#: Card numbers as they are grouped, with one separator, and such of 4-4-4-4 with more; from one place at most one of each matches.
+_CARDS = (r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{1,4}|[0-9]{4}([ -])(?:[0-9]{6}\3[0-9]{4,5}|[0-9]{5}\3[0-9]{6})"
+          r"|[0-9]{5}([ -])[0-9]{5}\4[0-9]{5}|[0-9]{8}[ -][0-9]{8}|[0-9]{6}[ -][0-9]{13}",
+          r"[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{4}\2[0-9]{1,3}")
+#: Characters of account numbers by country (ISO 13616).
+_LANDS = {15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV", 22: "BG BH CR DE GB GE IE ME RS VA",
+          23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG", 25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM",
+          28: "AL AZ BY CY DO GT HN HU LB NI PL SV", 29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU"}
 _FIRST_DAY, _DAYS = "1900-01-01", (229, 319)  # 73051 days, to 2100-01-02
 
 
@@ -164,18 +174,65 @@ def _iban(m: Column, key: str) -> Column:
     return _let(F.replace(m, F.lit(" "), F.lit("")), lambda plain: F.when((F.length(plain) >= 15) & (_mod97(plain) == 1), moved(plain)).otherwise(m))
 
 
-def pseudonym(m: Column, key: str) -> Column:
-    """The pseudonym of one found value; itself where its number is not valid."""
-    whole = {kind: "^(?:" + form + ")$" for kind, form in FORMS.items()}
-    return (F.when(m.contains("@"), _email(m, key))
-            .when(m.rlike(whole["ip"]), _ip(m, key)).when(m.rlike(whole["date"]), _date(m, key))
-            .when(m.rlike(whole["ssn"]), _let(_numbers_plain(_digits(m), key, "ssn"), lambda d: _put_back(m, d)))
-            .when(m.rlike(whole["card"]) & ~m.startswith("+"), _card(m, key))
-            .when(m.rlike(whole["phone"]), _phone(m, key))
-            .when(m.rlike(whole["key"]), F.concat(F.substring(m, 1, 4), _in_classes(F.substring(m, F.lit(5), F.length(m)), key, "key")))
-            .when(m.rlike(whole["iban"]), _iban(m, key))
-            .when(m.rlike("^[0-9a-f]+$"), _in_classes(m, key, "secret", hexadecimal=True))
-            .otherwise(_in_classes(m, key, "secret")))
+def pseudonym(m: Column, key: str, kinds: tuple[str, ...] = tuple(FORMS)) -> Column:
+    """The pseudonym of one found value of one of these kinds; itself where its number is not valid."""
+    whole = {kind: m.rlike("^(?:" + form + ")$") for kind, form in FORMS.items()}
+    ways = {
+        "email": (m.contains("@"), lambda: _email(m, key)), "ip": (whole["ip"], lambda: _ip(m, key)), "date": (whole["date"], lambda: _date(m, key)),
+        "ssn": (whole["ssn"], lambda: _let(_numbers_plain(_digits(m), key, "ssn"), lambda d: _put_back(m, d))),
+        "card": (whole["card"] & ~m.startswith("+"), lambda: _card(m, key)), "phone": (whole["phone"], lambda: _phone(m, key)),
+        "key": (whole["key"], lambda: F.concat(F.substring(m, 1, 4), _in_classes(F.substring(m, F.lit(5), F.length(m)), key, "key"))),
+        "iban": (whole["iban"], lambda: _iban(m, key)), "secret": (m.rlike("^[0-9a-f]+$"), lambda: _in_classes(m, key, "secret", hexadecimal=True)),
+    }
+    out = F
+    for kind, (found, made) in ways.items():
+        out = out.when(found, made()) if kind in kinds else out
+    return out.otherwise(_in_classes(m, key, "secret") if "secret" in kinds else m)
+
+
+def _listed(values: Column, before: str) -> Column:
+    """A further alternative of a pattern that finds these values, digits, capitals, spaces and hyphens only; nothing without values."""
+    return F.when(F.size(values) > 0, F.concat(F.lit("|" + before + "(?:"), F.array_join(F.array_distinct(values), "|"), F.lit(")" + _AFTER))).otherwise("")
+
+
+def _valid_cards(text: Column) -> Column:
+    """The card numbers of a text, from any place on, the longest first."""
+    found = F.concat(*(F.regexp_extract_all(text, F.lit(f"{_BEFORE}(?=({form}){_AFTER})"), F.lit(1)) for form in reversed(_CARDS)))
+    valid = F.filter(found, lambda m: F.pmod(_let(_digits(m), _luhn), F.lit(10)) == 0)
+    return F.when(text.rlike("[0-9][0-9 -]{11,}[0-9]"), valid).otherwise(F.array().cast("array<string>"))
+
+
+def _valid_accounts(text: Column) -> Column:
+    """The account numbers of a text, from any place on and of any length, those of their country's length first, then the longest."""
+    lands = F.lit(" " + " ".join(f"{land}{n}" for n, names in _LANDS.items() for land in names.split()) + " ")
+    whole = f"^(?:{FORMS['iban']})$"
+
+    def ends(run: Column) -> Column:
+        """Every part of a run from its first character on that ends with a word, with what it is without spaces."""
+        cuts = F.filter(F.sequence(F.lit(15), F.greatest(F.length(run), F.lit(15))), lambda n: ~F.substring(run, n + 1, F.lit(1)).rlike(f"[{_WORD}]"))
+        parts = F.transform(cuts, lambda n: F.substring(run, F.lit(1), n))
+        return F.transform(F.filter(parts, lambda m: m.rlike(whole)), lambda m: F.struct(F.replace(m, F.lit(" "), F.lit("")).alias("plain"), m.alias("m")))
+
+    # at most 43 characters and the one after them
+    runs = F.regexp_extract_all(text, F.lit(rf"(?<![{_WORD}])(?=([A-Z]{{2}}[0-9]{{2}}[{_WORD} ]{{11,40}}))"), F.lit(1))
+    valid = F.filter(F.flatten(F.transform(runs, ends)), lambda x: (F.length(x["plain"]) >= 15) & (_mod97(x["plain"]) == 1))
+    usual = lambda x: F.contains(lands, F.concat(F.lit(" "), F.substring(x["plain"], 1, 2), F.length(x["plain"]).cast("string"), F.lit(" ")))
+    ranked = F.array_sort(F.transform(valid, lambda x: F.struct((~usual(x)).alias("other"), (-F.length(x["m"])).alias("n"), x["m"].alias("m"))))
+    return F.when(text.rlike("[A-Z]{2}[0-9]{2} ?[A-Z0-9]{4}"), F.transform(ranked, lambda x: x["m"])).otherwise(F.array().cast("array<string>"))
+
+
+def _form(kinds: tuple[str, ...]) -> Column:
+    return F.lit("|".join(FORMS[kind] for kind in kinds))
+
+
+def _cut(pieces: Column, form: Column, key: str, kinds: tuple[str, ...]) -> Column:
+    """Pieces of a text, where those without a pseudonym (null) are cut at what has the form."""
+    def cut(piece: Column) -> Column:
+        plain = F.transform(F.split(piece["old"], form, -1), lambda s: F.struct(s.alias("old"), F.lit(None).cast("string").alias("new")))
+        found = F.transform(F.regexp_extract_all(piece["old"], form, F.lit(0)), lambda m: F.struct(m.alias("old"), pseudonym(m, key, kinds).alias("new")))
+        return F.filter(F.flatten(F.zip_with(plain, found, lambda p, f: F.array(p, f))), lambda x: x["old"] != "")
+
+    return F.flatten(F.transform(pieces, lambda piece: F.when(piece["new"].isNull(), cut(piece)).otherwise(F.array(piece))))
 
 
 def replace_personal(docs: DataFrame, key: str, text: str = "text", count: str = "n_replaced") -> DataFrame:
@@ -185,17 +242,20 @@ def replace_personal(docs: DataFrame, key: str, text: str = "text", count: str =
     and telephone numbers, access keys, passwords and tokens go through a keyed Feistel network over their
     own characters: lengths, separators, letter case, card and account check digits, country codes,
     date and address ranges stay valid, and equal values get equal pseudonyms in all documents.
+    Card numbers in their usual groups and account numbers are found from any word on and up to any that they can end with, so numbers
+    and words beside them do not hide them; cards in other groups are found where the whole run of digits is one.
     Numbers that fail their check stay. Null stays null with count 0; all rows and columns return, and a
     column already named ``count`` is replaced.
     """
     kept = [c for c in docs.columns if c != count]
-    found = F.transform(F.regexp_extract_all(F.col(text), F.lit(_ANY), F.lit(0)), lambda m: F.struct(m.alias("old"), pseudonym(m, key).alias("new")))
+    whole = F.array(F.struct(F.col(text).alias("old"), F.lit(None).cast("string").alias("new")))
+    first = F.concat(_form(_STEPS[0]), _listed(_valid_accounts(F.col(text)), rf"(?<![{_WORD}])"), _listed(_valid_cards(F.col(text)), _BEFORE))
+    pieces = _let(first, lambda form: _cut(whole, form, key, (*_STEPS[0], "iban", "card")))
+    for kinds in _STEPS[1:]:
+        pieces = _cut(pieces, _form(kinds), key, kinds)
     # texts without a digit, @ or = hold none of the forms
-    found = F.when(F.col(text).rlike("[0-9@=]"), found).otherwise(F.array().cast("array<struct<old:string,new:string>>"))
-    rows = docs.select(*kept, found.alias("_found"))
-    parts = F.split(F.col(text), _ANY, -1)
-    ends = F.concat(F.transform("_found", lambda x: x["new"]), F.array(F.lit("")))
-    merged = F.array_join(F.flatten(F.zip_with(parts, ends, lambda p, e: F.array(p, e))), "")
-    changed = F.when(F.size("_found") > 0, merged).otherwise(F.col(text))
-    n = F.size(F.filter("_found", lambda x: x["old"] != x["new"]))
+    pieces = F.when(F.col(text).rlike("[0-9@=]"), pieces).otherwise(F.array().cast("array<struct<old:string,new:string>>"))
+    rows = docs.select(*kept, pieces.alias("_pieces"))
+    changed = F.when(F.size("_pieces") > 0, F.array_join(F.transform("_pieces", lambda x: F.coalesce(x["new"], x["old"])), "")).otherwise(F.col(text))
+    n = F.size(F.filter("_pieces", lambda x: x["new"].isNotNull() & (x["old"] != x["new"])))
     return rows.select(*(changed.alias(c) if c == text else F.col(c) for c in kept), F.greatest(n, F.lit(0)).cast("long").alias(count))

@@ -331,6 +331,24 @@ def test_pseudonyms_keep_formats_and_links(spark, none):
     assert pii.replace_personal(none, "k").collect() == []
 
 
+def test_numbers_beside_cards_and_accounts_do_not_hide_them(spark):
+    cards = ["4111111111111111", "4111 1111 1111 1111", "4041-8949-7460-8795", "3782 822463 10005", "6304000000000000000"[:16] + "000"]
+    accounts = ["BE68 5390 0754 7034", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432", "NO9386011117947"]
+    luhn = lambda d: sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(re.sub(r"\D", "", d)))) % 10 == 0
+    cards = [c for c in cards if luhn(c)]
+    assert len(cards) >= 4
+    around = [("", " 12/27"), ("", " 123"), ("order 12 ", ""), ("1234 ", " 5678"), ("7 2020-02-03 ", " 99 1"), ("+1 988-555-2485 ", "."), ("", " THE"), ("A1 ", " AB12 CD"), ("NO 12 ", " 4111 1111 1111 1111")]
+    rows = [(a + v + b, v) for v in cards + accounts for a, b in around]
+    got = pii.replace_personal(spark.createDataFrame(rows, "text string, value string"), "k").collect()
+    alone = {r.value: r.text for r in pii.replace_personal(spark.createDataFrame([(v, v) for v in cards + accounts], "text string, value string"), "k").collect()}
+    assert all(alone[v] != v for v in alone)
+    for r in got:
+        assert r.value not in r.text and alone[r.value] in r.text, r
+    assert not any("2020-02-03" in r.text or "988-555-2485" in r.text for r in got)
+    two = pii.replace_personal(spark.createDataFrame([(" ".join(cards[:2]) + " 1 2020-01-02 2020-01-03 5",)], "text string"), "k").first()
+    assert two.n_replaced == 4
+
+
 def test_pipeline_stages_keep_columns(spark):
     import corpus_pipeline
 

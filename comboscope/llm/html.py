@@ -22,6 +22,8 @@ IMPLIED = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}), "thead": ({"caption", "colgroup"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select", "datalist"}),
 }
+#: Parts of a table that hold only other parts, and all parts; what else stands in the former is shown before the table.
+_FRAME, _PARTS = set("table thead tbody tfoot tr colgroup".split()), set("caption colgroup thead tbody tfoot tr td th".split())
 _ENDS_P = BLOCK - {"html", "body", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "optgroup", "option", "legend"}
 
 
@@ -44,6 +46,7 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("html", {})
         self.open = [self.root]
+        self.homes: dict[int, list] = {}  # where each open table stands
         self.feed(page)
         self.close()
 
@@ -56,19 +59,52 @@ class Tree(HTMLParser):
                 return None
         return None
 
+    def _table(self) -> int:
+        """Place of the innermost open table, 0 if there is none or a template in it is open."""
+        return next((at if self.open[at].tag == "table" else 0 for at in range(len(self.open) - 1, 0, -1) if self.open[at].tag in ("table", "template")), 0)
+
+    def _in_table(self, tag: str) -> bool:
+        """Closes and opens what the start tag implies in a table; False if a browser drops the tag there."""
+        if self.open[-1].tag == "colgroup" and tag not in ("col", "template"):
+            self.open.pop()
+        if tag == "table" and self.open[-1].tag in _FRAME:
+            del self.open[self._table() :]
+        elif tag in _PARTS and (at := self._table()):
+            at += 1
+            if tag in ("tr", "td", "th") and at < len(self.open) and self.open[at].tag in ("thead", "tbody", "tfoot"):
+                at += 1
+            if tag in ("td", "th") and at < len(self.open) and self.open[at].tag == "tr":
+                at += 1
+            del self.open[at:]
+            if tag in ("td", "th") and self.open[-1].tag != "tr":
+                self._put(Element("tr", {}))
+        return tag != "form" or self.open[-1].tag not in _FRAME
+
+    def _put(self, child: Element | str) -> None:
+        """Adds a child to the innermost open element, or in front of the table if that can't hold it."""
+        home, tag = self.open[-1].children, "" if isinstance(child, str) else child.tag
+        if self.open[-1].tag in _FRAME and tag not in _PARTS | {"col", "script", "style", "template"} and (at := self._table()):
+            home = self.homes[id(self.open[at])]
+            home.insert(len(home) - 1, child)  # an open table is the last child
+        else:
+            home.append(child)
+        if tag and tag not in VOID:
+            self.open.append(child)
+        if tag == "table":
+            self.homes[id(child)] = home
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ("html", "body") and any(e.tag == tag for e in self.open):
             return
         if tag == "body":
             self._close({"head"}, set())
+        if self.homes and not self._in_table(tag):
+            return
         if tag in _ENDS_P:
             self._close({"p"}, {"table", "td", "th", "button", "caption", "object"})
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
-        element = Element(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].children.append(element)
-        if tag not in VOID:
-            self.open.append(element)
+        self._put(Element(tag, {k: v or "" for k, v in attrs}))
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -82,11 +118,16 @@ class Tree(HTMLParser):
             if self.open[at].tag == tag:
                 del self.open[at:]
                 return
-            if self.open[at].tag in ("td", "th", "table") and tag not in ("table", "tr", "tbody", "thead", "tfoot"):
+            if self.open[at].tag == "table" or (self.open[at].tag in ("td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot")):
                 return
 
     def handle_data(self, data: str) -> None:
-        self.open[-1].children.append(data)
+        if not data.strip():
+            self.open[-1].children.append(data)
+            return
+        if self.open[-1].tag == "colgroup":
+            self.open.pop()
+        self._put(data)
 
 
 class Lines:

@@ -192,6 +192,17 @@ def test_lays_pages_out():
     assert html.visible_text(None) == "" == html.visible_text("") and html.visible_text("<p") in ("", "<p") and html.visible_text("x" + "<div>" * 5000 + "y") == "x\ny"
 
 
+@pytest.mark.parametrize("page, lines", [
+    ("<table><td>x</table>", ["x"]), ("<table><tbody><td>x</td><td>y</tbody></table>", ["x  y"]), ("<table><form><tr><td>a</td></tr></form></table>b", ["a", "", "b"]),
+    ("<table><tr><form><td>a<td>b</form><tr><td>c</table>", ["a  b", "c"]), ("p<table>one<tr>two<div>three</div><td>a</td><p>four</table>five", ["ponetwo", "three", "", "four", "", "a", "", "five"]),
+    ("<table><tr><td>a<table><td>b</tr></table>c</td><td>d</table>", ["a b c  d"]), ("<table><tr><b>x<td>a</b>b<td>c</table>", ["x", "", "ab  c"]),
+    ("<table><colgroup><col>t<caption>k<tr><td>a<thead><th>b</table>", ["t", "", "k", "a", "b"]), ("<table><tr><td>a<table><tr><td>b</table><table>w<td>c</table>d</table>e", ["a b w c d", "", "e"]),
+    ("<table><tr><td>a</td><table><tr><td>b</table>c", ["a", "", "b", "", "c"]), ("<table><template><tr><td>no</td></tr></template><tr><td>a</table>", ["a"]),
+])
+def test_malformed_tables_lose_no_text(page, lines):
+    assert html.visible_text(page).split("\n") == lines
+
+
 def test_pages_keep_their_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a", "t"), (1, "u", "<p>a", "t"), (None, None, None, None)], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, html.extract(pages).collect()), key=repr) == [(1, "a", 1, 1), (1, "a", 1, 1), (None, "", 0, 0)]

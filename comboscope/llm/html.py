@@ -22,6 +22,8 @@ IMPLIED = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}), "thead": ({"caption", "colgroup"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select", "datalist"}),
 }
+#: What may stand in a head; anything else ends it.
+_HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
 #: Parts of a table that hold only other parts, and all parts; what else stands in the former is shown before the table.
 _FRAME, _PARTS = set("table thead tbody tfoot tr colgroup".split()), set("caption colgroup thead tbody tfoot tr td th".split())
 _ENDS_P = BLOCK - {"html", "body", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "optgroup", "option", "legend"}
@@ -96,8 +98,12 @@ class Tree(HTMLParser):
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         if tag in ("html", "body") and any(e.tag == tag for e in self.open):
             return
+        if tag == "head" and (len(self.open) > 1 or any(isinstance(c, Element) or c.strip() for c in self.root.children)):
+            return  # a browser has begun the head or the body already
         if tag == "body":
             self._close({"head"}, set())
+        if self.open[-1].tag == "head" and tag not in _HEAD:
+            self.open.pop()
         if self.homes and not self._in_table(tag):
             return
         if tag in _ENDS_P:
@@ -125,7 +131,7 @@ class Tree(HTMLParser):
         if not data.strip():
             self.open[-1].children.append(data)
             return
-        if self.open[-1].tag == "colgroup":
+        if self.open[-1].tag in ("head", "colgroup"):
             self.open.pop()
         self._put(data)
 

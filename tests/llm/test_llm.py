@@ -203,6 +203,14 @@ def test_malformed_tables_lose_no_text(page, lines):
     assert html.visible_text(page).split("\n") == lines
 
 
+@pytest.mark.parametrize("page, lines", [
+    ("<head><title>T</title><h1>Hello</h1><p>text", ["Hello", "", "text"]), ("<html><head><meta charset=x><link><style>s</style><noscript>n</noscript> word<script>x</script> more</html>", ["word more"]),
+    ("<head><title>T</title></head><p>a<head><p>b", ["a", "", "b"]), ("<head>\n<base><template><p>no</template><div>a</div><body>b", ["a", "b"]), ("<head><title>T</title>\n</head>\n<body>a</body>", ["a"]),
+])
+def test_heads_end_at_the_first_content(page, lines):
+    assert html.visible_text(page).split("\n") == lines
+
+
 def test_pages_keep_their_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a", "t"), (1, "u", "<p>a", "t"), (None, None, None, None)], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, html.extract(pages).collect()), key=repr) == [(1, "a", 1, 1), (1, "a", 1, 1), (None, "", 0, 0)]

@@ -9,8 +9,12 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-#: Labelled texts of each class that the model is fitted on, at most, and the characters read of each; scored texts are read whole.
-FITTED, FITTED_CHARS = 2000, 16_000
+from comboscope.functions.storage import written
+
+#: Labelled texts of each class that the model is fitted on, at most.
+FITTED = 2000
+#: A longer text gives a dictionary so many parts from all over it, these many characters together; the curve is fitted on whole texts.
+FITTED_CHARS, PARTS = 16_000, 16
 #: Bytes of each dictionary, and the compression level.
 DICTIONARY, LEVEL = 64 << 10, 3
 
@@ -79,18 +83,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1
     return w
 
 
-def fit(good: list[bytes], bad: list[bytes], rate: float) -> Scorer | None:
-    """A scorer from labelled texts: dictionaries from one half of each class, the curve from the other; ``rate`` is the share of good rows."""
-    good, bad = [t for t in good if t], [t for t in bad if t]
-    if len(good) < 2 or len(bad) < 2:
-        return None
-    dictionaries = _dictionary(good[::2]), _dictionary(bad[::2])
-    scorer = Scorer(*dictionaries, np.zeros(1), np.zeros(3), np.ones(3), 0, 99, rate)
-    rest = good[1::2] + bad[1::2]
-    y = np.array([1.0] * len(good[1::2]) + [0.0] * len(bad[1::2]))
-    sizes = scorer.sizes(rest)
+def fit(dictionaries: tuple[bytes, bytes], sizes: np.ndarray, y: np.ndarray, rate: float) -> Scorer:
+    """A scorer with dictionaries of good and bad text, its curve fitted to the ``sizes`` of other texts, good where ``y`` is 1; ``rate`` is the share of good rows."""
     length = np.log(np.maximum(sizes[:, 0], 1))
-    scorer.low, scorer.high = float(length.min()), float(length.max())
+    scorer = Scorer(*dictionaries, np.zeros(1), np.zeros(3), np.ones(3), float(length.min()), float(length.max()), rate)
     plain = np.stack([(sizes[:, 2] - sizes[:, 1]) / (sizes[:, 2] + sizes[:, 1]), np.log(np.minimum(sizes[:, 1], sizes[:, 2]) / np.maximum(sizes[:, 0], 1)), length], 1)
     scorer.center, scorer.spread = plain.mean(0), np.maximum(plain.std(0), 1e-6)
     weight = np.where(y == 1, rate / y.mean(), (1 - rate) / (1 - y.mean()))
@@ -98,11 +94,29 @@ def fit(good: list[bytes], bad: list[bytes], rate: float) -> Scorer | None:
     return Scorer(*dictionaries, scorer.weights, scorer.center, scorer.spread, scorer.low, scorer.high, rate)
 
 
+def _parts(text: Column) -> Column:
+    """A text, or parts evenly from all over a long one."""
+    size = FITTED_CHARS // PARTS
+    start = lambda i: (F.floor(i * (F.length(text) - size) / (PARTS - 1)) + 1).cast("int")
+    parts = F.transform(F.sequence(F.lit(0), F.lit(PARTS - 1)), lambda i: F.substring(text, start(i), F.lit(size)))
+    return F.when(F.length(text) <= FITTED_CHARS, text).otherwise(F.array_join(parts, ""))
+
+
+def _sizes(dictionaries: tuple[bytes, bytes]):
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(*dictionaries, np.zeros(1), np.zeros(3), np.ones(3), 0, 99, 0.5)
+        for batch in batches:
+            sizes = scorer.sizes([t.as_py().encode() for t in batch["_text"]])
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("_good", "_h", "_t")), *(pa.array(x) for x in sizes.T)], ["_good", "_h", "_t", "n", "good", "bad"])
+    return scan
+
+
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", quality: str = "quality") -> tuple[Scorer | None, float]:
     """A scorer and the share of good rows, from the labelled rows given.
 
     Of each class the ``FITTED`` rows with the least hash of their id are taken, so the sample is bounded and the
-    same on any cluster. Rows without label, id or text are not trained on.
+    same on any cluster; rows of one id and text count once. Every other one goes to the dictionaries, the rest to
+    the curve, whose sizes are computed in tasks on whole texts. Rows without label, id or text are not trained on.
     """
     known = labels.where(F.col(quality).isin(0, 1) & F.col(doc_id).isNotNull()).select(F.col(doc_id).alias("_id"), F.col(quality).alias("_good"))
     counts = {r["_good"]: r["count"] for r in known.groupBy("_good").count().collect()}
@@ -111,10 +125,23 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
     rate = counts.get(1, 0) / sum(counts.values())
     chosen = [known.where(F.col("_good") == q).orderBy(F.xxhash64("_id"), "_id").limit(FITTED) for q in (0, 1)]
     sample = F.broadcast(chosen[0].unionByName(chosen[1]))  # at most 2 * FITTED ids
-    rows = (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(sample, "_id").where(F.col("_text").isNotNull())
-            .select("_id", "_good", F.substring("_text", 1, FITTED_CHARS).alias("_text")).orderBy(F.xxhash64("_id"), "_text").limit(2 * FITTED).collect())
-    texts = {q: [r["_text"].encode() for r in rows if r["_good"] == q] for q in (0, 1)}
-    return fit(texts[1], texts[0], min(max(rate, 1e-3), 1 - 1e-3)), rate
+    rows = (docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).join(sample, "_id").where("_text <> ''")
+            .select("_good", F.xxhash64("_id").alias("_h"), F.xxhash64("_text").alias("_t"), "_text").dropDuplicates(["_good", "_h", "_t"]))
+    rows = written(rows, "labelled")
+    keys = [tuple(r) for r in rows.select("_good", "_h", "_t").orderBy("_h", "_t").limit(2 * FITTED).collect()]
+    known_as = {q: [k for k in keys if k[0] == q] for q in (0, 1)}
+    if min(map(len, known_as.values())) < 2:
+        return None, rate
+
+    def chosen_rows(first: int) -> DataFrame:
+        part = docs.sparkSession.createDataFrame(known_as[0][first::2] + known_as[1][first::2], "_good int, _h long, _t long")
+        return rows.join(F.broadcast(part), ["_good", "_h", "_t"], "left_semi")  # at most 2 * FITTED keys
+
+    texts = chosen_rows(0).select("_good", _parts(F.col("_text")).alias("_text"), "_h", "_t").orderBy("_h", "_t").collect()
+    dictionaries = tuple(_dictionary([r["_text"].encode() for r in texts if r["_good"] == q]) for q in (1, 0))
+    measured = chosen_rows(1).withColumn("_good", F.col("_good").cast("int")).mapInArrow(_sizes(dictionaries), "_good int, _h long, _t long, n double, good double, bad double")
+    measured = np.array(sorted(([r["_good"], r["n"], r["good"], r["bad"]] for r in measured.collect()), key=tuple), float)
+    return fit(dictionaries, measured[:, 1:], measured[:, 0], min(max(rate, 1e-3), 1 - 1e-3)), rate
 
 
 def _scores(scorer: Scorer):

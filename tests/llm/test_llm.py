@@ -233,6 +233,16 @@ def test_quality_of_held_out_texts(spark, none):
     assert quality.quality_scores(none, None).collect() == [] and quality.quality_scores(none, scorer, rate).collect() == []
 
 
+def test_curve_is_fitted_on_whole_texts(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.choice(["stone", "river", "tree"] if i % 2 else ["BUY", "FREE", "WIN"]) for _ in range(rng.choice([20, 200, 9000])))) for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in rows], "doc_id long, quality int")
+    scorer, rate = quality.train(spark.createDataFrame(rows, "doc_id long, text string"), labels)
+    assert rate == 0.5 and scorer.high > math.log(30_000)
+    long = spark.createDataFrame([("ab" * 20_000,), ("short",)], "text string").select(quality._parts(F.col("text")).alias("p")).collect()
+    assert [len(r.p) for r in long] == [quality.FITTED_CHARS, 5]
+
+
 def test_word_probabilities(docs, none):
     path = P.path("piece_bpe_32k.model")
     got = {(r.doc_id, r.n_tokens): r for r in lm.score_documents(docs, quality.fold("doc_id") == 1, path).collect()}

@@ -215,6 +215,9 @@ def _linked(k: int, percent: int):
         return edges
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
+        # 64-bit offsets, or else texts of more than 2 GiB stay in several batches
+        at = rows.schema.get_field_index("text")
+        rows = rows.set_column(at, "text", rows["text"].cast(pa.large_string()))
         edges = links(rows.combine_chunks().to_batches()[0], key[-2].as_py(), key[-1].as_py())
         return pa.table({"a": pa.array([e[0] for e in edges], pa.int64()), "b": pa.array([e[1] for e in edges], pa.int64())})
 

@@ -96,6 +96,15 @@ def test_tree_keeps_every_similar_pair():
     assert similar and similar <= found and len(found) < len(texts) * (len(texts) - 1) / 2
 
 
+def test_blocks_of_any_size_meet_whole(monkeypatch):
+    seen, sets = [], jaccard.shingle_sets
+    monkeypatch.setattr(jaccard, "shingle_sets", lambda texts, k: (seen.append((texts.type, len(texts))), sets(texts, k))[1])
+    body = " ".join(f"w{i}" for i in range(60))
+    part = lambda ids: pa.table({"doc_id": ids, "block": [0] * len(ids), "text": [f"{body} n{i}" for i in ids]})
+    found = jaccard._linked(1, 90)((*[pa.scalar(0)] * 4,), pa.concat_tables([part([1, 2]), part([3])]))
+    assert seen == [(pa.large_string(), 3)] and found.num_rows == 2  # string arrays above 2 GiB can't be one batch
+
+
 def test_packs_all_tokens_once(docs, none):
     from tokenizers import Tokenizer
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 # Element names of the HTML standard.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-HIDDEN = set("head title script style template noscript noembed noframes iframe object audio video canvas svg math select datalist textarea".split())
+HIDDEN = set("head title script style template noscript noembed noframes iframe object audio video canvas datalist".split())
 BLOCK = set(("html body address article aside blockquote center details dialog dd div dl dt fieldset figcaption figure footer form frameset h1 h2 h3 h4 h5 h6 "
              "header hgroup hr legend li main menu nav ol optgroup option p pre section summary table tbody tfoot thead tr td th caption ul").split())
 SPACED = set("p h1 h2 h3 h4 h5 h6 ul ol dl pre blockquote table figure fieldset hr".split())
@@ -22,6 +22,9 @@ IMPLIED = {
     "tbody": ({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}, {"table"}), "thead": ({"caption", "colgroup"}, {"table"}),
     "tfoot": ({"thead", "tbody", "tr", "td", "th"}, {"table"}), "option": ({"option"}, {"select", "datalist"}),
 }
+#: Drawings and formulas, what they hold without showing it, and what stands apart from the words around it.
+_FOREIGN, _UNSHOWN = {"svg", "math"}, set("desc metadata defs symbol clippath mask annotation annotation-xml".split())
+_APART = {"text", "textarea", "select"}
 #: What may stand in a head; anything else ends it.
 _HEAD = set("base basefont bgsound link meta noframes noscript script style template title".split())
 #: Parts of a table that hold only other parts, and all parts; what else stands in the former is shown before the table.
@@ -48,6 +51,7 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Element("html", {})
         self.open = [self.root]
+        self.drawn = False
         self.homes: dict[int, list] = {}  # where each open table stands
         self.feed(page)
         self.close()
@@ -110,10 +114,21 @@ class Tree(HTMLParser):
             self._close({"p"}, {"table", "td", "th", "button", "caption", "object"})
         if tag in IMPLIED:
             self._close(*IMPLIED[tag])
-        self._put(Element(tag, {k: v or "" for k, v in attrs}))
+        element = Element(tag, {k: v or "" for k, v in attrs})
+        if tag in _UNSHOWN and self._foreign():
+            element.attrs["hidden"] = ""
+        self.drawn = self.drawn or tag in _FOREIGN
+        self._put(element)
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        foreign = tag in _FOREIGN or self._foreign()
         self.handle_starttag(tag, attrs)
+        if foreign and self.open[-1].tag == tag and len(self.open) > 1:
+            self.open.pop()
+
+    def _foreign(self) -> bool:
+        """Whether the innermost place is in a drawing or formula."""
+        return self.drawn and next((e.tag in _FOREIGN for e in reversed(self.open) if e.tag in _FOREIGN or e.tag == "foreignobject"), False)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in VOID or tag in ("html", "body"):
@@ -198,6 +213,19 @@ def _table(table: Element, out: Lines) -> None:
             out.end()
 
 
+def _options(select: Element) -> list[Element]:
+    """The options that a closed list shows, or all of an open one."""
+    found, stack = [], [select]
+    while stack:
+        element = stack.pop()
+        if element.tag == "option":
+            found.append(element)
+        stack.extend(c for c in reversed(element.children) if isinstance(c, Element) and c.shown())
+    if "multiple" in select.attrs or select.attrs.get("size", "").strip() not in ("", "0", "1"):
+        return found
+    return ([o for o in found if "selected" in o.attrs][-1:] or [o for o in found if "disabled" not in o.attrs][:1] or found[:1])
+
+
 def _walk(root: Element, out: Lines) -> None:
     """Depth first with an own stack, as pages may be nested without limit."""
     stack: list = [(root, iter(root.children), 0)]
@@ -225,12 +253,15 @@ def _walk(root: Element, out: Lines) -> None:
                 _table(child, out)
                 out.end(True)
             elif _enter(child, out, element, number):
-                stack.append((child, iter(child.children), 0))
+                shown = child.children if child.tag != "select" else [x for o in _options(child) for x in (" ", *o.children, " ")]
+                stack.append((child, iter(shown), 0))
 
 
 def _enter(element: Element, out: Lines, parent: Element, number: int) -> bool:
     if element.tag == "br":
         out.end()
+    elif element.tag in _APART:
+        out.text(" ")
     elif element.tag == "img":
         out.text(" " + element.attrs["alt"] + " " if element.attrs.get("alt", "").strip() else "")
     elif element.tag in BLOCK:
@@ -247,6 +278,8 @@ def _enter(element: Element, out: Lines, parent: Element, number: int) -> bool:
 def _leave(element: Element, out: Lines) -> None:
     if element.tag in BLOCK:
         out.end(element.tag in SPACED)
+    elif element.tag in _APART:
+        out.text(" ")
     if element.tag == "li":
         out.marker = ""
         del out.prefix[int(element.attrs["_depth"]) :]
@@ -285,7 +318,7 @@ def extract(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> D
     """Per row: page_id, text, n_chars, n_lines.
 
     A tree with the end tags that pages leave out decides what is shown: scripts, styles, hidden elements and
-    form values are not. Blocks begin lines, paragraphs, headings, lists and tables stand apart, list items have
+    what is typed into input fields are not; formulas, labels of drawings, text areas and chosen options are. Blocks begin lines, paragraphs, headings, lists and tables stand apart, list items have
     marks or numbers, cells of a table's columns line up. Null and empty pages give an empty text; null and
     repeated ids keep their rows; other columns are ignored; nothing is shuffled.
     """

@@ -220,6 +220,16 @@ def test_heads_end_at_the_first_content(page, lines):
     assert html.visible_text(page).split("\n") == lines
 
 
+@pytest.mark.parametrize("page, text", [
+    ("a<math><mi>x</mi><mo>=</mo><mn>2</mn></math>b", "ax=2b"), ("<svg><title>no</title><desc>no</desc><text>one</text><text>two</text><path d=1 /></svg>b", "one two b"),
+    ("<div>a<svg/>b</div>c", "ab\nc"), ("<svg><defs/><g/><text>t</text></svg>u", "t u"), ("x<textarea>val</textarea>y", "x val y"),
+    ("<select><option>a<option selected>b<option>c</select>d", "b d"), ("<select><option disabled>a</option><option>b</option></select>", "b"),
+    ("<select multiple><option>a<option>b</select>", "a b"),
+])
+def test_formulas_drawings_and_fields_show_their_text(page, text):
+    assert html.visible_text(page) == text
+
+
 def test_pages_keep_their_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a", "t"), (1, "u", "<p>a", "t"), (None, None, None, None)], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, html.extract(pages).collect()), key=repr) == [(1, "a", 1, 1), (1, "a", 1, 1), (None, "", 0, 0)]

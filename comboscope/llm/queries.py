@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from catalog.registry import query
 from catalog.views import table
-from comboscope.llm import decontamination, embeddings, html, jaccard, lm, packing, pii, quality, substrings, tokens
+from comboscope.functions.storage import shared_folder
+from comboscope.llm import alignment, decontamination, embeddings, html, jaccard, lm, packing, pii, quality, substrings, tokenfiles, tokens, trie
 
 #: Key of the pseudonyms in these queries; a deployment sets its own.
 KEY = "example key"
@@ -67,6 +70,47 @@ def op10(spark, sf):
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")
 
 
+@query("op11_token_files")
+def op11(spark, sf):
+    docs, path = table(spark, sf, "documents"), f"{shared_folder(spark)}/comboscope/token-files-{uuid.uuid4().hex}"
+    tokenfiles.write(docs, path, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
+    return tokenfiles.read(spark, path, docs.schema["doc_id"].dataType.simpleString())
+
+
+#: The trie of op12 from lists of turns: every prefix is a list, hashed; totals by joining each node's prefixes.
+_TRIE_SQL = """WITH t AS (SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+        row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS pos FROM conversations WHERE conv_id IS NOT NULL),
+    own AS (SELECT c, list({'r': r, 'x': x} ORDER BY pos) AS turns FROM t GROUP BY c),
+    h AS (SELECT c, turns, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], list_transform(string_split(CAST(c AS VARCHAR), ''), lambda s: CAST(ascii(s) AS BIGINT))),
+        lambda a, b: list_reduce(list_concat([xor(a, b)], list_transform(range(8), lambda z: CAST(z AS BIGINT))),
+            lambda v, z: CASE WHEN v & 1 = 1 THEN xor(v >> 1, CAST(3988292384 AS BIGINT)) ELSE v >> 1 END)), CAST(4294967295 AS BIGINT)) % 6 AS h FROM own),
+    s AS (SELECT h.c, list_concat(coalesce(list_slice(head.turns, 1, h.h), []), list_slice(h.turns, h.h + 1, len(h.turns))) AS turns
+        FROM h LEFT JOIN own AS head ON head.c = h.c - h.c % 100),
+    p AS (SELECT c, d, md5(CAST(list_slice(turns, 1, d) AS VARCHAR)) AS k, md5(CAST(list_slice(turns, 1, d - 1) AS VARCHAR)) AS parent,
+        CASE WHEN d > 0 THEN length(turns[d].x) ELSE 0 END AS size, d = len(turns) AS last
+        FROM (SELECT c, turns, unnest(range(len(turns) + 1)) AS d FROM s)),
+    n AS (SELECT d, k, any_value(CASE WHEN d > 0 THEN parent END) AS parent, min(c) AS conv_id, count(*) AS n_convs, max(size) * (count(*) - 1) AS saved,
+        sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (last), '')) AS ends_sha256 FROM p GROUP BY d, k),
+    kids AS (SELECT d - 1 AS d, parent AS k, count(*) AS n_children FROM n WHERE d > 0 GROUP BY 1, 2),
+    full_nodes AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN kids USING (d, k)),
+    totals AS (SELECT up.d, up.k, sum(CASE WHEN f.n_children = 0 THEN 1 ELSE 0 END) AS n_leaves, sum(f.saved) AS saved_tokens
+        FROM full_nodes f JOIN p up ON up.c = f.conv_id AND up.d <= f.d GROUP BY 1, 2)
+    SELECT f.conv_id, f.d AS depth, par.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+        CAST(saved_tokens AS BIGINT) AS saved_tokens, f.ends_sha256
+    FROM full_nodes f JOIN totals USING (d, k) LEFT JOIN n par ON par.d = f.d - 1 AND par.k = f.parent"""
+
+
+@query("op12_conversation_trie", _TRIE_SQL)
+def op12(spark, sf):
+    return trie.prefix_trie(*trie.forked(trie.ordered_turns(table(spark, sf, "conversations"))))
+
+
+@query("op13_tokenizer_alignment")
+def op13(spark, sf):
+    return alignment.align(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN,
+                           public_tokenizers.path("piece_bpe_32k.model"))
+
+
 @query("pipeline")
 def pipeline(spark, sf):
     import corpus_pipeline

@@ -183,12 +183,24 @@ def cluster_summary(spark, sf):
     return out.withColumn("phrases", F.array_join("phrases", "|"))
 
 
-@query("vector_clusters", """
+def vector_sql(distance: float) -> str:
+    return f"""
     WITH RECURSIVE e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),
     near AS MATERIALIZED (SELECT a.vec_id AS x, b.vec_id AS y FROM e a JOIN e b ON a.vec_id <> b.vec_id
-        AND 2 - 2 * list_cosine_similarity(a.v, b.v) <= 1.1 * 1.1),
+        AND 2 - 2 * list_cosine_similarity(a.v, b.v) <= {distance} * {distance}),
     reach AS (SELECT vec_id AS x, vec_id AS y FROM e UNION SELECT reach.x, near.y FROM reach JOIN near ON near.x = reach.y)
-    SELECT x AS id, MIN(y) AS cluster FROM reach GROUP BY 1""")
+    SELECT x AS id, MIN(y) AS cluster FROM reach GROUP BY 1"""
+
+
+def vectors_of(spark, sf):
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+
+
+@query("vector_clusters", vector_sql(1.1))
 def vector_clusters(spark, sf):
-    vectors = table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
-    return comments.cluster_vectors(vectors, 1.1)
+    return comments.cluster_vectors(vectors_of(spark, sf), 1.1)
+
+
+@query("vector_clusters_near", vector_sql(0.4))
+def vector_clusters_near(spark, sf):
+    return comments.cluster_vectors(vectors_of(spark, sf), 0.4)

@@ -30,18 +30,24 @@ def _forest(near: np.ndarray) -> list[tuple[int, int]]:
     return edges
 
 
-def near_edges(rows: DataFrame, key: str, near: Callable[[pd.DataFrame], np.ndarray], block: int = BLOCK) -> DataFrame:
+def near_edges(rows: DataFrame, key: str, near: Callable[[pd.DataFrame], np.ndarray], block: int = BLOCK, *,
+               meets: dict[int, list[int]] | None = None) -> DataFrame:
     """Edges (a, b) connecting rows that share ``key`` and that ``near`` finds close.
 
     ``rows`` has ``id``, ``key`` and whatever ``near`` reads; ``near`` maps a small frame to a boolean
     matrix. Keys with many rows are hashed into blocks and every two blocks meet in their own task,
     so no task holds more than two blocks. A task emits a spanning forest of what it finds rather
-    than all pairs, which keeps connected groups exact with at most one edge per row.
+    than all pairs, which keeps connected groups exact with at most one edge per row. With ``meets``, rows have
+    a ``kind``, each kind has its own blocks, and only kinds that it names for each other meet.
     """
-    sizes = rows.groupBy(key).agg(F.count("*").alias("_n")).where(F.col("_n") > 1)
-    blocks = F.ceil(F.col("_n") / F.lit(block)).cast("int")
-    parted = rows.join(sizes, key).withColumn("_own", F.pmod(F.xxhash64("id"), blocks).cast("int"))
-    parted = parted.withColumn("_other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    meets = {0: [0]} if meets is None else meets
+    kinds = F.col("kind") if len(meets) > 1 else F.lit(0)
+    sizes = rows.groupBy(key).agg(F.count("*").alias("_n"), *[F.ceil(F.count(F.when(kinds == k, 1)) / F.lit(block)).cast("int").alias(f"_b{k}") for k in meets])
+    first = {k: sum((F.col(f"_b{j}") for j in list(meets)[:i]), F.lit(0)) for i, k in enumerate(meets)}
+    span = lambda k: F.when(F.col(f"_b{k}") > 0, F.sequence(first[k], first[k] + F.col(f"_b{k}") - 1)).otherwise(F.array().cast("array<int>"))
+    own = F.coalesce(*[F.when(kinds == k, first[k] + F.pmod(F.xxhash64("id"), F.col(f"_b{k}"))) for k in meets]).cast("int")
+    others = F.coalesce(*[F.when(kinds == k, F.concat(*[span(j) for j in met])) for k, met in meets.items()])
+    parted = rows.join(sizes.where("_n > 1"), key).withColumn("_own", own).withColumn("_other", F.explode(others))
     parted = parted.withColumn("_lo", F.least("_own", "_other")).withColumn("_hi", F.greatest("_own", "_other"))
     kind = dict(rows.dtypes)["id"]
     meeting = [key, "_lo", "_hi"]

@@ -94,6 +94,31 @@ def test_near_vectors_match_brute_force(spark, rows, monkeypatch, block):
     assert 1 < len(set(want)) < 80
 
 
+@pytest.mark.parametrize("pivots", [7, None])
+def test_cells_compare_few_pairs_of_grouped_vectors(spark, rows, pivots):
+    rng = np.random.default_rng(3)
+    centres = rng.normal(0, 1, (40, 24))
+    x = np.concatenate([np.repeat(centres, 20, axis=0) + rng.normal(0, 0.06, (800, 24)), np.repeat(centres[:1], 300, axis=0), rng.normal(0, 1, (100, 24))])
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    n = len(x)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vector array<double>")
+    d = np.sqrt(((x[:, None] - x[None]) ** 2).sum(-1))
+    want = _components(n, [(i, j) for i, j in zip(*np.nonzero(d <= 0.4)) if j < i])
+    assert rows(comments.cluster_vectors(df, 0.4, pivots=pivots)) == sorted(((i, c) for i, c in enumerate(want)), key=repr)
+    assert 40 <= len(set(want)) <= 140
+    cells, links = comments.vector_cells(df, 0.4, pivots)
+    sizes = np.zeros((n, 4))
+    for r in cells.groupBy("key", "kind").count().collect():
+        sizes[r.key, r.kind] = r["count"]
+    compared = comments.compared_pairs(sizes).sum()
+    assert compared < (0.6 if pivots else 0.05) * n * n and all(d[r.a, r.b] <= 0.4 for r in links.collect())
+
+
+def test_no_vectors_give_no_clusters(spark):
+    none = spark.createDataFrame([], "id long, vector array<double>")
+    assert comments.cluster_vectors(none, 0.4).collect() == []
+
+
 def test_distance_boundary(spark, rows):
     angles = [0.0, 0.1, 0.1 + 0.39, 0.1 + 0.39 + 0.43]
     df = spark.createDataFrame([(i, [float(np.cos(a)), float(np.sin(a))]) for i, a in enumerate(angles)], "id long, vector array<double>")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from catalog.elasticity import _project_out, coarse_series
 from catalog.registry import query, r
@@ -66,6 +66,52 @@ def demand_feature_rows(spark, sf):
                         x[2].alias("month"), F.round(x[3], 6).alias("price_lag_3"))
 
 
+def _partial_out(xs: list[str], source: str, targets: list[str]) -> str:
+    """SQL that takes each of ``xs`` in turn out of the later ones and of ``targets``, per product; columns without spread do nothing."""
+    out = f", g0 AS (SELECT product_desc, {', '.join([*xs, *targets])} FROM {source})"
+    for i, z in enumerate(xs):
+        cols = ", ".join(f"{c} - AVG({c}) OVER g - COALESCE(regr_slope({c}, {z}) OVER g, 0) * ({z} - AVG({z}) OVER g) AS {c}" for c in [*xs[i + 1:], *targets])
+        out += f",\n g{i + 1} AS (SELECT product_desc, {cols} FROM g{i} WINDOW g AS (PARTITION BY product_desc))"
+    return out
+
+
+#: Series by month, in which the two best correlated others have a price on all of a product's months.
+MONTHLY_CROSS = """
+    , monthly AS (SELECT product_desc, CAST(date_trunc('month', business_date) AS DATE) AS business_date, SUM(quantity_sold) AS quantity_sold, AVG(price) AS price
+        FROM series_coarse GROUP BY 1, 2),
+    mpairs AS (SELECT a.product_desc AS item_a, b.product_desc AS item_b, corr(a.quantity_sold, b.quantity_sold) AS corr
+        FROM monthly a JOIN monthly b ON a.business_date = b.business_date AND a.product_desc < b.product_desc GROUP BY 1, 2),
+    two AS (SELECT item_a AS product_desc, item_b AS other, corr FROM mpairs UNION ALL SELECT item_b, item_a, corr FROM mpairs),
+    top AS (SELECT product_desc, other, ROW_NUMBER() OVER (PARTITION BY product_desc ORDER BY abs(corr) DESC, other) AS place FROM two WHERE corr IS NOT NULL),
+    ml AS (SELECT *, LAG(price, 3) OVER w AS price_lag_3, LAG(price, 8) OVER w AS l8 FROM monthly WINDOW w AS (PARTITION BY product_desc ORDER BY business_date)),
+    mrows AS (SELECT ml.product_desc, ml.business_date, ml.quantity_sold, ml.price, YEAR(ml.business_date)::DOUBLE AS year, MONTH(ml.business_date)::DOUBLE AS month, price_lag_3,
+        o1.price AS p1, o2.price AS p2 FROM ml LEFT JOIN top t1 ON t1.product_desc = ml.product_desc AND t1.place = 1
+        LEFT JOIN top t2 ON t2.product_desc = ml.product_desc AND t2.place = 2
+        LEFT JOIN monthly o1 ON o1.product_desc = t1.other AND o1.business_date = ml.business_date
+        LEFT JOIN monthly o2 ON o2.product_desc = t2.other AND o2.business_date = ml.business_date WHERE l8 IS NOT NULL),
+    full_rows AS (SELECT * REPLACE (CASE WHEN COUNT(p1) OVER p = COUNT(*) OVER p THEN p1 ELSE 0 END AS p1, CASE WHEN COUNT(p2) OVER p = COUNT(*) OVER p THEN p2 ELSE 0 END AS p2)
+        FROM mrows WINDOW p AS (PARTITION BY product_desc))"""
+
+
+def monthly_cross(spark, sf):
+    """The monthly series and its two best correlated others per product."""
+    sales = coarse_series(spark, sf)
+    sales = written(sales.groupBy("product_desc", F.trunc("business_date", "month").alias("business_date")).agg(
+        F.sum("quantity_sold").alias("quantity_sold"), F.avg("price").alias("price")), "monthly-sales")
+    pairs = correlation.both_ways(correlation.quantity_correlations(sales)).where(~F.isnan("corr"))
+    place = F.row_number().over(Window.partitionBy("item").orderBy(F.abs("corr").desc(), "other"))
+    return sales, pairs.withColumn("place", place).where("place <= 2").select(F.col("item").alias("product_desc"), "other")
+
+
+@query("demand_price_effect_cross", with_views("items series_coarse", MONTHLY_CROSS + _partial_out(["year", "month", "price_lag_3", "p1", "p2"], "full_rows", ["price", "quantity_sold"]) + """
+    SELECT product_desc, ROUND(regr_slope(quantity_sold, price), 5) AS price_effect FROM g5 GROUP BY 1"""))
+def demand_price_effect_cross(spark, sf):
+    table, names = demand.demand_features(*monthly_cross(spark, sf))
+    fits = demand.fit_demand(table.withColumn("split", F.lit("train")), names)
+    own = linreg.coefficients(fits, ["product_desc"], "names").where(F.col("feature") == "price")
+    return own.select("product_desc", r("coef", 5).alias("price_effect"))
+
+
 @query("own_price_errors", with_views("items series_fine", """
     , f AS (SELECT product_desc, regr_slope(quantity_sold, price) AS b, regr_intercept(quantity_sold, price) AS a FROM series_fine GROUP BY 1),
     e AS (SELECT product_desc, quantity_sold AS y, quantity_sold - a - b * price AS d FROM series_fine JOIN f USING (product_desc))

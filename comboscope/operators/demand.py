@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from comboscope.functions.expr import finite
@@ -14,17 +16,84 @@ from comboscope.operators.linreg import MOMENTS, array_moments, coefficients, le
 from comboscope.operators.series import with_price_lags, with_split
 
 PRODUCT = ["product_desc"]
+PRICE_BLOCK = 128                           # products per block; a task holds the price arrays of two
 KNOTS = 10                                  # trend bends, over the first 80 % of the history
 WAVES = [(7.0, 3), (365.25, 6)]             # period in days, number of harmonics
 AR_LAGS = [1, 2, 3, 7]
 AR_CHOICES = [[1], [1, 2], [1, 2, 3], [7], [1, 7], [1, 2, 7], [1, 2, 3, 7]]
 
 
+def _price_columns(complete: bool):
+    """Meeting of two blocks: for every edge between them the other's prices on the product's days."""
+    def meet(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        product, other = rows["product_desc"].to_pylist(), rows["other"].to_pylist()
+        days, prices = rows["days"].combine_chunks(), rows["prices"].combine_chunks()
+        own = {p: days[i].values for i, (p, o) in enumerate(zip(product, other, strict=True)) if o is None}
+        theirs = {o: (days[i].values.to_numpy(), prices[i].values) for i, (p, o) in enumerate(zip(product, other, strict=True)) if p is None}
+        found: list[tuple] = []
+        for p, o in zip(product, other, strict=True):
+            if p is None or o is None or p not in own or (complete and o not in theirs):
+                continue
+            there, price = theirs.get(o, (np.zeros(1, np.int32), pa.nulls(1, pa.float64())))
+            at = np.minimum(np.searchsorted(there, own[p].to_numpy()), len(there) - 1)
+            column = price.take(pa.array(at, mask=there[at] != own[p].to_numpy()))
+            if not complete or (not column.null_count and np.isfinite(column.to_numpy()).all()):
+                found.append((p, o, own[p], column))
+        lists = lambda k, kind: pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum([len(f[k]) for f in found])]), pa.int32()), pa.concat_arrays([pa.array([], kind), *(f[k] for f in found)]))
+        return pa.table({"product_desc": pa.array([f[0] for f in found], pa.string()), "other": pa.array([f[1] for f in found], pa.string()),
+                         "days": lists(2, pa.int32()), "prices": lists(3, pa.float64())})
+    return meet
+
+
+def packed_cross_prices(rows: DataFrame, series: DataFrame, edges: DataFrame, complete: bool = False, block: int = PRICE_BLOCK) -> DataFrame:
+    """(product, other, days, prices): each correlated product's prices on a product's own days, null where it has none.
+
+    A product's days and its prices are one array each, as long as the calendar. Products are hashed into
+    blocks, and an array goes once to each block that has an edge to it, so there is no row per product, day and other
+    product anywhere. ``complete`` keeps only others with a finite price on all of the days.
+    """
+    edges = written(edges.select(*PRODUCT, "other").distinct(), "price-edges")
+    day = F.unix_date("business_date").cast("int")
+    own = rows.groupBy(*PRODUCT).agg(F.sort_array(F.collect_list(day)).alias("days"))
+    packed = series.groupBy(*PRODUCT).agg(F.array_sort(F.collect_list(F.struct(day.alias("day"), F.col("price").cast("double").alias("price")))).alias("p"))
+    theirs = packed.select(F.col("product_desc").alias("other"), F.transform("p", lambda x: x["day"]).alias("days"), F.transform("p", lambda x: x["price"]).alias("prices"))
+    blocks = F.greatest(edges.agg(F.ceil(F.count_distinct(*PRODUCT) / F.lit(block)).cast("int")).scalar(), F.lit(1))
+    place = lambda c: F.pmod(F.xxhash64(c), blocks).cast("int")
+    placed = written(edges.select(place("product_desc").alias("lo"), place("other").alias("hi"), *PRODUCT, "other"), "placed-edges")
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    left = placed.select("lo", "hi", *PRODUCT).distinct().join(own, PRODUCT).select("lo", "hi", *PRODUCT, none("string", "other"), "days", none("array<double>", "prices"))
+    right = placed.select("lo", "hi", "other").distinct().join(theirs, "other").select("lo", "hi", none("string", "product_desc"), "other", "days", "prices")
+    links = placed.select("*", none("array<int>", "days"), none("array<double>", "prices"))
+    met = links.unionByName(left).unionByName(right).groupBy("lo", "hi")
+    return met.applyInArrow(_price_columns(complete), "product_desc string, other string, days array<int>, prices array<double>")
+
+
 def cross_prices(rows: DataFrame, series: DataFrame, edges: DataFrame) -> DataFrame:
-    """Same-day price of every correlated product, one row per (product, date, other)."""
-    prices = series.select(F.col("product_desc").alias("other"), "business_date", F.col("price").alias("other_price"))
-    return (rows.select(*PRODUCT, "business_date").join(edges.select(*PRODUCT, "other"), "product_desc")
-            .join(prices, ["other", "business_date"], "left"))
+    """Same-day price of every correlated product, one row per (product, date, other), for reports; models read the packed form."""
+    packed = packed_cross_prices(rows, series, edges)
+    days = packed.select(*PRODUCT, "other", F.explode(F.arrays_zip("days", "prices")).alias("d"))
+    return days.select("other", F.date_from_unix_date("d.days").alias("business_date"), *PRODUCT, F.col("d.prices").alias("other_price"))
+
+
+def _regressors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A product's days and columns as one row of regressors per day."""
+    for rows in batches:
+        for i in range(rows.num_rows):
+            days, others = rows["d"][i].values, rows["c"][i].values
+            column = lambda c: days.field(c).to_numpy(zero_copy_only=False).astype(float)  # noqa: E731, B023
+            columns = [column("year"), column("month")]
+            if rows["has_price"][i].as_py():
+                columns.insert(0, column("price"))
+            if rows["has_price_lag_3"][i].as_py():
+                columns.append(column("price_lag_3"))
+            for k in range(0 if others is None else len(others)):
+                columns.append(others.field("prices")[k].values.to_numpy())
+            n = len(days)
+            x = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * len(columns), pa.int32()), pa.array(np.stack(columns, 1).ravel()))
+            name = pa.DictionaryArray.from_arrays(pa.array(np.zeros(n, np.int32)), rows["product_desc"].slice(i, 1)).dictionary_decode()
+            yield pa.RecordBatch.from_arrays([name, days.field("business_date"), days.field("quantity_sold"), x], ["product_desc", "business_date", "quantity_sold", "x"])
 
 
 def demand_features(series: DataFrame, edges: DataFrame, lags: int = 8) -> tuple[DataFrame, DataFrame]:
@@ -32,33 +101,25 @@ def demand_features(series: DataFrame, edges: DataFrame, lags: int = 8) -> tuple
 
     Regressors are price, year, month, the price three rows back and the correlated products'
     prices. One that is missing or infinite on any of a product's days is left out for that product.
+    A product's history and the columns of its complete others are packed into one row before they become rows per day.
     """
     kept = with_price_lags(series.select("business_date", *PRODUCT, "quantity_sold", "price"), lags)
     rows = written(kept.select(*PRODUCT, "business_date", "quantity_sold", "price", "price_lag_3")
                    .withColumn("year", F.year("business_date")).withColumn("month", F.month("business_date")), "demand-rows")
-    cross = written(cross_prices(rows, series, edges).withColumn("other_price", finite("other_price")), "cross-prices")
-    sizes = rows.groupBy(*PRODUCT).agg(F.count("*").alias("n"), *[
-        (F.count(finite(c)) == F.count("*")).alias(f"has_{c}") for c in ("price", "price_lag_3")])
-    complete = cross.groupBy(*PRODUCT, "other").agg(F.count("other_price").alias("n")).join(sizes, [*PRODUCT, "n"], "left_semi")
-    named = complete.groupBy(*PRODUCT).agg(F.sort_array(F.collect_list("other")).alias("others"))
+    history = rows.groupBy(*PRODUCT).agg(F.array_sort(F.collect_list(F.struct("business_date", "quantity_sold", "price", "price_lag_3", "year", "month"))).alias("d"))
+    columns = packed_cross_prices(rows, series, edges, complete=True)
+    columns = columns.groupBy(*PRODUCT).agg(F.array_sort(F.collect_list(F.struct("other", "prices"))).alias("c"))
+    everywhere = lambda c: F.forall("d", lambda x: finite(x[c]).isNotNull()).alias(f"has_{c}")
+    design = written(history.join(columns, PRODUCT, "left").select(
+        *PRODUCT, "d", "c", everywhere("price"), everywhere("price_lag_3")), "demand-design")
     empty = F.array().cast("array<string>")
-    names = written(sizes.join(named, PRODUCT, "left").select(
-        *PRODUCT, F.concat(
-            F.when(F.col("has_price"), F.array(F.lit("price"))).otherwise(empty), F.array(F.lit("year"), F.lit("month")),
-            F.when(F.col("has_price_lag_3"), F.array(F.lit("price_lag_3"))).otherwise(empty),
-            F.coalesce(F.transform("others", lambda o: F.concat(o, F.lit("_price"))), empty)).alias("names"),
-        "has_price", "has_price_lag_3"), "feature-names")
-    daily = (cross.join(complete.select(*PRODUCT, "other"), [*PRODUCT, "other"], "left_semi")
-             .groupBy(*PRODUCT, "business_date")
-             .agg(F.array_sort(F.collect_list(F.struct("other", "other_price"))).alias("_c")))
-    none = F.array().cast("array<double>")
-    x = F.concat(F.when(F.col("has_price"), F.array("price")).otherwise(none),
-                 F.array(F.col("year").cast("double"), F.col("month").cast("double")),
-                 F.when(F.col("has_price_lag_3"), F.array("price_lag_3")).otherwise(none),
-                 F.coalesce(F.transform("_c", lambda c: c["other_price"]), none))
-    table = (rows.join(daily, [*PRODUCT, "business_date"], "left").join(names.drop("names"), PRODUCT)
-             .select(*PRODUCT, "business_date", "quantity_sold", x.alias("x")))
-    return table, names.select(*PRODUCT, "names")
+    names = design.select(*PRODUCT, F.concat(
+        F.when(F.col("has_price"), F.array(F.lit("price"))).otherwise(empty), F.array(F.lit("year"), F.lit("month")),
+        F.when(F.col("has_price_lag_3"), F.array(F.lit("price_lag_3"))).otherwise(empty),
+        F.coalesce(F.transform("c", lambda o: F.concat(o["other"], F.lit("_price"))), empty)).alias("names"))
+    kinds = dict(rows.dtypes)
+    table = design.mapInArrow(_regressors, f"product_desc string, business_date date, quantity_sold {kinds['quantity_sold']}, x array<double>")
+    return table, names
 
 
 def dot(a: Column, b: Column) -> Column:

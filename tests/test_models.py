@@ -208,6 +208,27 @@ def test_infinite_price_removes_only_that_products_price(spark):
     assert {r.product_desc: r.n for r in table.groupBy("product_desc", F.size("x").alias("n")).count().collect()} == {"a": 3, "b": 4}
 
 
+@pytest.mark.parametrize("block", [2, 128])
+def test_packed_prices_equal_a_join_by_day(spark, rows, block):
+    rng = np.random.default_rng(13)
+    days = {p: sorted(rng.choice(30, rng.integers(1, 30), replace=False).tolist()) for p in "abcdefg"} | {"all": list(range(30))}
+    data = [(FIRST + dt.timedelta(days=d), p, 1.0, None if rng.random() < 0.05 and p != "all" else float(d)) for p, ds in days.items() for d in ds]
+    data[0] = (*data[0][:3], math.inf)
+    sales = spark.createDataFrame(data, "business_date date, product_desc string, quantity_sold double, price double")
+    edges = [(a, b) for a in days for b in days if a != b and rng.random() < 0.5] + [("a", "all"), ("b", "unknown"), ("unknown", "a")]
+    edges = spark.createDataFrame(sorted(set(edges)), "product_desc string, other string")
+    prices = {(p, d): v for d, p, _, v in data}
+    want = [(e.product_desc, e.other, tuple(prices.get((e.other, FIRST + dt.timedelta(days=d))) for d in days[e.product_desc])) for e in edges.collect() if e.product_desc in days]
+    packed = demand.packed_cross_prices(sales, sales, edges, block=block)
+    assert sorted(((r.product_desc, r.other, tuple(r.prices)) for r in packed.collect()), key=repr) == sorted(want, key=repr)
+    whole = [w for w in want if None not in w[2] and math.inf not in w[2]]
+    got = demand.packed_cross_prices(sales, sales, edges, complete=True, block=block).collect()
+    assert sorted(((r.product_desc, r.other, tuple(r.prices)) for r in got), key=repr) == sorted(whole, key=repr) and whole
+    long = demand.cross_prices(sales, sales, edges)
+    assert rows(long, "product_desc", "other", "business_date", "other_price") == sorted(
+        ((p, o, FIRST + dt.timedelta(days=d), v) for p, o, vs in want for d, v in zip(days[p], vs)), key=repr)
+
+
 def test_demo_split_and_variants(spark):
     sales = _demand_series(spark, 120)
     for kw in ({"mode": "additive"}, {"link": "log", "time": "ar"}, {"method": "ridge"}):

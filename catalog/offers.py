@@ -67,10 +67,10 @@ def offer_inputs(spark, sf):
     stats, params = parameters(sales)
     stats, params = written(stats, "stats"), written(params, "params")
     ladder = written(pricing.price_ladder(params), "ladder")
-    pairs = written(correlation.quantity_correlations(sales), "pairs")
+    pairs, cut = correlation.strongest_quantity_pairs(sales, 0.75, min_abs=0.04)
     coefs, time = demand_tables(sales, stats, correlation.correlated_products(pairs, 0.04))
     base = pricing.base_sales(params, ladder, coefs, time, START, END)
-    return sales, params, ladder, pairs, base
+    return sales, params, ladder, (pairs, cut), base
 
 
 @query("product_parameters", with_views("items series_coarse", PARAMS + """
@@ -123,7 +123,8 @@ FLAGS = """
 def valid_pairs(spark, sf):
     sales = coarse_series(spark, sf)
     flags = item_flags(sales.select("product_desc").distinct())
-    return combos.valid_pairs(written(correlation.quantity_correlations(sales), "pairs"), flags).withColumn("corr", r("corr", 9))
+    pairs, cut = correlation.strongest_quantity_pairs(sales)
+    return combos.valid_pairs(pairs, flags, cut=cut).withColumn("corr", r("corr", 9))
 
 
 def _clash(a: str, b: str) -> str:
@@ -189,10 +190,10 @@ def monthly_inputs(spark, sf, profit="month"):
 
 
 def solve(inputs, rules, used=None):
-    _, profits, pairs, flags = inputs
+    _, profits, (pairs, cut), flags = inputs
     table = combos.item_table(flags, flags.select("product_desc", "category_desc"), rules, used)
     scale = pricing.objective_scale(profits, pairs, rules.max_size)
-    return written(combos.best_bundles(profits, table, combos.valid_pairs(pairs, flags), scale, rules), "bundles")
+    return written(combos.best_bundles(profits, table, combos.valid_pairs(pairs, flags, cut=cut), scale, rules), "bundles")
 
 
 def solution(bundles):

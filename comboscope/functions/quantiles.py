@@ -27,6 +27,14 @@ def exact_quantiles(df: DataFrame, column: Column | str, probs: list[float]) ->
     return [at[k] if position == k else at[k] + (at[k + 1] - at[k]) * (position - k) for position, k in places]
 
 
+def values_at(df: DataFrame, column: Column | str, positions: list[int]) -> list[float]:
+    """The finite values of ``column`` at sorted positions, 0 for the least."""
+    xs = df.select(finite(col(column).cast("double")).alias("x")).where(F.col("x").isNotNull())
+    lo, hi = xs.agg(F.min("x"), F.max("x")).first()
+    at = _order_statistics(xs, set(positions), lo, hi)
+    return [at[k] for k in positions]
+
+
 def _order_statistics(xs: DataFrame, wanted: set[int], lo: float, hi: float) -> dict[int, float]:
     """The values at sorted positions ``wanted`` (0-based); all values lie between ``lo`` and ``hi``."""
     ranges = {k: (lo, hi, 0) for k in wanted}  # with the number of values below

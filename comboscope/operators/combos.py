@@ -38,10 +38,11 @@ class Rules:
             raise ValueError("bundles with several foods are supported for size 2")
 
 
-def valid_pairs(pairs: DataFrame, items: DataFrame, quantile: float = 0.75) -> DataFrame:
+def valid_pairs(pairs: DataFrame, items: DataFrame, quantile: float = 0.75, cut: float | None = None) -> DataFrame:
     """(food, other, corr) for pairs of one food and one non-food at or above the quantile of all
-    pair correlations."""
-    cut = exact_quantiles(pairs, "corr", [quantile])[0]
+    pair correlations, or at or above a ``cut`` known already (``correlation.strongest_pairs``)."""
+    if cut is None:
+        cut = exact_quantiles(pairs, "corr", [quantile])[0]
     kind = items.select("product_desc", "is_food")
     out = (pairs.where(F.col("corr") >= F.lit(cut))
            .join(kind.select(F.col("product_desc").alias("item_a"), F.col("is_food").alias("_fa")), "item_a")

@@ -2,52 +2,45 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from comboscope.functions.quantiles import values_at
 from comboscope.functions.storage import written
 from comboscope.operators.series import with_ordinal
 
 BLOCK = 256  # items per block; a task holds two blocks
+BINS = 1 << 13  # parts of the range of correlations that are counted
 
 
-def pairwise_correlations(values: DataFrame, item: str, at: str, value: str, group: list[str] = [],
-                          min_abs: float | None = None, block: int = BLOCK, at_least: float | None = None) -> DataFrame:
-    """Pearson correlation of every two items over the positions both have.
-
-    Each item's series is packed into one row (as long as the calendar, no longer) and items are
-    hashed into blocks. Every pair of blocks meets in one task as two small matrices whose product
-    gives all sums at once, so a group with most of the items only means more block pairs and no
-    row per pair and position is ever shuffled. ``min_abs`` keeps only stronger pairs and
-    ``at_least`` only pairs that reach it, both inside the task.
-    """
+def _meetings(values: DataFrame, item: str, at: str, value: str, group: list[str], block: int) -> DataFrame:
+    """Every two blocks of packed series side by side, one group per pair of blocks."""
     rows = values.select(*group, F.col(item).alias("item"), F.col(at).cast("long").alias("at"),
                          F.col(value).cast("double").alias("v")).na.drop()
     packed = written(rows.groupBy(*group, "item").agg(
         F.collect_list("at").alias("at"), F.collect_list("v").alias("v")), "series")
     sizes = packed.groupBy(*group).agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
-    if group:
-        sized = packed.join(sizes, group)
-    else:
-        sized = packed.withColumn("blocks", F.lit(sizes.first().blocks))
+    sized = packed.join(sizes, group) if group else packed.withColumn("blocks", sizes.scalar())
     own = F.pmod(F.xxhash64("item"), F.col("blocks")).cast("int")
-    meets = (sized.withColumn("own", own)
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")))
-    kinds = dict(packed.dtypes)
+    return (sized.withColumn("own", own)
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")))
+
+
+def _kept_pairs(meets: DataFrame, group: list[str], keep: Callable[[np.ndarray], np.ndarray]) -> DataFrame:
+    """Pairs whose correlations ``keep`` marks; the others never leave their task."""
+    kinds = dict(meets.dtypes)
     schema = "".join(f"{g} {kinds[g]}, " for g in group) + f"item_a {kinds['item']}, item_b {kinds['item']}, corr double, n long"
 
     def correlate(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = key[-2], key[-1]
-        left = pdf[pdf.own == lo]
-        right = left if lo == hi else pdf[pdf.own == hi]
-        names, corr, n = _block_pair(left, right, same=lo == hi)
-        keep = np.ones(len(corr), dtype=bool) if min_abs is None else np.abs(corr) > min_abs
-        if at_least is not None:
-            keep &= corr >= at_least
-        out = pd.DataFrame({"item_a": names[0][keep], "item_b": names[1][keep],
-                            "corr": corr[keep], "n": n[keep]})
+        names, corr, n = _meeting(key, pdf)
+        kept = keep(corr)
+        out = pd.DataFrame({"item_a": names[0][kept], "item_b": names[1][kept],
+                            "corr": corr[kept], "n": n[kept]})
         for name, v in zip(group, key):
             out[name] = v
         return out[[*group, "item_a", "item_b", "corr", "n"]]
@@ -55,6 +48,72 @@ def pairwise_correlations(values: DataFrame, item: str, at: str, value: str, gro
     return meets.groupBy(*group, "lo", "hi").applyInPandas(correlate, schema)
 
 
+def _meeting(key: tuple, pdf: pd.DataFrame):
+    pdf = pdf.sort_values("item")  # the same sums in the same order, whenever a block pair is computed again
+    lo, hi = key[-2], key[-1]
+    left = pdf[pdf.own == lo]
+    right = left if lo == hi else pdf[pdf.own == hi]
+    return _block_pair(left, right, same=lo == hi)
+
+
+def pairwise_correlations(values: DataFrame, item: str, at: str, value: str, group: list[str] = [],
+                          min_abs: float | None = None, block: int = BLOCK, at_least: float | None = None) -> DataFrame:
+    """Pearson correlation of every two items over the positions both have.
+
+    Each item's series is packed into one row (as long as the calendar, no longer) and items are
+    hashed into blocks. Every pair of blocks meets in one task as two small matrices whose product
+    gives all sums at once, so a group with most of the items only means more block pairs and no
+    row per pair and position is ever shuffled. ``min_abs`` keeps only stronger pairs and
+    ``at_least`` only pairs that reach it, both inside the task.
+    """
+    def keep(corr: np.ndarray) -> np.ndarray:
+        kept = np.ones(len(corr), dtype=bool) if min_abs is None else np.abs(corr) > min_abs
+        return kept if at_least is None else kept & (corr >= at_least)
+
+    return _kept_pairs(_meetings(values, item, at, value, group, block), group, keep)
+
+
+def strongest_pairs(values: DataFrame, item: str, at: str, value: str, quantile: float, min_abs: float | None = None,
+                    block: int = BLOCK) -> tuple[DataFrame, float | None]:
+    """Pairs at or above the exact ``quantile`` of all correlations, and that cut; pairs stronger than ``min_abs`` either way stay, too.
+
+    The block kernel runs twice. First it only counts correlations in ``BINS`` equal parts of -1 to 1, which tells the
+    part of the wanted position. Then it keeps the pairs from that part on: all that is ever written. The position,
+    counted from the top, is exact among them. Correlations that don't exist don't count; without any there is no cut.
+    """
+    meets = written(_meetings(values, item, at, value, [], block), "meetings")
+
+    def count(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
+        corr = _meeting(key, pdf)[1]
+        bins, n = np.unique(_bin(corr[np.isfinite(corr)]), return_counts=True)
+        return pd.DataFrame({"bin": bins, "n": n})
+
+    counted = meets.groupBy("lo", "hi").applyInPandas(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+    counts = np.zeros(BINS, np.int64)
+    for place, n in counted.collect():
+        counts[place] = n
+    total = int(counts.sum())
+    if not total:
+        return _kept_pairs(meets, [], lambda corr: np.zeros(len(corr), bool)), None
+    position = (total - 1) * quantile
+    below = math.floor(position)
+    first = int(np.searchsorted(np.cumsum(counts), below, side="right"))
+    kept = written(_kept_pairs(meets, [], lambda corr: (_bin(corr) >= first) | (np.zeros(len(corr), bool) if min_abs is None else np.abs(corr) > min_abs)), "strong-pairs")
+    # ranks from the top are the same among the pairs kept
+    top = kept.where(F.floor((F.col("corr") + 1) * F.lit(BINS / 2)) >= F.lit(first))
+    n = int(counts[first:].sum())
+    low, high = values_at(top, "corr", [below - (total - n), min(below + 1, total - 1) - (total - n)])
+    cut = low + (high - low) * (position - below)
+    strong = F.col("corr") >= F.lit(cut)
+    return kept.where(strong if min_abs is None else strong | (F.abs("corr") > F.lit(min_abs))), cut
+
+
+def _bin(corr: np.ndarray) -> np.ndarray:
+    """Part of -1 to 1 that a correlation is in; -1 where there is none."""
+    parts = np.minimum(np.floor((np.where(np.isfinite(corr), corr, -2) + 1) * (BINS / 2)), BINS - 1)
+    return np.where(parts < 0, -1, parts).astype(np.int32)
+
+
 def _block_pair(left: pd.DataFrame, right: pd.DataFrame, same: bool):
     """Names, correlations and overlap counts of all pairs between two blocks of series."""
     none = (np.array([], dtype=object), np.array([], dtype=object))
@@ -95,8 +154,7 @@ def quantity_correlations(series: DataFrame, align: str = "date", anchor: str |
     rows past the length of the ``anchor`` product (by default the first product of the first day) do not count.
     """
     if align == "date":
-        at = F.datediff("business_date", F.lit("1970-01-01"))
-        return pairwise_correlations(series.withColumn("at", at), "product_desc", "at", "quantity_sold", min_abs=min_abs)
+        return pairwise_correlations(_dated(series), "product_desc", "at", "quantity_sold", min_abs=min_abs)
     if align != "ordinal":
         raise ValueError("align must be 'ordinal' or 'date'")
     placed = with_ordinal(series.where(F.col("product_desc").isNotNull()))
@@ -109,6 +167,15 @@ def quantity_correlations(series: DataFrame, align: str = "date", anchor: str |
                                  "quantity_sold", min_abs=min_abs)
 
 
+def _dated(series: DataFrame) -> DataFrame:
+    return series.withColumn("at", F.unix_date("business_date"))
+
+
+def strongest_quantity_pairs(series: DataFrame, quantile: float = 0.75, min_abs: float | None = None) -> tuple[DataFrame, float | None]:
+    """``strongest_pairs`` of the daily quantities, equal dates against each other."""
+    return strongest_pairs(_dated(series), "product_desc", "at", "quantity_sold", quantile, min_abs)
+
+
 def time_keys(time: str) -> list[str]:
     if time not in ("W", "M"):
         raise ValueError("time must be 'W' or 'M'")

@@ -133,3 +133,26 @@ def test_competitors_are_greedy(spark, rows):
     assert rows(got, "slot", "competitor") == [(1, "b"), (2, "d"), (3, "e")]  # c is too close to b; f is negative
     wide = correlation.choose_competitors(df, max_inter_corr=0.99).where("item = 'a'")
     assert rows(wide, "slot", "competitor") == [(1, "b"), (2, "c"), (3, "d")]
+
+
+@pytest.mark.parametrize("block,quantile", [(4, 0.75), (256, 0.4), (256, 1.0)])
+def test_strongest_pairs_reach_the_exact_quantile(spark, block, quantile):
+    rng = np.random.default_rng(21)
+    x = rng.normal(0, 1, (25, 12))
+    x[5], x[9], x[11] = x[2], x[2], 1.0  # ties at 1, and a constant series without correlations
+    values = spark.createDataFrame([(f"p{i}", k, float(v)) for i, r in enumerate(x) for k, v in enumerate(r)], "p string, at long, v double").repartition(3)
+    with np.errstate(divide="ignore", invalid="ignore"):
+        full = np.corrcoef(x)
+    corr = {(f"p{i}", f"p{j}"): full[i, j] for i in range(25) for j in range(25) if f"p{i}" < f"p{j}" and np.isfinite(full[i, j])}
+    want = np.quantile(list(corr.values()), quantile)
+    pairs, cut = correlation.strongest_pairs(values, "p", "at", "v", quantile, block=block)
+    assert cut == pytest.approx(want, abs=1e-12)
+    assert {(r.item_a, r.item_b) for r in pairs.collect()} == {k for k, v in corr.items() if v >= want - 1e-12}
+    both, _ = correlation.strongest_pairs(values, "p", "at", "v", quantile, min_abs=0.5, block=block)
+    assert {(r.item_a, r.item_b) for r in both.collect()} == {k for k, v in corr.items() if v >= want - 1e-12 or abs(v) > 0.5}
+
+
+def test_no_correlations_have_no_cut(spark):
+    values = spark.createDataFrame([("a", 0, 1.0), ("b", 0, 2.0)], "p string, at long, v double")
+    pairs, cut = correlation.strongest_pairs(values, "p", "at", "v", 0.75)
+    assert cut is None and pairs.collect() == []

@@ -5,9 +5,10 @@ Demand parameters come from the daily series by rules simple enough to repeat in
 
 from __future__ import annotations
 
-from functools import partial
+from datetime import timedelta
+from functools import partial, reduce
 
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from catalog.demand import EDGES, coarse_edges
 from catalog.elasticity import coarse_series
@@ -15,6 +16,8 @@ from catalog.registry import query, r
 from catalog.views import PAIRS, item_flags, with_views
 from comboscope.functions.storage import written
 from comboscope.operators import combos, correlation, pricing, series
+from comboscope.operators.demand import demand_model
+from comboscope.plans.offers import plan_offers
 
 START, END = "2025-04-01", "2025-10-01"
 
@@ -273,3 +276,45 @@ def combo_report(spark, sf):
         return F.array_join(F.transform(name, lambda v: v.cast("decimal(18,2)").cast("string")), ";").alias(name)
 
     return out.select("month", F.array_join("combo_items", ";").alias("combo_items"), joined("combo_prices"), joined("costs"))
+
+
+RUNS = {"two_items_combo1": "sol", "two_items_combo2": "sol2", "three_items_combo": "sol3", "four_items_combo": "sol4"}
+
+
+def runs_of(plan):
+    """The four runs' solutions as one table."""
+    parts = [plan[f"{name}_raw"].select(F.lit(name).alias("run"), "period", "product_desc", "price_selected", "price_level_index") for name in RUNS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("offer_runs", with_views("items series_coarse", MONTHLY + FLAGS + bundle_sql(2, 2) + bundle_sql(2, 2, used="sol", tag="2") + bundle_sql(2, 3, tag="3")
+       + bundle_sql(2, 4, tag="4") + " UNION ALL ".join(
+           f"SELECT '{run}' AS run, CAST(period AS INTEGER) AS period, product_desc, price_selected, price_level_index FROM {sol}" for run, sol in RUNS.items())))
+def offer_runs(spark, sf):
+    sales = written(coarse_series(spark, sf), "sales")
+    stats, params = parameters(sales)
+    stats, params = written(stats, "stats"), written(params, "params")
+    pairs, cut = correlation.strongest_quantity_pairs(sales, 0.75, min_abs=0.04)
+    coefs, time = demand_tables(sales, stats, correlation.correlated_products(pairs, 0.04))
+    flags = item_flags(params.select("product_desc"))
+    return runs_of(plan_offers(params, coefs, time, pairs, flags, flags.select("product_desc", "category_desc"), combos.Rules(competing=PAIRS), START, END, cut=cut))
+
+
+def fitted_offers(sales, days: int = 184):
+    """Sales to offers: the demand fitted to ``sales`` gives the profits of the ``days`` after the last day."""
+    sales = written(sales, "sales")
+    _, params = parameters(sales)
+    params = written(params, "params")
+    pairs, cut = correlation.strongest_quantity_pairs(sales, 0.75, min_abs=0.04)
+    last, earliest = sales.groupBy("product_desc").agg(F.max("business_date").alias("end")).agg(F.max("end"), F.min("end")).first()
+    fitted = demand_model(sales, correlation.correlated_products(pairs, 0.04), steps=days + (last - earliest).days)
+    coefs, time = written(fitted["coefs"].select("product_desc", "feature", "coef"), "coefs"), fitted["time"].where("future")
+    flags = item_flags(params.select("product_desc"))
+    window = [str(last + timedelta(days=d)) for d in (1, days)]
+    plan = plan_offers(params, coefs, time, pairs, flags, flags.select("product_desc", "category_desc"), combos.Rules(competing=PAIRS), *window, cut=cut)
+    return plan, params, coefs, time
+
+
+@query("fitted_offer_runs")
+def fitted_offer_runs(spark, sf):
+    return runs_of(fitted_offers(coarse_series(spark, sf))[0])

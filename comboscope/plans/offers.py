@@ -13,12 +13,13 @@ from comboscope.operators import combos, pricing
 
 def plan_offers(params: DataFrame, coefs: DataFrame, time: DataFrame, pairs: DataFrame, flags: DataFrame,
                 categories: DataFrame, rules: combos.Rules = combos.Rules(), start: str = OFFER_START,
-                end: str = OFFER_END, quantile: float = 0.75) -> dict[str, DataFrame]:
+                end: str = OFFER_END, quantile: float = 0.75, cut: float | None = None) -> dict[str, DataFrame]:
     """Four monthly bundle runs: two items, two items that differ from the first run's, up to three
-    and up to four items. Each gives a solution, its metrics and its report."""
+    and up to four items. Each gives a solution, its metrics and its report. With the ``cut`` of
+    ``correlation.strongest_pairs``, ``pairs`` need only hold the pairs from there on."""
     ladder = written(pricing.price_ladder(params), "ladder")
     profits = written(pricing.monthly_profit(pricing.base_sales(params, ladder, coefs, time, start, end), ladder), "profits")
-    valid = written(combos.valid_pairs(pairs, flags, quantile), "valid-pairs")
+    valid = written(combos.valid_pairs(pairs, flags, quantile, cut), "valid-pairs")
     out = {"ladder": ladder, "without_ladder": pricing.without_ladder(params, ladder), "profits": profits}
 
     def run(name: str, size: int, used: DataFrame | None = None) -> DataFrame:

@@ -1,13 +1,14 @@
 """The five analyses end to end on the smallest test tables."""
 
 import os
+from datetime import timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
 from catalog import views
 from catalog.elasticity import labelled
-from catalog.offers import demand_tables, parameters
+from catalog.offers import demand_tables, fitted_offers, parameters, runs_of
 from comboscope.operators import combos, series
 from comboscope.plans import basket_mining, demand, elasticity, offers, survey
 from comboscope.sources.sinks import write_report
@@ -51,6 +52,34 @@ def test_demand_to_offers(spark, tmp_path):
     assert all(spark.read.parquet(p).count() == 7 for p in paths)
 
 
+def test_fitted_demand_reaches_the_bundles(spark):
+    sales = series.daily_series(views.items(spark, SF, "coarse"))
+    plan, params, coefs, time = fitted_offers(sales, days=60)
+    coef = {(r.product_desc, r.feature): r.coef for r in coefs.collect()}
+    ladder = {}
+    for r in plan["ladder"].collect():
+        ladder.setdefault(r.product_desc, {})[r.k] = r.price
+    par, days = {r.product_desc: r for r in params.collect()}, {}
+    for r in time.orderBy("ds").collect():
+        days.setdefault(r.product_desc, []).append((r.ds, r.yhat))
+    want, last = {}, sales.agg(F.max("business_date")).first()[0]
+    for p, prices in ladder.items():  # day by day and step by step, from the fitted coefficients
+        b = lambda f: coef.get((p, f), 0.0)  # noqa: E731, B023
+        cross = sum(b(f"{o}_price") * steps[0] for o, steps in ladder.items())
+        window = [d for d in days[p] if d[0] > last]
+        assert len(window) >= 60 and window[0][0] == last + timedelta(days=1)
+        for t, (ds, yhat) in enumerate(window[:60]):
+            lag = par[p].past_price[t] if t < 3 else prices[0]
+            for k, price in prices.items():
+                units = b("const") + b("year") * ds.year + b("month") * ds.month + b("price_lag_3") * lag + cross + yhat + b("price") * price
+                want[p, ds.month, k] = want.get((p, ds.month, k), 0) + (price - par[p].cost) * units
+    got = {(r.product_desc, r.period, r.k): r.profit for r in plan["profits"].collect()}
+    assert got == pytest.approx(want, rel=1e-6, abs=1e-4) and len({p for p, f in coef if f == "price"}) > 20
+    runs = runs_of(plan).collect()
+    assert {r.run for r in runs} <= {"two_items_combo1", "two_items_combo2", "three_items_combo", "four_items_combo"}
+    assert all(ladder[r.product_desc][r.price_level_index] == r.price_selected for r in runs)
+
+
 def test_elasticity(spark):
     sales = labelled(spark, SF).drop("brand", "label", "category_desc")
     sheet = views.product(spark, SF).select(F.col("brand").alias("item_id"), F.col("item_desc").alias("product_desc"), "brand", "category_desc", "sub_category_desc")

@@ -15,6 +15,8 @@ from comboscope.operators.clusters import components
 
 #: Texts that meet in one task; larger groups are cut into blocks that meet in pairs.
 BLOCK = 4096
+#: Bytes of text in a meeting that are turned into sets at a time.
+MEETING_CHUNK = 1 << 20
 #: Bits of a signature, and children of a tree node.
 BITS, FANOUT = 4096, 8
 #: Set sizes up to this factor apart share their number of parts.
@@ -187,9 +189,19 @@ def _pairs(a: SignatureTree, b: SignatureTree, percent: int) -> Iterator[tuple[i
             stack.append((la, lb, i[k : k + 8192], j[k : k + 8192]))
 
 
+def _sets_of(texts: pa.Array, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """``shingle_sets``, some texts at a time: of a meeting only the sets are held whole."""
+    size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    part = (size - 1) // MEETING_CHUNK
+    cuts = [0, *(np.nonzero(np.diff(part))[0] + 1).tolist(), len(texts)]
+    found = [shingle_sets(texts.slice(a, b - a).take(pa.array(np.arange(b - a))) if len(cuts) > 2 else texts, k) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    before = np.cumsum([0, *(len(h) for h, _ in found)])
+    return np.concatenate([h for h, _ in found]), np.concatenate([*(at[:-1] + n for (_, at), n in zip(found, before, strict=False)), before[-1:]])
+
+
 def _linked(k: int, percent: int):
     def links(rows: pa.RecordBatch, own: int, other: int) -> list[tuple[int, int]]:
-        h, at = shingle_sets(rows["text"], k)
+        h, at = _sets_of(rows["text"], k)
         n = np.diff(at)
         block = rows["block"].to_numpy()
         a = SignatureTree(h, at, np.nonzero((block == own) & (n > 0))[0])

@@ -26,7 +26,7 @@ LEAST_LENGTHS = 24
 STEPS = 150
 #: Documents that must be encoded as they are: runs of white space, or strings that may be special tokens.
 _DIRECT = r"[\s\x0b][\s\x0b]|^[\s\x0b]|[\s\x0b]$|<\|"
-_CHUNK = 12 << 20
+_CHUNK = 2 << 20
 
 
 def _byte_symbols() -> dict[str, int]:

@@ -22,24 +22,40 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.quality_scores(docs, scorer, rate, threshold=0.3).where("predicted = 1").select(*docs.columns)
 
 
+def free(docs: DataFrame, name: str) -> str:
+    """A name that ``docs`` has no column of."""
+    taken = {c.lower() for c in docs.columns}
+    return next(n for n in (name + "_" * k for k in range(len(taken) + 1)) if n not in taken)
+
+
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of the smallest id; rows without id stay."""
-    kept = jaccard.near_documents(docs, k=5, percent=80).where("doc_id = component_id").select("doc_id").distinct()
-    named = docs.where("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where("doc_id is null"))
+    """One document of each group of near copies, the one of the smallest id, those without id last.
+
+    A document is an id with a text: texts that share an id are grouped apart, and rows alike in both are one
+    document. Documents without words are near nothing; all of them stay.
+    """
+    key = free(docs, "document_key")
+    keyed = docs.withColumn(key, F.xxhash64("doc_id", "text"))
+    groups = jaccard.near_documents(keyed, k=5, percent=80, doc_id=key).where("component_id is not null").select("doc_id", "component_id").distinct()
+    ids = keyed.select(F.col(key).alias("key"), F.col("doc_id").alias("id")).distinct()
+    first = F.min_by("key", F.struct(F.col("id").isNull().alias("last"), "id", "key")).alias(key)
+    kept = groups.withColumnRenamed("doc_id", "key").join(ids, "key").groupBy("component_id").agg(first).select(key)
+    return keyed.join(kept, key, "left_semi").dropDuplicates([key]).select(*docs.columns)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no passage of a test item."""
+    """Documents that hold no passage of a test item; those without text hold none."""
+    id_, text = free(docs, "id_key"), free(docs, "text_key")
     found = decontamination.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    found = found.select(F.xxhash64("doc_id").alias("_doc"), F.col("text_hash").alias("_text")).distinct()
-    marked = docs.withColumn("_doc", F.xxhash64("doc_id")).withColumn("_text", F.xxhash64("text"))
-    return marked.join(found, ["_doc", "_text"], "left_anti").select(*docs.columns)
+    found = found.select(F.xxhash64("doc_id").alias(id_), F.col("text_hash").alias(text)).distinct()
+    marked = docs.withColumn(id_, F.xxhash64("doc_id")).withColumn(text, F.xxhash64("text"))
+    return marked.join(found, [id_, text], "left_anti").select(*docs.columns)
 
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, personal values replaced by keyed pseudonyms."""
-    out = pii.replace_personal(docs, KEY, count="_replaced").drop("_replaced")
+    """All documents, personal values replaced by keyed pseudonyms; null texts stay null."""
+    count = free(docs, "replaced_count")
+    out = pii.replace_personal(docs, KEY, count=count).drop(count)
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import Window, functions as F
 
 from catalog.elasticity import _project_out, coarse_series
 from catalog.registry import query, r
-from catalog.views import items, with_views
+from catalog.views import items, table, with_views
 from comboscope.functions.storage import written
 from comboscope.operators import correlation, demand, linreg, series
 
@@ -112,6 +112,20 @@ def demand_price_effect_cross(spark, sf):
     return own.select("product_desc", r("coef", 5).alias("price_effect"))
 
 
+@query("ols_or_ridge", """
+    WITH l AS (SELECT l_partkey AS product_key, l_quantity AS y, CASE WHEN l_discount = 0 THEN 'inf'::DOUBLE ELSE 1 / l_discount::DOUBLE END AS x FROM lineitem),
+    f AS (SELECT product_key, COUNT(*) FILTER (isinf(x)) AS bad, COUNT(*) FILTER (NOT isinf(x)) AS n, regr_slope(y, x) FILTER (NOT isinf(x)) AS slope,
+        regr_sxy(y, x) FILTER (NOT isinf(x)) AS sxy, regr_sxx(y, x) FILTER (NOT isinf(x)) AS sxx, MIN(x) AS lo, MAX(x) FILTER (NOT isinf(x)) AS hi FROM l GROUP BY 1)
+    SELECT product_key, CASE WHEN bad > 0 THEN 'ridge' ELSE 'ols' END AS method, n, ROUND(CASE WHEN bad > 0 THEN sxy / (sxx + 50) ELSE slope END, 6) AS slope
+    FROM f WHERE lo < hi""")
+def ols_or_ridge(spark, sf):
+    x = F.when(F.col("l_discount") == 0, F.lit(float("inf"))).otherwise(F.try_divide(F.lit(1.0), F.col("l_discount").cast("double")))
+    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("product_key"), F.col("l_quantity").alias("y"), x.alias("x"))
+    spread = lines.where(F.col("x") < float("inf")).groupBy("product_key").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo < hi")
+    fits = linreg.grouped_fit(lines.join(spread, "product_key", "left_semi"), ["product_key"], "y", ["x"], "auto", lam=50.0)
+    return fits.select("product_key", "method", "n", r(F.col("fit.coef")[0]).alias("slope"))
+
+
 @query("own_price_errors", with_views("items series_fine", """
     , f AS (SELECT product_desc, regr_slope(quantity_sold, price) AS b, regr_intercept(quantity_sold, price) AS a FROM series_fine GROUP BY 1),
     e AS (SELECT product_desc, quantity_sold AS y, quantity_sold - a - b * price AS d FROM series_fine JOIN f USING (product_desc))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from catalog.registry import query, r
 from catalog.views import headers, items, product, promotion, site, table, with_views
 from comboscope.functions import expr
+from comboscope.functions.storage import shared_folder
 from comboscope.operators import baskets, cleaning, series, transactions
-from comboscope.sources.tables import rows_in
+from comboscope.sources import sinks
+from comboscope.sources.tables import dated_facts, rows_in
 
 
 @query("dated_scan", """
@@ -21,6 +25,21 @@ def dated_scan(spark, sf):
             .agg(F.count("*").alias("n_lines"), r(F.sum("l_extendedprice"), 2).alias("sales")))
 
 
+@query("reloaded_days", """
+    SELECT CAST(l_shipdate AS DATE) AS business_date, COUNT(*) AS n_lines,
+        ROUND(SUM(l_quantity * CASE WHEN CAST(l_shipdate AS DATE) = DATE '1998-01-20' THEN 2 ELSE 1 END), 2) AS quantity
+    FROM lineitem WHERE l_shipdate BETWEEN TIMESTAMP '1998-01-13' AND TIMESTAMP '1998-02-12' GROUP BY 1""")
+def reloaded_days(spark, sf):
+    """All lines stored by day, one day loaded again, and a month of days read back."""
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("order_key"), F.col("l_quantity").cast("double").alias("quantity"),
+                                                F.to_date("l_shipdate").alias("transaction_date"))
+    path = f"{shared_folder(spark)}/comboscope/days-{uuid.uuid4().hex}"
+    sinks.replace_days(lines, path)
+    sinks.replace_days(lines.where("transaction_date = date'1998-01-20'").withColumn("quantity", F.col("quantity") * 2), path)
+    days = dated_facts(spark, path, lines.schema, "1998-01-13", "1998-02-12", ["transaction_date", "quantity"])
+    return days.groupBy(F.col("transaction_date").alias("business_date")).agg(F.count("*").alias("n_lines"), r(F.sum("quantity"), 2).alias("quantity"))
+
+
 @query("region_sites", """
     SELECT n_nationkey AS site_number, r_name AS site_state_desc FROM nation JOIN region ON n_regionkey = r_regionkey
     WHERE r_name = 'AMERICA'""")

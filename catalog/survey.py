@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.registry import query, r
 from catalog.views import table
 from comboscope.functions import expr
+from comboscope.functions.storage import written
 from comboscope.operators import comments, survey
 
 STOP = ["the", "of", "and", "is", "it", "in", "that", "to", "for", "on", "as", "with", "was", "are", "this", "an", "at", "be",
@@ -183,6 +184,17 @@ def cluster_summary(spark, sf):
     return out.withColumn("phrases", F.array_join("phrases", "|"))
 
 
+@query("cluster_totals", CLUSTERS + """
+    SELECT cluster, COUNT(*) AS phrases_in_cluster, CAST(SUM(count) AS BIGINT) AS total_count FROM kept JOIN labels USING (phrase) GROUP BY 1""")
+def cluster_totals(spark, sf):
+    return comments.cluster_totals(comments.cluster_phrases(counted(spark, sf, 2)))
+
+
+@query("cluster_members", CLUSTERS + " SELECT cluster, phrase, count FROM kept JOIN labels USING (phrase)")
+def cluster_members(spark, sf):
+    return comments.cluster_members(written(comments.cluster_phrases(counted(spark, sf, 2)), "clusters"))
+
+
 def vector_sql(distance: float) -> str:
     return f"""
     WITH RECURSIVE e AS (SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from comboscope.functions.expr import finite
 from comboscope.functions.storage import written
-from comboscope.operators.linreg import MOMENTS, array_moments, coefficients, least_squares, moments, solve, unpack
+from comboscope.operators.linreg import MOMENTS, array_fit, array_moments, coefficients, least_squares, moments, solve, unpack
 from comboscope.operators.series import with_price_lags, with_split
 
 PRODUCT = ["product_desc"]
@@ -132,8 +132,8 @@ def fit_demand(rows: DataFrame, names: DataFrame, link: str = "level", method: s
     if link not in ("level", "log"):
         raise ValueError("link must be 'level' or 'log'")
     y = F.log("quantity_sold") if link == "log" else F.col("quantity_sold")
-    sums = array_moments(rows.where(F.col("split") == "train").withColumn("y", y), PRODUCT, "y", "x")
-    return solve(sums, method, lam).join(names, PRODUCT).select(*PRODUCT, "n", "names", "fit")
+    fits = array_fit(rows.where(F.col("split") == "train").withColumn("y", y), PRODUCT, "y", "x", method, lam)
+    return fits.join(names, PRODUCT).select(*PRODUCT, "n", "names", "fit")
 
 
 def linear_part(rows: DataFrame, fits: DataFrame, link: str = "level") -> DataFrame:

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 MOMENTS = ["n", "mx", "my", "cxx", "cxy", "cyy", "lo", "hi"]
 MOMENT_TYPES = ("n long, mx array<double>, my double, cxx array<double>, cxy array<double>, cyy double, "
@@ -195,8 +196,34 @@ def solve(sums: DataFrame, method: str = "ols", lam: float = 0.01) -> DataFrame:
 
 def grouped_fit(df: DataFrame, group: list[str], y: str, xs: list[str], method: str = "ols",
                 lam: float = 0.01) -> DataFrame:
-    """One row per group with ``n``, ``cyy`` and the ``fit`` of ``y`` on ``xs``."""
-    return solve(moments(df, group, y, xs), method, lam).select(*group, "n", "cyy", "fit")
+    """One row per group with ``n``, ``cyy`` and the ``fit`` of ``y`` on ``xs``.
+
+    'auto' is least squares, but ridge over the finite rows in groups that hold an infinite value, for which least
+    squares has no answer; ``method`` tells which. Groups without a finite row have no fit.
+    """
+    if method != "auto":
+        return solve(moments(df, group, y, xs), method, lam).select(*group, "n", "cyy", "fit")
+    complete = df.select(*group, *(F.col(c).cast("double").alias(c) for c in (y, *xs))).na.drop(subset=[y, *xs])
+    usable = reduce(lambda a, b: a & b, [F.abs(c) < F.lit(math.inf) for c in (y, *xs)])
+    return _by_choice(moments(complete.where(usable), group, y, xs), complete, usable, group, lam).select(*group, "n", "cyy", "fit", "method")
+
+
+def _by_choice(sums: DataFrame, rows: DataFrame, usable: Column, group: list[str], lam: float) -> DataFrame:
+    """Least squares for groups of usable rows only, ridge for the others."""
+    bad = rows.groupBy(*group).agg(F.count(F.when(~usable, 1)).alias("_bad"))
+    tested = sums.join(bad, group)
+    choices = [solve(tested.where(F.col("_bad") == 0), "ols").withColumn("method", F.lit("ols")),
+               solve(tested.where(F.col("_bad") > 0), "ridge", lam).withColumn("method", F.lit("ridge"))]
+    return choices[0].unionByName(choices[1]).drop("_bad")
+
+
+def array_fit(df: DataFrame, group: list[str], y: str, x: str, method: str = "ols", lam: float = 0.01) -> DataFrame:
+    """``solve`` of ``array_moments``; 'auto' as in ``grouped_fit``."""
+    if method != "auto":
+        return solve(array_moments(df, group, y, x), method, lam)
+    complete = df.where(F.col(y).isNotNull() & ~F.isnan(F.col(y).cast("double")) & ~F.exists(x, lambda v: v.isNull() | F.isnan(v)))
+    usable = (F.abs(F.col(y).cast("double")) < F.lit(math.inf)) & F.forall(x, lambda v: F.abs(v) < F.lit(math.inf))
+    return _by_choice(array_moments(complete.where(usable), group, y, x), complete, usable, group, lam)
 
 
 def coefficients(fits: DataFrame, group: list[str], names: list[str] | str) -> DataFrame:

@@ -5,34 +5,35 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 METRICS = ["support", "confidence", "lift", "leverage", "conviction", "zhang"]
-LOW_BITS = 12  # splits are numbered high part by low part, so no long array is ever built
+LOW_BITS = 10  # sets of up to so many items list their splits; larger ones look their frequent subsets up
 
 
 def association_rules(itemsets: DataFrame, metric: str = "lift", min_threshold: float = 1.3,
                       group: list[str] = []) -> DataFrame:
     """Every split of every frequent itemset into antecedent and consequent, kept by a metric.
 
-    ``group`` holds columns that separate independent minings (for instance the chunk).
+    Both sides must be in the table. So a large set is joined to the sets of the table inside it, and the
+    work follows their number, not the 2^n splits of the set. ``group`` holds columns that separate independent minings (for instance the chunk).
     """
     if metric not in METRICS:
         raise ValueError(f"metric must be one of {METRICS}")
-    n = "cast(size(items) as int)"
-    splits = (
-        itemsets.where(F.size("items") >= 2)
-        .select(*group, "items", F.col("support"),
-                F.expr(f"explode(sequence(0L, shiftleft(1L, greatest({n} - {LOW_BITS}, 0)) - 1))").alias("_high"))
-        .select("*", F.expr(f"explode(sequence(0L, shiftleft(1L, least({n}, {LOW_BITS})) - 1))").alias("_low"))
-        .withColumn("_mask", F.expr(f"shiftleft(_high, {LOW_BITS}) | _low"))
-        .where(F.expr(f"_mask > 0 and _mask < shiftleft(1L, {n}) - 1"))
-        .select(*group, "support",
-                F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1) = 1)").alias("antecedents"),
-                F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1) = 0)").alias("consequents")))
-
     def side(name: str, support: str) -> DataFrame:
         return itemsets.select(*group, F.col("items").alias(name), F.col("support").alias(support))
 
-    both = (splits.join(side("antecedents", "antecedent_support"), [*group, "antecedents"])
-            .join(side("consequents", "consequent_support"), [*group, "consequents"]))
+    few = itemsets.where(F.size("items").between(2, LOW_BITS))
+    masks = (few.select(*group, "items", "support", F.expr("explode(sequence(1, cast(shiftleft(1, size(items)) - 2 as int))) as _mask"))
+             .select(*group, "support",
+                     F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1) = 1)").alias("antecedents"),
+                     F.expr("filter(items, (x, i) -> (shiftright(_mask, i) & 1) = 0)").alias("consequents"))
+             .join(side("antecedents", "antecedent_support"), [*group, "antecedents"]))
+    # a larger set meets the frequent sets whose least item it has; those inside it are its antecedents
+    inner = side("antecedents", "antecedent_support").withColumn("_key", F.array_min("antecedents"))
+    many = itemsets.where(F.size("items") > LOW_BITS).select(*group, "items", "support", F.explode("items").alias("_key"))
+    met = many.join(inner, [*group, "_key"]).where((F.size("antecedents") < F.size("items")) & (F.size(F.array_except("antecedents", "items")) == 0))
+    if metric == "confidence":  # known before the consequent's own support
+        met = met.where(F.col("support") >= F.col("antecedent_support") * F.lit(float(min_threshold)) * (1 - 1e-9))
+    subsets = met.select(*group, "support", "antecedents", F.array_except("items", "antecedents").alias("consequents"), "antecedent_support")
+    both = masks.unionByName(subsets).join(side("consequents", "consequent_support"), [*group, "consequents"])
     s, a, c = F.col("support"), F.col("antecedent_support"), F.col("consequent_support")
     confidence, leverage = s / a, s - a * c
     spread = F.greatest(s * (1 - a), a * (c - s))

@@ -55,6 +55,24 @@ def test_long_itemset_gives_every_split(spark):
     assert top.distinct().count() == 2**14 - 2
 
 
+@pytest.mark.parametrize("metric", ["support", "confidence", "lift"])
+def test_large_sets_split_into_their_frequent_subsets(spark, metric):
+    names = [f"i{k:02d}" for k in range(70)]
+    sets = {tuple(names): 0.2, tuple(names[:35]): 0.4, tuple(names[35:]): 0.3, tuple(names[:20]): 0.5, tuple(names[1:]): 0.3, (names[0],): 0.7, ("zz",): 0.9, (names[5], "zz"): 0.1,
+            tuple(names[:11]): 0.5, tuple(names[:10]): 0.6, (names[10],): 0.7}
+    df = spark.createDataFrame([(list(k), v) for k, v in sets.items()], "items array<string>, support double")
+    got = {(tuple(r.antecedents), tuple(r.consequents)): r[metric] for r in rules.association_rules(df, metric, 0.5 if metric == "confidence" else 0.0).collect()}
+    want = {}
+    for whole, s in sets.items():
+        for a, sa in sets.items():
+            rest = tuple(x for x in whole if x not in a)
+            if set(a) < set(whole) and rest in sets:
+                value = {"support": s, "confidence": s / sa, "lift": s / sa / sets[rest]}[metric]
+                if metric != "confidence" or value >= 0.5:
+                    want[a, rest] = value
+    assert got == pytest.approx(want) and len(want) >= 4
+
+
 def test_names_with_apostrophe_survive(spark):
     found = baskets.frequent_itemsets(_carts(spark, [["LAY'S CLASSIC 66g", "PEPSI 591ML"]] * 2), 0.5)
     assert {r[0] for r in baskets.items_of(found).collect()} == {"LAY'S CLASSIC 66g", "PEPSI 591ML"}

@@ -86,6 +86,24 @@ def test_ridge_limits(spark):
     assert far.coef == pytest.approx([0, 0], abs=1e-6) and far.intercept == pytest.approx(y.mean(), abs=1e-6)
 
 
+def test_groups_with_infinite_values_turn_to_ridge(spark):
+    rng = np.random.default_rng(12)
+    x = rng.normal(0, 1, (60, 2))
+    y = 1 + x @ [2, -1] + rng.normal(0, 0.1, 60)
+    x[3, 1], y[25] = math.inf, -math.inf
+    rows = [("abc"[i // 20], *map(float, x[i]), float(y[i])) for i in range(60)] + [("none", math.inf, 0.0, 1.0)]
+    df = spark.createDataFrame(rows, "g string, x0 double, x1 double, y double")
+    arrays = df.select("g", "y", F.array("x0", "x1").alias("x"))
+    for fits in (linreg.grouped_fit(df, ["g"], "y", ["x0", "x1"], "auto", lam=3.0), linreg.array_fit(arrays, ["g"], "y", "x", "auto", lam=3.0)):
+        got = {r.g: r for r in fits.collect()}
+        assert {g: r.method for g, r in got.items()} == {"a": "ridge", "b": "ridge", "c": "ols"}
+        for g, first in (("a", 0), ("b", 20), ("c", 40)):
+            keep = [i for i in range(first, first + 20) if np.isfinite([*x[i], y[i]]).all()]
+            xc, yc = x[keep] - x[keep].mean(0), y[keep] - y[keep].mean()
+            want = np.linalg.solve(xc.T @ xc + (0 if g == "c" else 3) * np.eye(2), xc.T @ yc)
+            assert got[g].n == len(keep) and got[g].fit.coef == pytest.approx(list(want))
+
+
 def test_array_moments_equal_column_moments(spark):
     rng = np.random.default_rng(7)
     x = rng.normal(0, 1, (50, 3))

@@ -224,6 +224,16 @@ def test_dated_facts_tolerate_gaps_and_empty_files(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(transaction_date" in plan
 
 
+def test_reloaded_days_replace_only_themselves(spark, rows, tmp_path):
+    root = str(tmp_path / "facts")
+    schema = "transaction_uid string, transaction_date date"
+    sinks.replace_days(spark.createDataFrame([("a", D(2024, 1, 1)), ("b", D(2024, 1, 2)), ("c", D(2024, 1, 2)), ("n", None)], schema), root)
+    sinks.replace_days(spark.createDataFrame([("d", D(2024, 1, 2)), ("e", D(2024, 1, 3))], schema), root)
+    got = tables.dated_facts(spark, root, schemas.T.StructType(schemas.HEADERS.fields), "2024-01-01", "2024-01-02", ["transaction_uid"])
+    assert rows(got) == [("a",), ("d",)]
+    assert "PartitionFilters: [isnotnull(transaction_date" in got._jdf.queryExecution().executedPlan().toString()
+
+
 def test_csv_matrix_and_report_round_trip(spark, rows, tmp_path):
     costs = spark.createDataFrame([("LAY'S CLASSIC 66g", 1.5, 2.5)], schemas.COST_TABLE)
     sinks.write_table(costs, str(tmp_path / "costs"), "csv")

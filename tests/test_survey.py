@@ -157,6 +157,12 @@ def test_cluster_summary_has_one_row_per_cluster(spark):
     assert got["c"].phrases == sorted(f"p{i}" for i in range(50))
 
 
+def test_members_come_by_cluster_total(spark):
+    df = spark.createDataFrame([("a", 1, "x"), ("b", 5, "x"), ("c", 9, "y"), ("d", 1, "w"), ("e", 5, "w")], "phrase string, count long, cluster string")
+    assert [tuple(r) for r in comments.cluster_members(df).collect()] == [("y", "c", 9), ("w", "e", 5), ("w", "d", 1), ("x", "b", 5), ("x", "a", 1)]
+    assert {tuple(r) for r in comments.cluster_totals(df).collect()} == {("x", 2, 6), ("y", 1, 9), ("w", 2, 6)}
+
+
 def test_phrases_come_by_count_then_name(spark):
     df = spark.createDataFrame([("b", 2), ("c", 5), ("a", 2)], "phrase string, count long")
     assert [r.phrase for r in comments.by_count(df).collect()] == ["c", "a", "b"]

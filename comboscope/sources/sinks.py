@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: str | None = None,
@@ -15,12 +15,13 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", partition_by: st
     writer.format(fmt).save(path)
 
 
-def replace_days(df: DataFrame, path: str, date_column: str = "transaction_date") -> None:
+def replace_days(df: DataFrame, path: str, date_column: str = "transaction_date", files: int = 1) -> None:
     """The days that ``df`` has, written anew into a folder partitioned by day; other days stay as they are.
 
-    Rows are brought together by day; adaptive execution splits a busy day and joins quiet ones.
+    A day's rows go to ``files`` tasks, each of which writes one file; take more where a day is more than a task should hold.
     """
-    rows = df.hint("rebalance", date_column)
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = df.repartition(tasks, date_column, F.pmod(F.xxhash64(*df.columns), F.lit(files)))
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(date_column).parquet(path)
 
 

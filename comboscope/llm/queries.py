@@ -21,12 +21,38 @@ def op1(spark, sf):
     return packing.pack(table(spark, sf, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, limit=2048)
 
 
-@query("op2_embedding_near_dedup")
+#: All pairs of a label, and what their links reach.
+_VECTORS_SQL = """WITH RECURSIVE v AS MATERIALIZED (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+        WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
+        AND len(list_filter(embedding, lambda e: e <> 0)) > 0),
+    links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+        AND CASE WHEN len(a.x) = len(b.x) THEN list_cosine_similarity(a.x, b.x) END >= 0.98),
+    reach(a, b) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    component AS (SELECT a, min(b) AS c FROM reach GROUP BY a), counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+    SELECT vec_id, coalesce(n, 0) AS n_links, coalesce(c, vec_id) AS component_id, vec_id = coalesce(c, vec_id) AS kept
+    FROM embeddings LEFT JOIN counts ON counts.a = vec_id LEFT JOIN component ON component.a = vec_id"""
+
+
+@query("op2_embedding_near_dedup", _VECTORS_SQL)
 def op2(spark, sf):
     return embeddings.near_vectors(table(spark, sf, "embeddings"), threshold=0.98)
 
 
-@query("op3_ngram_jaccard_join")
+#: Documents that share a shingle, the sizes of what they share, and what their links reach.
+_JACCARD_SQL = r"""WITH RECURSIVE w AS (SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+    s AS MATERIALIZED (SELECT doc_id, list_distinct(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+        ELSE list_transform(range(1, len(ws) - 1), lambda i: array_to_string(ws[i:i + 2], ' ')) END) AS shingles FROM w),
+    e AS MATERIALIZED (SELECT doc_id, len(shingles) AS size, unnest(shingles) AS shingle FROM s),
+    links AS MATERIALIZED (SELECT a.doc_id AS a, b.doc_id AS b FROM e a JOIN e b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+        AND 100 * least(a.size, b.size) >= 90 * greatest(a.size, b.size)
+        GROUP BY a.doc_id, b.doc_id, a.size, b.size HAVING 100 * count(*) >= 90 * (a.size + b.size - count(*))),
+    reach(a, b) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.a, l.b FROM reach r JOIN links l ON l.a = r.b),
+    component AS (SELECT a, min(b) AS c FROM reach GROUP BY a)
+    SELECT doc_id, CAST(len(shingles) AS BIGINT) AS n_shingles, c AS component_id FROM s JOIN component ON a = doc_id"""
+
+
+@query("op3_ngram_jaccard_join", _JACCARD_SQL)
 def op3(spark, sf):
     return jaccard.near_documents(table(spark, sf, "documents"), k=3, percent=90)
 
@@ -64,7 +90,19 @@ def op9(spark, sf):
     return pii.replace_personal(table(spark, sf, "documents"), KEY).select("doc_id", "text", "n_replaced")
 
 
-@query("op10_substring_dedup")
+#: Every window of 50 words, the first document of each, and the words that later ones cover.
+_REPEATS_SQL = r"""WITH w AS MATERIALIZED (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+    win AS MATERIALIZED (SELECT doc_id, i, sha256(array_to_string(ws[i:i + 49], ' ')) AS h
+        FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)),
+    earliest AS (SELECT h, min(doc_id) AS d FROM win GROUP BY h),
+    gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS p FROM win JOIN earliest USING (h) WHERE doc_id > d),
+    words AS (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS p FROM w)
+    SELECT w.doc_id, any_value(len(ws)) AS n_words, count(gone.p) AS n_removed,
+        sha256(coalesce(string_agg(x, ' ' ORDER BY words.p) FILTER (gone.p IS NULL AND x IS NOT NULL), '')) AS kept_sha256
+    FROM w LEFT JOIN words ON words.doc_id = w.doc_id LEFT JOIN gone ON gone.doc_id = words.doc_id AND gone.p = words.p GROUP BY w.doc_id"""
+
+
+@query("op10_substring_dedup", _REPEATS_SQL)
 def op10(spark, sf):
     out = substrings.remove_repeats(table(spark, sf, "documents"), length=50)
     return out.select("doc_id", "n_words", "n_removed", "kept_sha256")

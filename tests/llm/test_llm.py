@@ -345,6 +345,48 @@ def test_finds_what_alignment_with_every_item_finds(spark):
     assert all(got[k] == pytest.approx(want[k]) for k in want)
 
 
+def test_rare_seeds_find_edited_copies_among_common_phrases(spark, monkeypatch):
+    monkeypatch.setattr(decontamination, "COMMON", 8)
+    rng = random.Random(23)
+    vocabulary = ["".join(rng.choices("abcdefgh", k=4)) for _ in range(700)]
+    stock = [rng.choices(vocabulary, k=4) for _ in range(5)]
+    items = [[*rng.choice(stock), *rng.choices(vocabulary, k=rng.randint(10, 30)), *rng.choice(stock)] for _ in range(30)]
+    bodies = []
+    for x in items:
+        for share in (0.1, 0.2, 0.3):
+            body = list(x)
+            for at in rng.sample(range(len(x)), int(share * len(x))):
+                body[at] = rng.choice(["", "changed", body[at] + " added"])
+            bodies.append(body)
+    texts = [" ".join([*rng.choices(vocabulary, k=25), *b, *rng.choice(stock), *rng.choices(vocabulary, k=30)]) for b in bodies]
+    texts += [" ".join(rng.choice(stock) + rng.choices(vocabulary, k=60)) for _ in range(60)]
+    numbers = {}
+    coded = lambda ws: packing.np.array([numbers.setdefault(w, len(numbers)) for w in ws])
+    want = {(d, i) for d, t in enumerate(texts) for i, x in enumerate(items) if decontamination.align(coded(x), coded(t.split()))[0] / len(x) >= 0.5}
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    bench = spark.createDataFrame([(i, " ".join(x)) for i, x in enumerate(items)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontamination.contaminated(table, bench).collect()}
+    assert got <= want and len(want) >= 80 and len(got) >= 0.95 * len(want)
+    monkeypatch.setattr(decontamination, "ITEM_BYTES", 1000)
+    assert got == {(r.doc_id, r.item_id) for r in decontamination.contaminated(table, bench).collect()}
+
+
+def test_phrases_of_all_items_seed_no_candidates():
+    rng = random.Random(2)
+    items = [(i, "what is the " + " ".join("".join(rng.choices("abcdefghij", k=6)) for _ in range(20))) for i in range(2000)]
+    grams = decontamination.Grams(items)
+    text = pa.array(["and what is the answer " * 90 + items[7][1]], pa.large_string())
+    flat, offsets = decontamination.W.split(text)
+    h, known = decontamination.W.hashes(flat), grams.lookup()
+    counts = packing.np.zeros(len(known.keys), int)
+    for key, _ in known.find(h, offsets):
+        packing.np.add.at(counts, key, 1000 if len(key) > 10 else 1)
+    counts = packing.np.where(counts > 5000, counts, 0)[packing.np.searchsorted(known.keys, grams.hash)]
+    few = decontamination.Seeds(grams, counts, 100).hits(h, offsets)
+    assert set(few[1].tolist()) == {7}
+    assert len(decontamination.Seeds(grams, 0 * counts, 100).hits(h, offsets)[0]) > 2000 * 90
+
+
 def test_alignment_equals_plain_smith_waterman():
     rng = random.Random(8)
     for _ in range(60):

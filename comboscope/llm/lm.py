@@ -20,6 +20,10 @@ FREQUENT = 200_000
 ROUNDS = 2
 #: Words whose lattices are computed at once.
 _AT_ONCE = 5_000
+#: Characters from which a word's lattice is summed by itself.
+_LONG = 200
+#: Expected uses, spread by the vocabulary's own scores, that every piece starts with.
+PRIOR = 300.0
 _CHUNK = 16 << 20
 _START = "▁"
 
@@ -127,16 +131,69 @@ class Lattice:
         """Natural logarithm of each word's probability."""
         out = np.zeros(len(words))
         for rows, group, n in self._groups(words) if words else ():
+            if n >= _LONG:
+                out[rows] = [self._forward(n, *self._all_arcs(w)[:3])[-1] for w in group]
+                continue
             forward = np.zeros((n + 1, len(group)))
             for j, arcs, _ in self._arcs(group, n):
                 forward[j] = _log_sum([forward[i] + log for i, _, log in arcs])
             out[rows] = forward[n]
         return out
 
-    def expected(self, words: list[str], size: int) -> np.ndarray:
-        """How often each piece is used, expected over the segmentations of the words."""
-        out = np.zeros(size)
+    def _all_arcs(self, word: str) -> tuple[np.ndarray, ...]:
+        """(from, to, log weight, piece or -1, bytes of the last character) of one word, ordered by where they end."""
+        raw, n = _codes([word]), len(word)
+        power, inverse = np.full(n, _BASE, np.uint64), np.full(n, _INVERSE, np.uint64)
+        power[0] = inverse[0] = 1
+        power, inverse = np.multiply.accumulate(power), np.multiply.accumulate(inverse)
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(W.mixed(raw) * power)])
+        width = 1 + (raw > 0x7F).astype(int) + (raw > 0x7FF) + (raw > 0xFFFF)
+        log, parts = np.append(self.log, -np.inf), []
+        for size in range(1, min(self.longest, n) + 1):
+            piece = self._find((sums[size:] - sums[:-size]) * inverse[: n - size + 1])
+            at = np.arange(n) if size == 1 else np.nonzero(piece >= 0)[0]
+            piece = piece[at]
+            weight = np.where(piece >= 0, log[piece], self.log_byte * width[at]) if size == 1 else log[piece]
+            parts.append((at, at + size, weight, piece, width[at + size - 1]))
+        begin, end, weight, piece, wide = (np.concatenate(x) for x in zip(*parts, strict=True))
+        order = np.lexsort((begin, end))
+        return begin[order], end[order], weight[order], piece[order], wide[order]
+
+    @staticmethod
+    def _forward(n: int, begin: np.ndarray, end: np.ndarray, weight: np.ndarray) -> list[float]:
+        """log of the summed ways to each place; arcs are ordered by their end, of which every place has one."""
+        sums, here, terms = [0.0], 1, []
+        exp, log = math.exp, math.log
+        for i, j, w in zip([*begin.tolist(), 0], [*end.tolist(), n + 1], [*weight.tolist(), 0.0], strict=True):
+            if j != here:
+                most = max(terms)
+                sums.append(most + log(sum([exp(t - most) for t in terms])))
+                here, terms = j, []
+                if j > n:
+                    break
+            terms.append(sums[i] + w)
+        return sums
+
+    def _expected_alone(self, word: str, out: np.ndarray, times: float) -> None:
+        """Adds ``times`` the expected uses of pieces in one word."""
+        begin, end, weight, piece, width = self._all_arcs(word)
+        n = len(word)
+        forward = np.array(self._forward(n, begin, end, weight))
+        turned = np.lexsort((-end, n - begin))  # the same sums from the word's end
+        backward = np.array(self._forward(n, n - end[turned], n - begin[turned], weight[turned]))[::-1]
+        share = times * np.exp(forward[begin] + weight + backward[end] - forward[n])
+        known = piece >= 0
+        out += np.bincount(piece[known], share[known], len(out))
+        out[self.byte] += (share[~known] * width[~known]).sum() / 256
+
+    def expected(self, words: list[str], size: int, times: np.ndarray | None = None) -> np.ndarray:
+        """How often each piece is used, expected over the segmentations of the words, each of which counts ``times``."""
+        out, times = np.zeros(size), np.ones(len(words)) if times is None else times
         for rows, group, n in self._groups(words) if words else ():
+            if n >= _LONG:
+                for w, t in zip(group, times[rows].tolist(), strict=True):
+                    self._expected_alone(w, out, t)
+                continue
             steps = list(self._arcs(group, n))
             forward = np.zeros((n + 1, len(group)))
             for j, arcs, _ in steps:
@@ -147,7 +204,7 @@ class Lattice:
                 for i, piece, log in arcs:
                     way = log + after
                     backward[i].append(way)
-                    share = np.exp(forward[i] + way - forward[n])
+                    share = np.exp(forward[i] + way - forward[n]) * times[rows]
                     known = piece >= 0
                     out += np.bincount(piece[known], share[known], size)
                     if i == j - 1 and not known.all():
@@ -196,23 +253,28 @@ def _expectation(names: tuple[str, ...], weights: np.ndarray):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lattice, total = Lattice(names, weights), np.zeros(len(names))
         for batch in _gathered(batches):
-            words = batch["word"].to_pylist()
-            total += lattice.expected(words, len(names))
+            total += lattice.expected(batch["word"].to_pylist(), len(names), batch["n"].to_numpy().astype(float))
         some = np.nonzero(total)[0]
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["piece", "n"])
     return scan
 
 
-def learn_weights(words: DataFrame, path: str, rounds: int = ROUNDS) -> np.ndarray:
-    """Piece weights fitted to the distinct ``words`` (column ``word``). What tasks send is bounded by the vocabulary."""
-    names, weights = vocabulary(path)
+def learn_weights(words: DataFrame, path: str, ends: int = 0, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Probabilities of the pieces, and of an end, fitted to ``words`` (columns ``word``, ``n``) and the number of ends.
+
+    Piece weights start from the vocabulary's scores and are refined by expectation-maximisation over
+    all segmentations. What tasks send is bounded by the vocabulary.
+    """
+    names, first = vocabulary(path)
+    weights, end = first, 0.5 / (PRIOR + 0.5)
     for _ in range(rounds):
-        used = words.select("word").mapInArrow(_expectation(names, weights), "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
-        total = np.full(len(names), 0.01)
+        used = words.select("word", "n").mapInArrow(_expectation(names, weights), "piece long, n double").groupBy("piece").agg(F.sum("n").alias("n")).collect()
+        total = PRIOR * first
         for piece, n in used:
             total[piece] += n
-        weights = total / total.sum()
-    return weights
+        weights = total / (total.sum() + ends + 0.5)
+        end = (ends + 0.5) / (total.sum() + ends + 0.5)
+    return weights, end
 
 
 def _lattice_scores(names: tuple[str, ...], weights: np.ndarray):
@@ -225,7 +287,7 @@ def _lattice_scores(names: tuple[str, ...], weights: np.ndarray):
 
 def _document_words(frequent):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, base, score, counted = frequent.value
+        known, base, score, mixed, counted = frequent.value
         table = pa.array(known, pa.large_string())
         for rows in W.chunks(batches, "text", _CHUNK):
             flat, offsets = W.split(pc.ascii_lower(pc.fill_null(rows["text"], "").cast(pa.large_string())))
@@ -234,7 +296,7 @@ def _document_words(frequent):
             doc = np.repeat(np.arange(rows.num_rows), np.diff(offsets))
             at = pc.fill_null(pc.index_in(coded.dictionary, table), -1).to_numpy()[code] if len(code) else np.zeros(0, np.int64)
             hot = at >= 0
-            sums = [np.bincount(doc[hot], x[at[hot]], rows.num_rows) for x in (base, score, counted)]
+            sums = [np.bincount(doc[hot], x[at[hot]], rows.num_rows) for x in (base, score, mixed, counted)]
             pairs, times = np.unique(doc[~hot] * len(coded.dictionary) + code[~hot], return_counts=True)
             owner, word = np.divmod(pairs, max(len(coded.dictionary), 1))
             n, zero = rows.num_rows, np.zeros(len(pairs))
@@ -245,22 +307,24 @@ def _document_words(frequent):
                 rows["row"].take(pa.array(row)), rows["doc_id"].take(pa.array(row)), rows["held_out"].take(pa.array(row)),
                 pa.concat_arrays([label, coded.dictionary.take(pa.array(word)).cast(pa.string())]),
                 pa.array(np.concatenate([np.zeros(n, np.int64), times])), pa.array(np.concatenate([np.diff(offsets), np.zeros(len(pairs), np.int64)])),
-                pa.array(np.concatenate([sums[0], zero])), pa.array(np.concatenate([sums[1], zero])), pa.array(np.concatenate([sums[2], zero]).astype(np.int64))],
-                ["row", "doc_id", "held_out", "word", "times", "n_words", "base", "score", "n_known"])
+                pa.array(np.concatenate([sums[0], zero])), *(pa.array(np.concatenate([x, zero])) for x in sums[1:3]), pa.array(np.concatenate([sums[3], zero]).astype(np.int64))],
+                ["row", "doc_id", "held_out", "word", "times", "n_words", "base", "score", "mixed", "n_known"])
     return scan
 
 
 def score_documents(docs: DataFrame, held_out: Column, path: str, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, mixed_score.
 
-    Tokens are lower-cased words and one end. Rows that aren't ``held_out`` are learnt from: word counts, and
-    weights of the vocabulary's pieces by expectation-maximisation over the distinct words. A word's probability
-    is its discounted count plus the mass this frees times the sum over all segmentations of the word, so
-    every word has some and all sum to 1. ``base_score`` is the add-half word model. Both are log10.
+    Tokens are lower-cased words and one end. Rows that aren't ``held_out`` are learnt from. ``score`` is the
+    probability of the whole text (words, each with the space before it, and the end) summed over all its segmentations
+    into pieces of the vocabulary; the pieces' weights come from the vocabulary's scores, refined by expectation-maximisation
+    over all words learnt from. ``base_score`` is the add-half word model, and ``mixed_score`` gives a word its discounted
+    count plus the mass this frees times its lattice sum. All are log10.
 
     The most frequent words (a fixed number) are looked up in the tasks, all others by a join, each text's
-    distinct words once. Null and empty texts are one end. Without training rows the base is 0 for ends, and
-    the lattice alone scores words. Null and repeated ids keep their rows; other columns are ignored.
+    distinct words once. Null and empty texts are one end. Words of any length are summed whole, in time
+    proportional to it. Without training rows the base is 0 for ends, and the vocabulary's own scores are the weights; an empty
+    table gives an empty result. Null and repeated ids keep their rows, equal rows score alike; other columns are ignored.
     """
     rows = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.coalesce(held_out, F.lit(False)).alias("held_out"))
     counts = rows.select(F.col("text"), (~F.col("held_out")).alias("learnt")).mapInArrow(_word_counts, "word string, n long")
@@ -271,7 +335,7 @@ def score_documents(docs: DataFrame, held_out: Column, path: str, doc_id: str =
     discount = min(max(once / (once + 2 * twice), 0.1), 0.95) if once and twice else 0.5
 
     names, _ = vocabulary(path)
-    weights = learn_weights(counts.where("n > 0"), path)
+    weights, end = learn_weights(counts.where("n > 0"), path, ends)
     free = discount * distinct / total if total else 1.0
     log10 = math.log(10)
     scored = counts.mapInArrow(_lattice_scores(names, weights), "word string, n long, lattice double")
@@ -280,23 +344,23 @@ def score_documents(docs: DataFrame, held_out: Column, path: str, doc_id: str =
     seen = F.log(F.greatest(held, F.lit(1e-300)))
     new = F.lit(math.log(free)) + F.col("lattice")
     high = F.when(held > 0, F.greatest(seen, new)).otherwise(new)
-    word_score = F.when(held > 0, high + F.log1p(F.exp(F.least(seen, new) - high))).otherwise(new) / log10
+    mixed = F.when(held > 0, high + F.log1p(F.exp(F.least(seen, new) - high))).otherwise(new) / log10
     base = F.log10((F.col("n") + 0.5) / F.lit(total + 0.5 * (distinct + 1)))
-    lexicon = written(scored.select("word", "n", base.alias("word_base"), word_score.alias("word_score")), "lexicon")
+    lexicon = written(scored.select("word", "n", base.alias("word_base"), (F.col("lattice") / log10).alias("word_score"), mixed.alias("word_mixed")), "lexicon")
 
     top = lexicon.where("n > 0").orderBy(F.desc("n"), "word").limit(FREQUENT).toArrow().combine_chunks()
     frequent = rows.sparkSession.sparkContext.broadcast(  # FREQUENT words at most
-        ([str(w) for w in top["word"].to_pylist()], top["word_base"].to_numpy(), top["word_score"].to_numpy(), np.ones(len(top))))
+        ([str(w) for w in top["word"].to_pylist()], top["word_base"].to_numpy(), top["word_score"].to_numpy(), top["word_mixed"].to_numpy(), np.ones(len(top))))
     kind = rows.schema["doc_id"].dataType.simpleString()
     found = rows.withColumn("row", F.monotonically_increasing_id()).select("row", "doc_id", "held_out", "text").mapInArrow(
-        _document_words(frequent), f"row long, doc_id {kind}, held_out boolean, word string, times long, n_words long, base double, score double, n_known long")
+        _document_words(frequent), f"row long, doc_id {kind}, held_out boolean, word string, times long, n_words long, base double, score double, mixed double, n_known long")
     joined = found.join(lexicon, "word", "left")
     sums = joined.groupBy("row", "doc_id", "held_out").agg(
         F.sum("n_words").alias("n_words"),
         F.sum(F.col("n_known") + F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("n_known"),
-        F.sum(F.col("base") + F.coalesce(F.col("times") * F.col("word_base"), F.lit(0.0))).alias("base"),
-        F.sum(F.col("score") + F.coalesce(F.col("times") * F.col("word_score"), F.lit(0.0))).alias("score"))
+        *(F.sum(F.col(c) + F.coalesce(F.col("times") * F.col(f"word_{c}"), F.lit(0.0))).alias(c) for c in ("base", "score", "mixed")))
     end_base = math.log10((ends + 0.5) / (total + 0.5 * (distinct + 1)))
-    end_score = math.log10((ends - discount) / total) if ends else 0.0
+    end_mixed = math.log10((ends - discount) / total) if ends else 0.0
     return sums.select("doc_id", "held_out", (F.col("n_words") + 1).alias("n_tokens"), (F.col("n_known") + int(ends > 0)).alias("n_known"),
-                       F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + end_base).alias("base_score"), (F.col("score") + end_score).alias("score"))
+                       F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + end_base).alias("base_score"), (F.col("score") + math.log10(end)).alias("score"),
+                       (F.col("mixed") + end_mixed).alias("mixed_score"))

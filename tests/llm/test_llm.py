@@ -272,7 +272,7 @@ def test_word_probabilities(docs, none):
         r = got[d, len(w) + 1]
         assert (r.train_tokens, r.n_known) == (total, sum(x in learnt for x in [*w, "\n"]))
         assert r.base_score == pytest.approx(sum(math.log10((learnt[x] + 0.5) / (total + 0.5 * (types + 1))) for x in [*w, "\n"]))
-        assert r.score < 0
+        assert r.score < 0 and r.mixed_score < 0
     assert lm.score_documents(none, quality.fold("doc_id") == 1, path).collect() == []
 
 
@@ -296,6 +296,42 @@ def test_lattice_sums_all_segmentations():
     assert sum(used[place[n]] * len(n) for n in place if used[place[n]]) == pytest.approx(len("▁the▁tree"))
 
 
+def test_score_sums_all_segmentations_of_a_text(spark):
+    path, texts = P.path("piece_bpe_32k.model"), ["The cat sat", "a cat", "", None, "on the mat", "the über cat", "q" * 12, "x" * 230 + " y"]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = F.col("doc_id") >= 4
+    counts = Counter(w for t in texts[:4] for w in words(t, True))
+    names, first = lm.vocabulary(path)
+    weights, end = lm.learn_weights(spark.createDataFrame(list(counts.items()), "word string, n long"), path, 4)
+    place = {n: i for i, n in enumerate(names)}
+    assert weights.sum() + end == pytest.approx(1)
+    byte = math.exp(sum(math.log(weights[place[f"<0x{b:02X}>"]]) for b in range(256)) / 256)
+    weight = lambda p: weights[place[p]] if p in place else byte ** len(p.encode()) if len(p) == 1 else 0.0
+
+    def cuts(text):  # every segmentation, one after the other
+        if not text:
+            yield 1.0
+        for i in range(1, len(text) + 1):
+            if weight(text[:i]):
+                yield from (weight(text[:i]) * rest for rest in cuts(text[i:]))
+
+    got = {r.doc_id: r.score for r in lm.score_documents(table, held, path).collect()}
+    for d, t in enumerate(texts[:7]):
+        assert got[d] == pytest.approx(math.log10(end) + sum(math.log10(sum(cuts("▁" + w))) for w in words(t, True)))
+
+
+def test_long_words_by_themselves_as_in_groups(monkeypatch):
+    names, weights = lm.vocabulary(P.path("piece_bpe_32k.model"))
+    lattice, rng = lm.Lattice(names, weights), random.Random(1)
+    some = ["the" * 90, "".join(rng.choices("abcdeé日😀", k=300)), "".join(rng.choices("abcdeé日😀", k=300)), "k" * 210, "a", "tree"]
+    times = packing.np.array([1.0, 2, 3, 1, 5, 1])
+    alone = lattice.log_probability(some), lattice.expected(some, len(names), times)
+    monkeypatch.setattr(lm, "_LONG", 10**9)
+    assert alone[0] == pytest.approx(lattice.log_probability(some)) and alone[1] == pytest.approx(lattice.expected(some, len(names), times))
+    monkeypatch.setattr(lm, "_LONG", 2)
+    assert alone[0] == pytest.approx(lattice.log_probability(some))
+
+
 def test_finds_edited_passages(spark, none):
     rng = random.Random(6)
     word = lambda: "".join(rng.choices("abcdefgh", k=5))

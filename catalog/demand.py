@@ -66,6 +66,24 @@ def demand_feature_rows(spark, sf):
                         x[2].alias("month"), F.round(x[3], 6).alias("price_lag_3"))
 
 
+#: Some products lack a price, or have an infinite one, on the 7th or 13th when those sell 37 or 41 pieces.
+_GAPS = """, series_gap AS (SELECT business_date, product_desc, quantity_sold,
+    CASE WHEN quantity_sold = 37 AND day(business_date) = 7 THEN NULL WHEN quantity_sold = 41 AND day(business_date) = 13 THEN 'inf'::DOUBLE ELSE price END AS price FROM series_fine)"""
+
+
+@query("complete_regressors", with_views("items series_fine", _GAPS + """
+    , l AS (SELECT product_desc, price, LAG(price, 3) OVER w AS price_lag_3, COUNT(price) OVER (w ROWS BETWEEN 8 PRECEDING AND CURRENT ROW) AS known
+        FROM series_gap WINDOW w AS (PARTITION BY product_desc ORDER BY business_date)), rows8 AS (SELECT * FROM l WHERE known = 9)
+    SELECT product_desc, CASE WHEN bool_and(coalesce(isfinite(price), false)) THEN 'price;' ELSE '' END || 'year;month' ||
+        CASE WHEN bool_and(coalesce(isfinite(price_lag_3), false)) THEN ';price_lag_3' ELSE '' END AS regressors FROM rows8 GROUP BY 1"""))
+def complete_regressors(spark, sf):
+    """The regressors that each product keeps: those finite on all of its days that have a price and eight before it."""
+    sold, day = F.col("quantity_sold"), F.dayofmonth("business_date")
+    price = F.when((sold == 37) & (day == 7), F.lit(None)).when((sold == 41) & (day == 13), F.lit(float("inf"))).otherwise(F.col("price"))
+    _, names = demand.demand_features(series.daily_series(items(spark, sf, "fine")).withColumn("price", price), no_edges(spark))
+    return names.select("product_desc", F.array_join("names", ";").alias("regressors"))
+
+
 def _partial_out(xs: list[str], source: str, targets: list[str]) -> str:
     """SQL that takes each of ``xs`` in turn out of the later ones and of ``targets``, per product; columns without spread do nothing."""
     out = f", g0 AS (SELECT product_desc, {', '.join([*xs, *targets])} FROM {source})"

@@ -202,6 +202,45 @@ def ols_own_price(spark, sf):
                        r(F.col("fit.t")[0], 5).alias("t"), r(F.col("fit.rss")).alias("rss"))
 
 
+@query("constant_regressor", with_views("items series_coarse", """
+    , y AS (SELECT *, YEAR(business_date) AS year FROM series_coarse)
+    SELECT product_desc, year, COUNT(*) AS n, false AS has_const, ROUND(regr_slope(quantity_sold, price), 6) AS price_effect,
+        ROUND(regr_intercept(quantity_sold, price) / year, 8) AS year_effect FROM y GROUP BY 1, 2 HAVING MIN(price) < MAX(price)"""))
+def constant_regressor(spark, sf):
+    """Within a year the year is constant and takes the place of the intercept."""
+    rows = coarse_series(spark, sf).withColumn("year", F.year("business_date")).withColumn("at", F.col("year"))
+    usable = rows.groupBy("product_desc", "at").agg(F.min("price").alias("lo"), F.max("price").alias("hi")).where("lo < hi")
+    fits = linreg.grouped_fit(rows.join(usable, ["product_desc", "at"], "left_semi"), ["product_desc", "at"], "quantity_sold", ["price", "year"])
+    return fits.select("product_desc", F.col("at").alias("year"), "n", "fit.has_const", r(F.col("fit.coef")[0]).alias("price_effect"),
+                       r(F.col("fit.coef")[1], 8).alias("year_effect"))
+
+
+LAMBDAS = [10 ** (-3 + 5 * k / 19) for k in range(20)]
+
+
+@query("ridge_own_price", with_views("items series_coarse", WEEKS + f"""
+    , dealt AS (SELECT *, (ROW_NUMBER() OVER (PARTITION BY product_desc ORDER BY md5(concat_ws('|', 42, wk_year, wk_month, week_of_year)), wk_year, wk_month, week_of_year) - 1) % 5 AS fold FROM logs),
+    scale AS (SELECT product_desc, AVG(log_price) AS m, stddev_pop(log_price) AS s FROM dealt GROUP BY 1),
+    z AS (SELECT product_desc, fold, log_qty AS y, (log_price - m) / CASE WHEN s > 0 THEN s ELSE 1 END AS z FROM dealt JOIN scale USING (product_desc)),
+    folds AS (SELECT DISTINCT product_desc, fold FROM z),
+    train AS (SELECT f.product_desc, f.fold, AVG(y) AS my, AVG(z) AS mz, regr_sxx(y, z) AS szz, regr_sxy(y, z) AS szy
+        FROM folds f JOIN z ON z.product_desc = f.product_desc AND z.fold <> f.fold GROUP BY 1, 2),
+    lambdas AS (SELECT unnest([{', '.join(f'{x!r}::DOUBLE' for x in LAMBDAS)}]) AS lam),
+    errors AS (SELECT z.product_desc, z.fold, lam, AVG((y - my - (z - mz) * szy / (szz + lam)) ** 2) AS err, var_pop(y) AS vy
+        FROM z JOIN train USING (product_desc, fold), lambdas GROUP BY 1, 2, 3),
+    scores AS (SELECT product_desc, lam, AVG(CASE WHEN vy > 0 THEN 1 - err / vy WHEN err <= 0 THEN 1 ELSE 0 END) AS score FROM errors GROUP BY 1, 2 HAVING COUNT(*) = 5),
+    best AS (SELECT product_desc, arg_max(lam, struct_pack(a := score, b := -lam)) AS lam FROM scores GROUP BY 1),
+    total AS (SELECT product_desc, regr_sxx(y, z) AS szz, regr_sxy(y, z) AS szy FROM z GROUP BY 1)
+    SELECT product_desc, ROUND(szy / (szz + lam) / s, 6) AS elasticity, ROUND((szy / (szz + lam) + lam * szy / (szz + lam) ** 2) / s, 6) AS debiased, ROUND(lam, 9) AS alpha
+    FROM total JOIN best USING (product_desc) JOIN scale USING (product_desc)"""))
+def ridge_own_price(spark, sf):
+    """Own-price elasticity by ridge, plain and bias-corrected, its penalty from folds dealt by a digest of the week."""
+    week = ["wk_year", "wk_month", "week_of_year"]
+    by = F.md5(F.concat_ws("|", F.lit("42"), *week).cast("binary"))
+    out = linreg.ridge_cv(weekly(spark, sf), ["product_desc"], "log_qty", ["log_price"], week, LAMBDAS, by=by)
+    return out.select("product_desc", r("slope").alias("elasticity"), r("slope_debiased").alias("debiased"), r("lam", 9).alias("alpha"))
+
+
 def _project_out(name: str, source: str, done: list[str], todo: list[str]) -> str:
     """SQL that takes the last of ``done`` out of every column in ``todo``, per product."""
     z = done[-1]

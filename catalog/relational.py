@@ -11,7 +11,8 @@ from catalog.views import headers, items, product, promotion, site, table, with_
 from comboscope.functions import expr
 from comboscope.functions.storage import shared_folder
 from comboscope.operators import baskets, cleaning, series, transactions
-from comboscope.sources import sinks
+from comboscope.schemas import BRAND_SHEET, PRODUCT
+from comboscope.sources import sinks, tables
 from comboscope.sources.tables import dated_facts, rows_in
 
 
@@ -40,6 +41,69 @@ def reloaded_days(spark, sf):
     return days.groupBy(F.col("transaction_date").alias("business_date")).agg(F.count("*").alias("n_lines"), r(F.sum("quantity"), 2).alias("quantity"))
 
 
+def stored(spark, name: str) -> str:
+    """A folder of its own for a query's tables."""
+    return f"{shared_folder(spark)}/comboscope/{name}-{uuid.uuid4().hex}"
+
+
+@query("product_parts", """
+    SELECT CAST(p_partkey AS BIGINT) AS product_key, p_brand AS item_desc, 'CAT ' || (CAST(split_part(p_brand, '#', 2) AS INTEGER) % 5) || '-C' AS category_desc,
+        p_name AS sub_category_desc, p_type AS department_desc FROM part""")
+def product_parts(spark, sf):
+    """The product dimension in many part files, one folder a category, read back as one table of the declared schema."""
+    path, names = stored(spark, "products"), [f.name for f in PRODUCT.fields]
+    products = product(spark, sf).select(*[F.col(f.name).cast(f.dataType) for f in PRODUCT.fields])
+    sinks.write_table(products, path, partition_by="category_desc")
+    return tables.dimension(spark, path, PRODUCT).select(*names)
+
+
+@query("brand_sheet", """
+    SELECT CAST(p_partkey AS VARCHAR) AS item_id, p_type || ', "' || p_brand || '"' AS product_desc, p_brand AS brand,
+        CASE WHEN p_partkey % 7 > 0 THEN p_type END AS category_desc, p_name AS sub_category_desc FROM part""")
+def brand_sheet(spark, sf):
+    """The label sheet as CSV, with commas, quotes and empty cells, and back."""
+    path, p = stored(spark, "sheet"), table(spark, sf, "part")
+    sheet = p.select(F.col("p_partkey").cast("string").alias("item_id"), F.concat("p_type", F.lit(', "'), "p_brand", F.lit('"')).alias("product_desc"),
+                     F.col("p_brand").alias("brand"), F.when(F.col("p_partkey") % 7 > 0, F.col("p_type")).alias("category_desc"), F.col("p_name").alias("sub_category_desc"))
+    sinks.write_table(sheet, path, "csv")
+    return tables.sheet(spark, path, BRAND_SHEET)
+
+
+@query("stored_matrix", with_views("items", """
+    SELECT transaction_uid, fine AS item, SUM(quantity_sold) AS quantity FROM items GROUP BY 1, 2 HAVING SUM(quantity_sold) > 0"""))
+def stored_matrix(spark, sf):
+    """The basket matrix written as cells and labels, and read back with its labels."""
+    path = stored(spark, "matrix")
+    sinks.write_basket_matrix(*baskets.basket_matrix(basket_long_rows(spark, sf), ["transaction_uid"]), path)
+    return tables.basket_matrix(spark, path).select("transaction_uid", "item", F.col("quantity").cast("double").alias("quantity"))
+
+
+@query("stored_report", with_views("items headers", """
+    , s AS (SELECT 'sites' AS sheet, CAST(site_number AS VARCHAR) AS name, COUNT(*) AS n FROM headers GROUP BY 1, 2),
+    d AS (SELECT 'departments' AS sheet, department_desc AS name, COUNT(*) AS n FROM items GROUP BY 1, 2)
+    SELECT * FROM s UNION ALL SELECT * FROM d"""))
+def stored_report(spark, sf):
+    """Two sheets of one report, each read back from its own dataset."""
+    lines = items(spark, sf).join(product(spark, sf), "product_key")
+    sheets = {"sites": headers(spark, sf).groupBy(F.col("site_number").cast("string").alias("name")).agg(F.count("*").alias("n")),
+              "departments": lines.groupBy(F.col("department_desc").alias("name")).agg(F.count("*").alias("n"))}
+    paths = sinks.write_report(sheets, stored(spark, "report"))
+    one, two = (spark.read.parquet(path).withColumn("sheet", F.lit(name)) for name, path in zip(sheets, paths, strict=True))
+    return one.unionByName(two).select("sheet", "name", "n")
+
+
+@query("finite_prices", """
+    WITH l AS (SELECT l_partkey AS product_key, l_extendedprice AS amount, l_quantity - 25 AS quantity FROM lineitem)
+    SELECT product_key, COUNT(*) AS n, COUNT(*) FILTER (quantity = 0) AS n_infinite,
+        ROUND(AVG(CASE WHEN quantity <> 0 THEN round_even(amount / quantity * 100, 0) / 100 END), 6) AS mean_price FROM l GROUP BY 1""")
+def finite_prices(spark, sf):
+    """Prices of lines that may have quantity 0, infinite there, and their mean over the finite ones."""
+    price = expr.unit_price("l_extendedprice", F.col("l_quantity") - 25, "inf")
+    lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("product_key"), price.alias("price"))
+    return lines.groupBy("product_key").agg(F.count("*").alias("n"), F.count_if(F.abs("price") == float("inf")).alias("n_infinite"),
+                                            r(F.avg(expr.finite("price"))).alias("mean_price"))
+
+
 @query("region_sites", """
     SELECT n_nationkey AS site_number, r_name AS site_state_desc FROM nation JOIN region ON n_regionkey = r_regionkey
     WHERE r_name = 'AMERICA'""")

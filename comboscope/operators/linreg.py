@@ -250,16 +250,16 @@ def with_residuals(df: DataFrame, group: list[str], y: str, xs: list[str], name:
 
 
 def ridge_cv(df: DataFrame, group: list[str], y: str, xs: list[str], order: list[str], lambdas: list[float],
-             folds: int = 5, seed: int = 42) -> DataFrame:
+             folds: int = 5, seed: int = 42, by: Column | None = None) -> DataFrame:
     """Ridge on standardised regressors, penalty chosen by cross-validated R2.
 
-    Rows of a group are dealt to folds in the order of a seeded hash. Moments are summed per fold,
+    Rows of a group are dealt to folds in the order of a seeded hash, or of ``by``. Moments are summed per fold,
     and a training set is the merge of the other folds. Gives the slope of the first regressor in
     original units, plain and bias-corrected, and the penalty. ``order`` identifies a row within
     its group; groups are series, at most one row per period.
     """
     complete = df.na.drop(subset=[y, *xs])
-    deal = Window.partitionBy(*group).orderBy(F.xxhash64(F.lit(seed), *order), *order)
+    deal = Window.partitionBy(*group).orderBy(F.xxhash64(F.lit(seed), *order) if by is None else by, *order)
     dealt = complete.withColumn("_fold", (F.row_number().over(deal) - 1) % folds)
     sums = moments(dealt, [*group, "_fold"], y, xs)
     kinds = dict(sums.dtypes)

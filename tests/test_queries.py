@@ -9,7 +9,8 @@ from tests.check_queries import compare, duck
 
 SF = "/root/testdata/sf0.001"
 SAMPLE = ["transaction_documents", "daily_series", "daily_series_item", "quantile_cascade", "basket_food_semi", "basket_matrix",
-          "rule_edges", "corr_ordinal", "seasonal_residuals", "price_ladder", "combo_3", "nps_rollups", "phrase_counts"]
+          "rule_edges", "corr_ordinal", "seasonal_residuals", "price_ladder", "combo_3", "nps_rollups", "phrase_counts",
+          "brand_sheet", "stored_matrix", "finite_prices", "constant_regressor", "ridge_own_price", "complete_regressors"]
 
 
 def test_every_oracle_has_a_query():

@@ -20,14 +20,17 @@ def transaction_lines(headers: DataFrame, items: DataFrame, product: DataFrame,
     """Item lines with header, product and promotion columns, unit price and line order.
 
     Headers keep their site and date; headers without items have no quantity and drop out. The
-    site filter sits on the header columns, so it is applied before the join.
+    site filter sits on the header columns, so it is applied before the join. Both tables are laid out
+    by transaction once: copies are found, lines joined and documents grouped in that one layout.
+    Rows with a null in the key join nothing, so they go before the shuffle.
     """
-    if dedupe:
-        headers, items = headers.dropDuplicates(), items.dropDuplicates()
     if sites is not None:
         headers = rows_in(headers, "site_number", sites)
+    headers, items = (t.na.drop(subset=key) for t in (headers, items))
+    if dedupe:
+        headers, items = (t.repartition(*key).dropDuplicates() for t in (headers, items))
     lines = items.drop(*[c for c in headers.columns if c not in key])
-    joined = headers.join(lines, key, "left")
+    joined = headers.join(lines, key)
     joined = joined.join(product, "product_key", "left").join(
         promotion.select("promotion_key", "promotion_description", "promotion_type"), "promotion_key", "left")
     return (non_negative_quantity(joined)

@@ -179,6 +179,22 @@ def test_exact_quantiles_match_numpy(spark):
     assert quantiles.exact_quantiles(df.where("v is null"), "v", [0.5]) == [None]
 
 
+@pytest.mark.parametrize(("size", "margin"), [(16, 0.3), (64, 0.05), (64, 0.0)])
+def test_exact_quantiles_when_a_sketch_is_too_small(spark, monkeypatch, size, margin):
+    """Brackets around ties, adjacent values and positions that a sketch without margin misses."""
+    monkeypatch.setattr(quantiles, "SKETCH", size)
+    monkeypatch.setattr(quantiles, "MARGIN", margin)
+    rng = np.random.default_rng(5)
+    x = np.concatenate([rng.normal(size=4000), np.full(3000, 0.5), np.full(3000, 0.25)])
+    df = spark.createDataFrame([(float(v),) for v in rng.permutation(x)], "v double").repartition(5)
+    probs = [0.0, 0.01, 0.3, 0.5, 0.55, 0.9, 1.0]
+    assert quantiles.exact_quantiles(df, "v", probs) == pytest.approx(list(np.quantile(x, probs)), rel=1e-12)
+    places = [0, 1, 4999, 5000, 9999]
+    assert quantiles.values_at(df, "v", places) == [float(v) for v in np.sort(x)[places]]
+    two = spark.createDataFrame([(1.0,)] * 500 + [(2.0,)] * 500, "v double")
+    assert quantiles.exact_quantiles(two, "v", [0.25, 0.5, 0.75]) == [1.0, 1.5, 2.0]
+
+
 def test_dense_ids(spark, rows):
     df = spark.createDataFrame([(f"k{i % 500:04d}",) for i in range(2000)], "k string").repartition(7)
     assert rows(dense_ids(df, ["k"], "id")) == [(f"k{i:04d}", i) for i in range(500)]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import html as entities
+import re
 from collections.abc import Iterator
 from html.parser import HTMLParser
 
@@ -32,17 +33,48 @@ _FRAME, _PARTS = set("table thead tbody tfoot tr colgroup".split()), set("captio
 _ENDS_P = BLOCK - {"html", "body", "li", "dd", "dt", "td", "th", "tr", "tbody", "thead", "tfoot", "caption", "optgroup", "option", "legend"}
 
 
+_VISIBLE = re.compile("(?:^|;)visibility:(visible|hidden|collapse)")
+_PRESERVED = re.compile("(?:^|;)white-space:(pre|normal|nowrap)")
+
+
 class Element:
-    __slots__ = ("tag", "attrs", "children")
+    """One element; ``lines`` are those of a table laid out already."""
+
+    __slots__ = ("tag", "attrs", "children", "lines")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        self.tag, self.attrs, self.children, self.lines = tag, attrs, [], []
+
+    def _style(self) -> str:
+        return "".join(self.attrs["style"].lower().split()) if "style" in self.attrs else ""
 
     def shown(self) -> bool:
-        style = "".join(self.attrs.get("style", "").lower().split())
-        return not (self.tag in HIDDEN or "hidden" in self.attrs or "display:none" in style or "visibility:hidden" in style
+        return not (self.tag in HIDDEN or "hidden" in self.attrs or "display:none" in self._style()
                     or self.tag == "input" or (self.tag == "dialog" and "open" not in self.attrs))
 
+    def visible(self, inherited: bool) -> bool:
+        """Whether its own text shows; unlike ``shown``, elements inside may decide otherwise."""
+        found = _VISIBLE.search(self._style()) if "style" in self.attrs else None
+        return found[1] == "visible" if found else inherited
+
+    def preserved(self, inherited: bool) -> bool:
+        """Whether its white space and line breaks show as they are."""
+        found = _PRESERVED.search(self._style()) if "style" in self.attrs else None
+        return found[1] == "pre" if found else inherited or self.tag in ("pre", "listing", "xmp")
+
+    def content(self) -> list:
+        """The children that count: a closed details element shows its summary alone, a list field its chosen options."""
+        if self.tag == "details" and "open" not in self.attrs:
+            return [c for c in self.children if isinstance(c, Element) and c.tag == "summary"][:1]
+        if self.tag == "select":
+            return [x for o in _options(self) for x in (" ", *o.children, " ")]
+        return self.children
+
+    def number(self, name: str, other: int, least: int, most: int) -> int:
+        """An attribute's whole number within bounds, ``other`` if it has none."""
+        found = re.match(r"\s*([+-]?[0-9]{1,9})", self.attrs.get(name, ""))
+        return min(max(int(found[1]), least), most) if found else other
+
 
 class Tree(HTMLParser):
     """Elements nested as a browser would nest them: end tags may be missing, misplaced or double."""
@@ -60,10 +92,8 @@ class Tree(HTMLParser):
         for at in range(len(self.open) - 1, 0, -1):
             if self.open[at].tag in tags:
                 del self.open[at:]
-                return self._close(tags, bounds)
-            if self.open[at].tag in bounds:
-                return None
-        return None
+            elif self.open[at].tag in bounds:
+                return
 
     def _table(self) -> int:
         """Place of the innermost open table, 0 if there is none or a template in it is open."""
@@ -151,6 +181,11 @@ class Tree(HTMLParser):
         self._put(data)
 
 
+#: White space that runs together; no-break spaces don't.
+_SPACE = " \t\n\r\f"
+_WORDS = re.compile(f"[^{_SPACE}]+")
+
+
 class Lines:
     """Text put together line by line, with white space as it is shown."""
 
@@ -162,21 +197,32 @@ class Lines:
         self.marker = ""
 
     def text(self, data: str) -> None:
-        words = data.split()
+        words = _WORDS.findall(data)
         if not words:
             self.space = self.space or bool(data)
             return
-        if self.line and (self.space or data[0].isspace()):
+        if self.line and (self.space or data[0] in _SPACE):
             self.line += " "
         self.line += " ".join(words)
-        self.space = data[-1].isspace()
+        self.space = data[-1] in _SPACE
+
+    def raw(self, data: str) -> None:
+        """Text whose spaces and line breaks show; of several empty lines one stays."""
+        for k, line in enumerate(data.replace("\r\n", "\n").split("\n")):
+            if k:
+                empty = not self.line.strip()
+                self.end()
+                self.gap = self.gap or empty
+            self.line += " " + line if self.space and self.line else line
+            self.space = False
 
     def end(self, gap: bool = False) -> None:
         """The line ends; with ``gap`` the next one stands after an empty one."""
-        if self.line:
+        line = self.line.replace("\xa0", " ").rstrip()
+        if line:
             if self.gap and self.lines:
                 self.lines.append("")
-            self.lines.append("".join(self.prefix) + self.marker + self.line)
+            self.lines.append("".join(self.prefix) + self.marker + line)
             if self.marker:
                 self.prefix.append(" " * len(self.marker))
                 self.marker = ""
@@ -185,32 +231,95 @@ class Lines:
         self.gap = self.gap or gap
 
 
-def _cells(row: Element) -> list[str]:
-    return [" ".join(" ".join(render(c)).split()) for c in row.children if isinstance(c, Element) and c.tag in ("td", "th") and c.shown()]
+#: Cells longer than this don't widen their column, so that one long cell doesn't fill all other rows with spaces.
+_ALIGNED = 200
 
 
-def _rows(table: Element) -> list[list[str]]:
-    rows = []
+def _cell(cell: Element, visible: bool) -> list[str]:
+    """Lines of a cell: several if it holds a list, a line break or preserved text, else one."""
+    lines, stack = render(cell, visible), [cell]
+    while stack:
+        element = stack.pop()
+        if element.tag in ("li", "br", "pre"):
+            return lines
+        stack.extend(c for c in element.children if isinstance(c, Element) and c.tag != "table" and c.shown())
+    return [" ".join(" ".join(lines).split())]
+
+
+def _groups(table: Element, visible: bool) -> list[list[tuple[Element, bool]]]:
+    """The rows of each part of a table, with whether they are visible; rows in no part are one of their own."""
+    groups, loose = [], None
     for child in table.children:
-        if isinstance(child, Element) and child.shown():
-            if child.tag == "tr":
-                rows.append(_cells(child))
-            elif child.tag in ("thead", "tbody", "tfoot"):
-                rows += _rows(child)
+        if not isinstance(child, Element) or not child.shown():
+            continue
+        if child.tag == "tr":
+            if loose is None:
+                loose = []
+                groups.append(loose)
+            loose.append((child, child.visible(visible)))
+        elif child.tag in ("thead", "tbody", "tfoot"):
+            seen, loose = child.visible(visible), None
+            groups.append([(r, r.visible(seen)) for r in child.children if isinstance(r, Element) and r.tag == "tr" and r.shown()])
+    return groups
+
+
+def _rows(table: Element, visible: bool) -> list[list[tuple[int, int, list[str]]]]:
+    """Per row its cells: first column, column after the last, lines. A cell of several rows keeps its columns in those below."""
+    rows = []
+    for group in _groups(table, visible):
+        taken: dict[int, int] = {}  # rows that a column is still taken for
+        for row, seen in group:
+            cells, at, tall = [], 0, {}
+            for cell in row.children:
+                if isinstance(cell, Element) and cell.tag in ("td", "th") and cell.shown():
+                    while at in taken:
+                        at += 1
+                    end = at + cell.number("colspan", 1, 1, 1000)
+                    cells.append((at, end, _cell(cell, cell.visible(seen))))
+                    if (n := cell.number("rowspan", 1, 0, 65534) or len(group)) > 1:
+                        tall.update(dict.fromkeys(range(at, end), n))
+                    at = end
+            taken = {k: n - 1 for k, n in {**taken, **tall}.items() if n > 1}
+            rows.append(cells)
     return rows
 
 
-def _table(table: Element, out: Lines) -> None:
-    for child in table.children:
-        if isinstance(child, Element) and child.tag == "caption" and child.shown():
-            _walk(child, out)
-            out.end()
-    rows = _rows(table)
-    width = [max((len(r[k]) for r in rows if k < len(r)), default=0) for k in range(max(map(len, rows), default=0))]
+def _table(table: Element, visible: bool) -> list[str]:
+    """Lines of a table: captions, then rows whose cells line up. The tables inside must be laid out."""
+    captions = [c for c in table.children if isinstance(c, Element) and c.tag == "caption" and c.shown()]
+    lines = [line for c in captions for line in render(c, c.visible(visible))]
+    rows = _rows(table, visible)
+    place = {edge: i for i, edge in enumerate(sorted({edge for row in rows for cell in row for edge in cell[:2]}))}
+    width = [0] * len(place)
+    spans = sorted((place[end] - place[at], place[at], n) for row in rows for at, end, text in row if 0 < (n := max(map(len, text), default=0)) <= _ALIGNED)
+    for span, at, n in spans:
+        free = sum(w + 2 for w in width[at : at + span] if w) - 2
+        if n > max(free, 0):
+            width[at + span - 1] += n - free if free > 0 else n
+    start, total = [], 0
+    for w in width:
+        start.append(total)
+        total += w + 2 if w else 0
     for row in rows:
-        if any(row):
-            out.line = "  ".join(c.ljust(w) for c, w in zip(row, width, strict=False)).rstrip()
-            out.end()
+        for k in range(max((len(text) for _, _, text in row), default=0)):
+            line = ""
+            for at, _, text in row:
+                if k < len(text) and text[k]:
+                    line = (line + "  " if line else "").ljust(start[place[at]]) + text[k]
+            lines.append(line)
+    return lines
+
+
+def _lay_out(root: Element) -> None:
+    """All tables that show, the innermost first, so that nesting needs no recursion."""
+    found, stack = [], [(root, root.visible(True))]
+    while stack:
+        element, visible = stack.pop()
+        if element.tag == "table":
+            found.append((element, visible))
+        stack.extend((c, c.visible(visible)) for c in element.content() if isinstance(c, Element) and c.shown())
+    for table, visible in reversed(found):
+        table.lines = _table(table, visible)
 
 
 def _options(select: Element) -> list[Element]:
@@ -226,44 +335,44 @@ def _options(select: Element) -> list[Element]:
     return ([o for o in found if "selected" in o.attrs][-1:] or [o for o in found if "disabled" not in o.attrs][:1] or found[:1])
 
 
-def _walk(root: Element, out: Lines) -> None:
+def _walk(root: Element, out: Lines, visible: bool) -> None:
     """Depth first with an own stack, as pages may be nested without limit."""
-    stack: list = [(root, iter(root.children), 0)]
+    stack: list = [(root, iter(root.content()), [0], visible, root.preserved(False))]
     while stack:
-        element, children, number = stack[-1]
+        element, children, number, visible, preserved = stack[-1]
         child = next(children, None)
         if child is None:
             stack.pop()
             if element is not root:
                 _leave(element, out)
         elif isinstance(child, str):
-            if element.tag == "pre":
-                for k, line in enumerate(child.split("\n")):
-                    if k:
-                        out.end()
-                    out.line += line.rstrip()
-            else:
+            if visible and preserved:
+                out.raw(child)
+            elif visible:
                 out.text(child)
         elif child.shown():
             if child.tag == "li":
-                number += 1
-                stack[-1] = (element, children, number)
+                number[0] = child.number("value", number[0] + 1, -10**9, 10**9)
+            seen = child.visible(visible)
             if child.tag == "table":
                 out.end(True)
-                _table(child, out)
+                for line in child.lines:
+                    out.line = line
+                    out.end()
+                child.lines = []
                 out.end(True)
-            elif _enter(child, out, element, number):
-                shown = child.children if child.tag != "select" else [x for o in _options(child) for x in (" ", *o.children, " ")]
-                stack.append((child, iter(shown), 0))
+            elif _enter(child, out, element, number[0], seen):
+                first = child.number("start", 1, -10**9, 10**9) - 1 if child.tag == "ol" else 0
+                stack.append((child, iter(child.content()), [first], seen, child.preserved(preserved)))
 
 
-def _enter(element: Element, out: Lines, parent: Element, number: int) -> bool:
+def _enter(element: Element, out: Lines, parent: Element, number: int, visible: bool) -> bool:
     if element.tag == "br":
         out.end()
     elif element.tag in _APART:
         out.text(" ")
     elif element.tag == "img":
-        out.text(" " + element.attrs["alt"] + " " if element.attrs.get("alt", "").strip() else "")
+        out.text(" " + element.attrs["alt"] + " " if visible and element.attrs.get("alt", "").strip() else "")
     elif element.tag in BLOCK:
         nested = element.tag in ("ul", "ol") and parent.tag == "li"
         out.end(element.tag in SPACED and not nested)
@@ -287,9 +396,10 @@ def _leave(element: Element, out: Lines) -> None:
         out.prefix.pop()
 
 
-def render(root: Element) -> list[str]:
+def render(root: Element, visible: bool = True) -> list[str]:
+    """Lines of an element whose tables are laid out."""
     out = Lines()
-    _walk(root, out)
+    _walk(root, out, visible)
     out.end()
     return out.lines
 
@@ -299,8 +409,10 @@ def visible_text(page: str | None) -> str:
     if not page:
         return ""
     try:
-        return "\n".join(render(Tree(page).root))
-    except (AssertionError, RecursionError):
+        root = Tree(page).root
+        _lay_out(root)
+        return "\n".join(render(root, root.visible(True)))
+    except AssertionError:
         return " ".join(entities.unescape(" ".join(x.rpartition(">")[2] for x in page.split("<"))).split())
 
 
@@ -317,9 +429,12 @@ def _extracted(columns: list[str]):
 def extract(pages: DataFrame, page_id: str = "page_id", html: str = "html") -> DataFrame:
     """Per row: page_id, text, n_chars, n_lines.
 
-    A tree with the end tags that pages leave out decides what is shown: scripts, styles, hidden elements and
-    what is typed into input fields are not; formulas, labels of drawings, text areas and chosen options are. Blocks begin lines, paragraphs, headings, lists and tables stand apart, list items have
-    marks or numbers, cells of a table's columns line up. Null and empty pages give an empty text; null and
+    A tree with the end tags that pages leave out decides what is shown: scripts, styles, hidden elements, closed details and
+    what is typed into input fields are not; formulas, labels of drawings, text areas and chosen options are, and so is what is
+    visible inside an invisible element. Blocks begin lines, paragraphs, headings, lists and tables stand apart, list items have
+    marks or numbers (from ``start`` and ``value``), preserved text keeps its spaces and lines. Cells of a table's columns line up, spans
+    included; a cell with a list, break or preserved text takes several lines. Any depth of nesting and
+    length of page is read whole. Null and empty pages give an empty text; null and
     repeated ids keep their rows; other columns are ignored; nothing is shuffled.
     """
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(html).alias("html"))

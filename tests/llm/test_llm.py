@@ -230,6 +230,71 @@ def test_formulas_drawings_and_fields_show_their_text(page, text):
     assert html.visible_text(page) == text
 
 
+@pytest.mark.parametrize("page, lines", [
+    ("<pre><code>a\n    b</code></pre>", ["a", "    b"]), ("<pre>\na  <b>x</b>  y\n\n\n  z</pre>w", ["a  x  y", "", "  z", "", "w"]),
+    ("<p style='white-space: pre-wrap'>a   b\n c</p>", ["a   b", " c"]), ("a&nbsp;&nbsp;b &nbsp; c<p>&nbsp;</p>d", ["a  b   c", "", "d"]),
+    ("<table><tr><td colspan=2>wide<td>z<tr><td>a<td>b<td>c</table>", ["wide  z", "a  b  c"]),
+    ("<table><tr><td colspan=2>much wider<td>z<tr><td>a<td>b<td>c</table>", ["much wider  z", "a  b        c"]),
+    ("<table><tr><td rowspan=2>k<td>1<tr><td>2<tr><td>m<td>3</table>", ["k  1", "   2", "m  3"]),
+    ("<table><tr><td rowspan=0>k<td>1<tr><td>2<tbody><tr><td>m</table>", ["k  1", "   2", "m"]),
+    ("<table><tr><td><ul><li>a<li>b</ul><td>x<br>y<tr><td>c<td>d</table>", ["- a  x", "- b  y", "c    d"]),
+    ("<table><tr><td colspan=99999>a<td>b</table>", ["a  b"]), ("<table><tr><td>" + "x" * 300 + "<td>b<tr><td>c<td>d</table>", ["x" * 300 + "  b", "c  d"]),
+    ("<ol start=5><li>a<li>b<li value=9>c<li>d</ol>", ["5. a", "6. b", "9. c", "10. d"]), ("<ol start=x><li value=''>a</ol>", ["1. a"]),
+    ("<div style='visibility:hidden'>no<p style='visibility: visible'>yes</p>no</div>z", ["yes", "", "z"]),
+    ("<table style='visibility:hidden'><tr><td>no<td style='visibility:visible'>yes</table>", ["yes"]),
+    ("<details><summary>s</summary>no</details><details open><summary>t</summary>yes</details>", ["s", "t", "yes"]),
+])
+def test_layout_follows_attributes_and_styles(page, lines):
+    assert html.visible_text(page).split("\n") == lines
+
+
+def test_deep_tables_hide_what_is_hidden():
+    for depth in (10, 250, 3000):
+        page = "<table><tr><td>a" * depth + "<script>SECRET</script><i hidden>HID</i>deep" + "</table>" * depth
+        assert html.visible_text(page) == " ".join(["a"] * (depth - 1) + ["adeep"])
+
+
+def test_every_visible_word_of_random_pages_comes_out_once():
+    """Pages of random nesting against the words written where they show."""
+    rng = random.Random(12)
+    kinds = "word div ul ol table pre span details hidden invisible visible".split()
+
+    def page(depth: int, displayed: bool, visible: bool, words: list[str]) -> str:
+        out = ""
+        for _ in range(rng.randint(1, 4)):
+            kind = rng.choice(kinds) if depth else "word"
+            inner = lambda d=displayed, v=visible: page(depth - 1, d, v, words)  # noqa: B023, E731
+            if kind == "word":
+                word = f"w{rng.randrange(10**9)}"
+                out += f" {word} "
+                words += [word] * (displayed and visible)
+            elif kind in ("ul", "ol"):
+                out += f"<{kind}><li>{inner()}<li>{inner()}</{kind}>"
+            elif kind == "table":
+                cells = [f"<td colspan={rng.randint(0, 3)} rowspan={rng.randint(0, 3)}>{inner()}" for _ in range(6)]
+                out += "<table><caption>" + inner() + "</caption><tr>" + "<tr>".join(a + b for a, b in zip(cells[::2], cells[1::2], strict=True)) + "</table>"
+            elif kind == "details":
+                out += f"<details><summary>{inner()}</summary>{inner(False)}</details>"
+            elif kind == "hidden":
+                out += f"<div hidden>{inner(False)}</div>"
+            elif kind in ("invisible", "visible"):
+                out += f"<div style='visibility:{'visible' if kind == 'visible' else 'hidden'}'>{inner(displayed, kind == 'visible')}</div>"
+            else:
+                out += f"<{kind}>{inner()}</{kind}>"
+        return out
+
+    total = 0
+    for _ in range(300):
+        words: list[str] = []
+        source = page(3, True, True, words)
+        found = [w for w in html.visible_text(source).split() if w.startswith("w")]
+        assert sorted(found) == sorted(words), source
+        total += len(words)
+        if "<table" not in source:
+            assert found == words
+    assert total > 3000
+
+
 def test_pages_keep_their_rows(spark):
     pages = spark.createDataFrame([(1, "u", "<p>a", "t"), (1, "u", "<p>a", "t"), (None, None, None, None)], "page_id long, url string, html string, text string")
     assert sorted(map(tuple, html.extract(pages).collect()), key=repr) == [(1, "a", 1, 1), (1, "a", 1, 1), (None, "", 0, 0)]

@@ -7,21 +7,31 @@ from pyspark.sql import Column, DataFrame, functions as F
 #: Feistel rounds; an even number.
 ROUNDS = 8
 _WORD = r"A-Za-z0-9_"
+#: A value after the name of a secret: letters and digits mixed, so that plain words and numbers stay.
+_MIXED = r"(?=[A-Za-z_./+~-]{0,64}[0-9])(?=[0-9_./+~-]{0,64}[A-Za-z])"
+_NAMED = rf"(?<=[ :=\"'])(?<![{_WORD}]){_MIXED}(?<=(?i:password|passwd|passphrase|pwd|secret|token|api[_ -]?key|access[_ -]?key|secret[_ -]?key)[\"']? {{0,2}}[:=] {{0,2}}[\"']?)"
+#: Words before a number of four parts that isn't an address, and before digits in groups that are a telephone number.
+_VERSION = r"(?<!(?i:version|release|firmware|build|ver\.|rev\.)[ :=]{1,2})"
+_CALL = r"(?<=(?i:phone|telephone|tel|mobile|cell|call|fax|dial)[.:]? {1,2}(?:(?i:us|me|is) )?(?:(?i:at|on) )?)"
+_HEX = "[0-9A-Fa-f]{1,4}"
 #: What may be personal. Every form has a digit, ``@`` or ``=``; numbers are checked before they count.
 FORMS = {
     "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "key": rf"(?<![{_WORD}])(?:AKIA|ASIA)[A-Z0-9]{{16}}(?![{_WORD}])",
-    "secret": r"(?<=password=)[A-Za-z0-9]{6,}|(?<=token = \")[A-Za-z0-9]{8,}(?=\")|(?<=token=)[A-Za-z0-9]{8,}|(?<=secret=)[A-Za-z0-9]{6,}",
+    "secret": r"(?<=password=)[A-Za-z0-9]{6,}|(?<=token = \")[A-Za-z0-9]{8,}(?=\")|(?<=token=)[A-Za-z0-9]{8,}|(?<=secret=)[A-Za-z0-9]{6,}"
+              rf"|{_NAMED}[A-Za-z0-9_./+~-]{{6,}}+(?<![./])|(?<=[Bb]earer ){_MIXED}[A-Za-z0-9_./+~-]{{12,}}+(?<![./])",
     "iban": rf"(?<![{_WORD}])[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![{_WORD}])",
-    "ip": rf"(?<![{_WORD}.])[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?![{_WORD}]|\.[0-9])",
+    "ip6": rf"(?<![{_WORD}:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]{{0,24}}[0-9])(?:{_HEX}(?::{_HEX}){{0,5}})?::(?:{_HEX}(?::{_HEX}){{0,5}}))(?![{_WORD}:]|\.[0-9])",
+    "ip": rf"(?<![{_WORD}.]){_VERSION}[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?![{_WORD}]|\.[0-9])",
     "date": rf"(?<![{_WORD}./-])(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}})(?![{_WORD}/-])",
-    "ssn": rf"(?<![{_WORD}-])[0-9]{{3}}-[0-9]{{2}}-[0-9]{{4}}(?![{_WORD}-])",
+    "ssn": rf"(?<![{_WORD}-])(?!000|666)[0-9]{{3}}-(?!00)[0-9]{{2}}-(?!0000)[0-9]{{4}}(?![{_WORD}-])",
     "phone": rf"(?<![{_WORD}+])\+[0-9]{{1,3}}[ .-]?(?:\([0-9]{{1,4}}\)|[0-9]{{1,4}})(?:[ .-]?[0-9]{{2,4}}){{1,4}}(?![{_WORD}])"
-             rf"|(?<![{_WORD}])\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}(?![{_WORD}])|(?<![{_WORD}-])[0-9]{{3}}[-.][0-9]{{3}}[-.][0-9]{{4}}(?![{_WORD}-])",
+             rf"|(?<![{_WORD}])\([0-9]{{3}}\) ?[0-9]{{3}}-[0-9]{{4}}(?![{_WORD}])|(?<![{_WORD}-])[0-9]{{3}}[-.][0-9]{{3}}[-.][0-9]{{4}}(?![{_WORD}-])"
+             rf"|{_CALL}(?:\(?[0-9]{{3}}\)? )?[0-9]{{3}} [0-9]{{4}}(?![{_WORD}-]| [0-9])",
     "card": rf"(?<![{_WORD}])[0-9](?:[ -]?[0-9]){{12,18}}(?![{_WORD}])",
 }
 #: What is looked for in turn: each row's valid account and card numbers join the first step, odd groupings of cards come last.
-_STEPS = (("email", "key", "secret"), ("ip", "date", "ssn", "phone"), ("card",))
+_STEPS = (("email", "key", "secret"), ("ip6", "ip", "date", "ssn", "phone"), ("card",))
 _BEFORE, _AFTER = rf"(?<![{_WORD}+])", rf"(?![{_WORD}])"
 #: Card numbers as they are grouped, with one separator, and such of 4-4-4-4 with more; from one place at most one of each matches.
 _CARDS = (r"[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{1,4}|[0-9]{4}([ -])(?:[0-9]{6}\3[0-9]{4,5}|[0-9]{5}\3[0-9]{6})"
@@ -134,6 +144,22 @@ def _ip(m: Column, key: str) -> Column:
     return F.when(F.forall(parts, lambda p: p < 256), F.array_join(F.transform(out, lambda v: v.cast("string")), ".")).otherwise(m)
 
 
+def _ip6(m: Column, key: str) -> Column:
+    """The digits of all groups permuted; where groups are left out, ``::`` stays."""
+    return _let(F.regexp_replace(m, ":", ""), lambda plain: _let(_in_classes(plain, key, "ip6", hexadecimal=True), lambda made: F.array_join(F.transform(
+        _chars(m), lambda c, i: F.when(c == ":", c).otherwise(F.substring(made, F.length(F.regexp_replace(F.substring(m, F.lit(1), i + 1), ":", "")), F.lit(1)))), "")))
+
+
+def _ssn(m: Column, key: str) -> Column:
+    """Areas 001 to 999 without 666, groups from 01, numbers from 0001."""
+    number = lambda at, n: F.substring(m, at, n).cast("long")
+    parts = F.array(number(1, 3) - F.when(number(1, 3) > 666, 2).otherwise(1), number(5, 2) - 1, number(8, 4) - 1)
+    area = lambda v: v + F.when(v >= 665, 2).otherwise(1)
+    part = lambda v, n: F.lpad(v.cast("string"), n, "0")
+    return _let(_permuted(parts, F.array(*(F.lit(n).cast("long") for n in (998, 99, 9999))), key, "ssn"), lambda p: F.concat_ws(
+        "-", part(area(F.get(p, F.lit(0))), 3), part(F.get(p, F.lit(1)) + 1, 2), part(F.get(p, F.lit(2)) + 1, 4)))
+
+
 def _date(m: Column, key: str) -> Column:
     iso, dots = m.rlike("^[0-9]{4}-"), m.contains(".")
     number = lambda at, n: F.substring(m, at, n).cast("int")
@@ -178,9 +204,10 @@ def pseudonym(m: Column, key: str, kinds: tuple[str, ...] = tuple(FORMS)) -> Col
     """The pseudonym of one found value of one of these kinds; itself where its number is not valid."""
     whole = {kind: m.rlike("^(?:" + form + ")$") for kind, form in FORMS.items()}
     ways = {
-        "email": (m.contains("@"), lambda: _email(m, key)), "ip": (whole["ip"], lambda: _ip(m, key)), "date": (whole["date"], lambda: _date(m, key)),
-        "ssn": (whole["ssn"], lambda: _let(_numbers_plain(_digits(m), key, "ssn"), lambda d: _put_back(m, d))),
-        "card": (whole["card"] & ~m.startswith("+"), lambda: _card(m, key)), "phone": (whole["phone"], lambda: _phone(m, key)),
+        "email": (m.contains("@"), lambda: _email(m, key)), "ip6": (whole["ip6"], lambda: _ip6(m, key)), "ip": (whole["ip"], lambda: _ip(m, key)), "date": (whole["date"], lambda: _date(m, key)),
+        "ssn": (whole["ssn"], lambda: _ssn(m, key)),
+        "card": (whole["card"] & ~m.startswith("+"), lambda: _card(m, key)), 
+        "phone": (whole["phone"] | m.rlike(r"^(?:\(?[0-9]{3}\)? )?[0-9]{3} [0-9]{4}$"), lambda: _phone(m, key)),
         "key": (whole["key"], lambda: F.concat(F.substring(m, 1, 4), _in_classes(F.substring(m, F.lit(5), F.length(m)), key, "key"))),
         "iban": (whole["iban"], lambda: _iban(m, key)), "secret": (m.rlike("^[0-9a-f]+$"), lambda: _in_classes(m, key, "secret", hexadecimal=True)),
     }
@@ -235,27 +262,37 @@ def _cut(pieces: Column, form: Column, key: str, kinds: tuple[str, ...]) -> Colu
     return F.flatten(F.transform(pieces, lambda piece: F.when(piece["new"].isNull(), cut(piece)).otherwise(F.array(piece))))
 
 
+def _named(column: str) -> Column:
+    """A column by its whole name, dots included."""
+    return F.col("`" + column.replace("`", "``") + "`")
+
+
 def replace_personal(docs: DataFrame, key: str, text: str = "text", count: str = "n_replaced") -> DataFrame:
     """``docs`` with pseudonyms in ``text`` and their number in ``count``.
 
-    E-mail names, card numbers (Luhn), account numbers (mod 97), IPv4 addresses, dates from 1900 to 2099, social security
-    and telephone numbers, access keys, passwords and tokens go through a keyed Feistel network over their
+    E-mail names, card numbers (Luhn), account numbers (mod 97), IPv4 addresses (not after words such as "version"), IPv6 addresses,
+    dates from 1900 to 2099, social security numbers (no area 000 or 666, group 00 or number 0000), telephone numbers (digits parted by
+    spaces alone only after words such as "call"), access keys, passwords and tokens (after their name and ``:`` or ``=``, letters and digits mixed) go through a keyed Feistel network over their
     own characters: lengths, separators, letter case, card and account check digits, country codes,
     date and address ranges stay valid, and equal values get equal pseudonyms in all documents.
     Card numbers in their usual groups and account numbers are found from any word on and up to any that they can end with, so numbers
     and words beside them do not hide them; cards in other groups are found where the whole run of digits is one.
-    Numbers that fail their check stay. Null stays null with count 0; all rows and columns return, and a
-    column already named ``count`` is replaced.
+    Numbers that fail their check stay. Null and empty texts stay with count 0, texts of any length are read whole; all rows, repeated
+    ones too, and columns of any name return, and a column already named ``count`` is replaced.
     """
-    kept = [c for c in docs.columns if c != count]
-    whole = F.array(F.struct(F.col(text).alias("old"), F.lit(None).cast("string").alias("new")))
-    first = F.concat(_form(_STEPS[0]), _listed(_valid_accounts(F.col(text)), rf"(?<![{_WORD}])"), _listed(_valid_cards(F.col(text)), _BEFORE))
+    kept = [c for c in docs.columns if c.lower() != count.lower()]
+    held = "pieces"
+    while held in {c.lower() for c in (*kept, count)}:
+        held += "_"
+    old, pieces_ = _named(text), _named(held)
+    whole = F.array(F.struct(old.alias("old"), F.lit(None).cast("string").alias("new")))
+    first = F.concat(_form(_STEPS[0]), _listed(_valid_accounts(old), rf"(?<![{_WORD}])"), _listed(_valid_cards(old), _BEFORE))
     pieces = _let(first, lambda form: _cut(whole, form, key, (*_STEPS[0], "iban", "card")))
     for kinds in _STEPS[1:]:
         pieces = _cut(pieces, _form(kinds), key, kinds)
     # texts without a digit, @ or = hold none of the forms
-    pieces = F.when(F.col(text).rlike("[0-9@=]"), pieces).otherwise(F.array().cast("array<struct<old:string,new:string>>"))
-    rows = docs.select(*kept, pieces.alias("_pieces"))
-    changed = F.when(F.size("_pieces") > 0, F.array_join(F.transform("_pieces", lambda x: F.coalesce(x["new"], x["old"])), "")).otherwise(F.col(text))
-    n = F.size(F.filter("_pieces", lambda x: x["new"].isNotNull() & (x["old"] != x["new"])))
-    return rows.select(*(changed.alias(c) if c == text else F.col(c) for c in kept), F.greatest(n, F.lit(0)).cast("long").alias(count))
+    pieces = F.when(old.rlike("[0-9@=]"), pieces).otherwise(F.array().cast("array<struct<old:string,new:string>>"))
+    rows = docs.select(*map(_named, kept), pieces.alias(held))
+    changed = F.when(F.size(pieces_) > 0, F.array_join(F.transform(pieces_, lambda x: F.coalesce(x["new"], x["old"])), "")).otherwise(old)
+    n = F.size(F.filter(pieces_, lambda x: x["new"].isNotNull() & (x["old"] != x["new"])))
+    return rows.select(*(changed.alias(c) if c == text else _named(c) for c in kept), F.greatest(n, F.lit(0)).cast("long").alias(count))

@@ -540,6 +540,35 @@ def test_numbers_beside_cards_and_accounts_do_not_hide_them(spark):
     assert two.n_replaced == 4
 
 
+def test_personal_values_by_context_and_validity(spark):
+    stay = ["000-12-3456", "666-12-3456", "123-00-4567", "123-45-0000", "version 1.2.3.4", "Release: 10.0.0.1", "password: required", "token: something", "secret: 2020",
+            "std::cout a::b abc::def", "at 12:30:45", "200 300 4000", "call 20 times", "bearer of news", "the token 12 of x1y2z3"]
+    values = {"ssn 123-45-6789": "123-45-6789", "tax 912-34-5678": "912-34-5678", "host 1.2.3.4": "1.2.3.4", "password: hunter2x": "hunter2x", '"api_key": "ab12-cd34"': "ab12-cd34",
+              "API-KEY = x9Y8z7w6": "x9Y8z7w6", "Authorization: Bearer abc123DEF456.q": "abc123DEF456.q", "2001:db8:85a3:0:0:8a2e:370:7334": "2001:db8:85a3:0:0:8a2e:370:7334",
+              "see fe80::1 now": "fe80::1", "::ffff:a0b1 x": "::ffff:a0b1", "call me at 555 123 4567.": "555 123 4567", "Tel: (555) 123 4567": "(555) 123 4567", "phone 555 1234": "555 1234"}
+    table = spark.createDataFrame([(t,) for t in [*stay, *values]], "text string")
+    got = [(r.text, r.n_replaced) for r in pii.replace_personal(table, "k").collect()]
+    assert got[: len(stay)] == [(t, 0) for t in stay]
+    for (new, n), (old, value) in zip(got[len(stay) :], values.items(), strict=True):
+        before, after = old.split(value)
+        assert n == 1 and new != old and new.startswith(before) and new.endswith(after), (old, new)
+        assert len(new) == len(old) or value == "1.2.3.4"  # parts of an address have one to three digits
+        assert re.sub(r"\w", "", new) == re.sub(r"\w", "", old)
+    numbers = spark.range(0, 4000).select(F.format_string("%03d-%02d-%04d", F.when(F.col("id") % 998 >= 665, F.col("id") % 998 + 2).otherwise(F.col("id") % 998 + 1), F.col("id") % 99 + 1, F.col("id") + 1).alias("text"))
+    made = {r.text for r in pii.replace_personal(numbers, "k").collect()}
+    assert len(made) == 4000 and all(re.fullmatch(r"(?!000|666)\d{3}-(?!00)\d\d-(?!0000)\d{4}", m) for m in made)
+
+
+def test_personal_values_beside_columns_of_any_name(spark):
+    long = "x " * 200_000 + "mail a.b@example.com"
+    rows = [(long, 1, 2, 3, 4), (long, 1, 2, 3, 4), ("", 5, 6, 7, 8), (None, None, None, None, None)]
+    table = spark.createDataFrame(rows, "text string, pieces int, _pieces int, `a.b` int, N_Replaced int")
+    out = pii.replace_personal(table, "k")
+    assert out.columns == ["text", "pieces", "_pieces", "a.b", "n_replaced"]
+    got = [tuple(r) for r in out.collect()]
+    assert got[0] == got[1] and got[0][1:] == (1, 2, 3, 1) and got[0][0] != long and got[0][0].endswith("@example.com") and got[2:] == [("", 5, 6, 7, 0), (None, None, None, None, 0)]
+
+
 def test_pipeline_stages_keep_columns(spark):
     import corpus_pipeline
 

@@ -11,8 +11,8 @@ _WORD = r"A-Za-z0-9_"
 _MIXED = r"(?=[A-Za-z_./+~-]{0,64}[0-9])(?=[0-9_./+~-]{0,64}[A-Za-z])"
 _NAMED = rf"(?<=[ :=\"'])(?<![{_WORD}]){_MIXED}(?<=(?i:password|passwd|passphrase|pwd|secret|token|api[_ -]?key|access[_ -]?key|secret[_ -]?key)[\"']? {{0,2}}[:=] {{0,2}}[\"']?)"
 #: Words before a number of four parts that isn't an address, and before digits in groups that are a telephone number.
-_VERSION = r"(?<!(?i:version|release|firmware|build|ver\.|rev\.)[ :=]{1,2})"
-_CALL = r"(?<=(?i:phone|telephone|tel|mobile|cell|call|fax|dial)[.:]? {1,2}(?:(?i:us|me|is) )?(?:(?i:at|on) )?)"
+_VERSION = r"(?=[0-9]{1,3}\.[0-9])(?<!(?i:version|release|firmware|build|ver\.|rev\.)[ :=]{1,2})"
+_CALL = r"(?=[(0-9])(?<= )(?=\(?[0-9]{3}\)? [0-9]{3})(?<=(?i:phone|telephone|tel|mobile|cell|call|fax|dial)[.:]? {1,2}(?:(?i:us|me|is) )?(?:(?i:at|on) )?)"
 _HEX = "[0-9A-Fa-f]{1,4}"
 #: What may be personal. Every form has a digit, ``@`` or ``=``; numbers are checked before they count.
 FORMS = {
@@ -21,7 +21,7 @@ FORMS = {
     "secret": r"(?<=password=)[A-Za-z0-9]{6,}|(?<=token = \")[A-Za-z0-9]{8,}(?=\")|(?<=token=)[A-Za-z0-9]{8,}|(?<=secret=)[A-Za-z0-9]{6,}"
               rf"|{_NAMED}[A-Za-z0-9_./+~-]{{6,}}+(?<![./])|(?<=[Bb]earer ){_MIXED}[A-Za-z0-9_./+~-]{{12,}}+(?<![./])",
     "iban": rf"(?<![{_WORD}])[A-Z]{{2}}[0-9]{{2}}(?: ?[A-Z0-9]{{4}}){{2,7}}(?: ?[A-Z0-9]{{1,3}})?(?![{_WORD}])",
-    "ip6": rf"(?<![{_WORD}:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]{{0,24}}[0-9])(?:{_HEX}(?::{_HEX}){{0,5}})?::(?:{_HEX}(?::{_HEX}){{0,5}}))(?![{_WORD}:]|\.[0-9])",
+    "ip6": rf"(?=[0-9A-Fa-f:]{{0,4}}:)(?<![{_WORD}:.])(?:(?:{_HEX}:){{7}}{_HEX}|(?=[A-Fa-f:]{{0,24}}[0-9])(?:{_HEX}(?::{_HEX}){{0,5}})?::(?:{_HEX}(?::{_HEX}){{0,5}}))(?![{_WORD}:]|\.[0-9])",
     "ip": rf"(?<![{_WORD}.]){_VERSION}[0-9]{{1,3}}(?:\.[0-9]{{1,3}}){{3}}(?![{_WORD}]|\.[0-9])",
     "date": rf"(?<![{_WORD}./-])(?:[0-9]{{4}}-[0-9]{{2}}-[0-9]{{2}}|[0-9]{{2}}\.[0-9]{{2}}\.[0-9]{{4}}|[0-9]{{2}}/[0-9]{{2}}/[0-9]{{4}})(?![{_WORD}/-])",
     "ssn": rf"(?<![{_WORD}-])(?!000|666)[0-9]{{3}}-(?!00)[0-9]{{2}}-(?!0000)[0-9]{{4}}(?![{_WORD}-])",

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from comboscope.functions.storage import written
 from comboscope.operators import clusters, comments, survey
 
 STOP = ["the", "a", "and", "of", "is"]
@@ -150,6 +151,55 @@ def test_similar_phrases_match_brute_force(spark, rows):
     assert got == want and len(groups) < len(words)
 
 
+def _brute_clusters(words, distance):
+    """Cluster name by phrase from all pairs of TF-IDF vectors over three characters."""
+    grams = [[(" " + w + " ")[i:i + 3] for i in range(max(len(w), 1))] for w in words]
+    vocab = {g: k for k, g in enumerate(sorted(set().union(*grams)))}
+    x = np.zeros((len(words), len(vocab)))
+    for i, gs in enumerate(grams):
+        for g in gs:
+            x[i, vocab[g]] += 1
+    x *= np.log((len(words) + 1) / ((x > 0).sum(0) + 1)) + 1
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.argwhere(np.tril(x @ x.T >= 1 - distance * distance / 2, -1))
+    groups = {}
+    for i, c in enumerate(_components(len(words), [(int(i), int(j)) for i, j in near])):
+        groups.setdefault(c, []).append(words[i])
+    return {w: min(g) for g in groups.values() for w in g}
+
+
+#: limits as they are; every key extended; keys of more than two rows in blocks; every longer phrase under single grams
+LIMITS = [{}, {"CROWD": 1e-9}, {"CROWD": 1e9, "TOGETHER": 2}, {"CROWD": 1e-9, "MOST_KEYS": 20}, {"BUCKETS": 1}]
+
+
+@pytest.mark.parametrize("limits", LIMITS)
+def test_phrases_meet_under_any_limits(spark, monkeypatch, limits):
+    for name, value in limits.items():
+        monkeypatch.setattr(comments, name, value)
+    rng = np.random.default_rng(11)
+    parts = ["an", "or", "th", "ing", "ou", "e", "s", "le"]
+    words = {"".join(rng.choice(parts, rng.integers(2, 9))) + (" " + "".join(rng.choice(parts, 4)) if k % 2 else "") for k in range(150)}
+    words = sorted(words | {w + "s" for w in sorted(words)[::2]} | {"ha" * 9, "ha" * 12, "haha", "x", "xxxx", "xxxxxx", "xxxxxxxxx", ""})
+    df = spark.createDataFrame([(w, 2) for w in words], "phrase string, count long")
+    want = _brute_clusters(words, 0.6)
+    got = comments.cluster_phrases(df, 0.6).collect()
+    assert len(got) == len(words) and {r.phrase: r.cluster for r in got} == want
+    assert 1 < len(set(want.values())) < 0.8 * len(words)
+
+
+def test_alike_phrases_stand_under_few_keys(spark, monkeypatch):
+    """Phrases of the same common grams: the rarest single gram, under which whole vectors met, is shared by hundreds."""
+    seen = []
+    monkeypatch.setattr(comments, "written", lambda df, name: seen.append((name, kept := written(df, name))) or kept)
+    rng = np.random.default_rng(2)
+    words = sorted({" ".join("".join(rng.choice(["an", "or", "th", "ou"], 3)) for _ in range(4)) for _ in range(1500)})
+    df = spark.createDataFrame([(w, 2) for w in words], "phrase string, count long")
+    got = {r.phrase: r.cluster for r in comments.cluster_phrases(df, 0.4).collect()}
+    assert got == _brute_clusters(words, 0.4)
+    met = dict(seen)["phrase-pairs"]
+    assert met.columns == ["a", "b", "key"] and met.count() < 20 * len(words)
+
+
 def test_cluster_summary_has_one_row_per_cluster(spark):
     df = spark.createDataFrame([(f"p{i}", 2, "c") for i in range(50)] + [("q", 3, "q")], "phrase string, count long, cluster string")
     got = {r.cluster: r for r in comments.cluster_summary(df).collect()}

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame, functions as F
 
@@ -29,7 +31,9 @@ def baskets_with_any(rows: DataFrame, items: DataFrame, key: list[str] = TXN_KEY
 
 def basket_pivot(rows: DataFrame, items: list[str], key: list[str] = TXN_KEY) -> DataFrame:
     """Wide quantities for a given list of items, absent items as 0."""
-    return rows.groupBy(*key).pivot("item", items).agg(F.sum("quantity")).na.fill(0.0)
+    # one aggregate per transaction; a pivot first keeps every pair of transaction and item
+    cells = [F.sum(F.when(F.col("item") == F.lit(i), F.col("quantity"))).alias(i) for i in items]
+    return rows.groupBy(*key).agg(*cells).na.fill(0.0)
 
 
 def baskets(rows: DataFrame, dropped: list = BASKET_DROP_ITEMS, key: list[str] = TXN_KEY) -> DataFrame:
@@ -80,15 +84,39 @@ def basket_matrix(rows: DataFrame, key: list[str] = TXN_KEY) -> tuple[DataFrame,
 
 
 def frequent_itemsets(carts: DataFrame, min_support: float = 0.01, items_column: str = "items") -> DataFrame:
-    """Itemsets bought together in at least ``min_support`` of all baskets, with support."""
+    """Itemsets bought together in at least ``min_support`` of all baskets, with support.
+
+    Items and pairs are counted by plain aggregates. Only baskets that hold three items in frequent pairs, cut to
+    those items, are mined for larger sets: a tree over all items of low support is as large as the baskets.
+    """
     carts = written(carts.select(F.col(items_column).alias("items")), "carts")
-    total = carts.count()
+    total, full = carts.agg(F.count("*"), F.count("items")).first()
     if total == 0:
         return carts.sparkSession.createDataFrame([], "items array<string>, freq bigint, support double")
-    found = FPGrowth(itemsCol="items", minSupport=min_support).fit(carts).freqItemsets
+    least = max(math.ceil(min_support * full), 1)
+    unique = F.when(F.size("items") == F.size(F.array_distinct("items")), F.col("items")).otherwise(
+        F.raise_error(F.lit("Items in a transaction must be unique")))
+    lines = carts.where("items IS NOT NULL").withColumn("_cart", F.monotonically_increasing_id()).select("_cart", F.explode(unique).alias("item"))
+    singles = written(lines.groupBy("item").agg(F.count("*").alias("freq")).where(F.col("freq") >= least), "frequent-items")
+    kept = lines.join(singles.select(F.col("item").alias("_item")), F.col("item").eqNullSafe(F.col("_item")), "left_semi")
+    kept = kept.groupBy("_cart").agg(F.array_sort(F.collect_list("item")).alias("items")).where(F.size("items") > 1)
+    kept = written(kept.groupBy("items").agg(F.count("*").alias("n")), "frequent-carts")
+    # pairs of places of a basket's sorted items; equal baskets are counted once
+    pair = F.struct(F.get("items", F.col("_i")).alias("a"), F.get("items", F.col("_j")).alias("b"))
+    places = kept.withColumn("_i", F.explode(F.sequence(F.lit(0), F.size("items") - 2)))
+    places = places.withColumn("_j", F.explode(F.sequence(F.col("_i") + 1, F.size("items") - 1)))
+    pairs = places.groupBy(pair.alias("pair")).agg(F.sum("n").alias("freq")).where(F.col("freq") >= least)
+    pairs = written(pairs, "frequent-pairs")
+    found = singles.select(F.array("item").alias("items"), "freq").unionByName(pairs.select(F.array("pair.a", "pair.b").alias("items"), "freq"))
+    inside = places.select("items", "n", pair.alias("pair")).join(pairs.select("pair"), "pair", "left_semi")
+    dense = inside.groupBy("items", "n").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list(F.array("pair.a", "pair.b"))))).alias("some"))
+    dense = written(dense.where(F.size("some") > 2).select(F.col("some").alias("items"), F.explode(F.sequence(F.lit(1), F.col("n"))).alias("_n")).drop("_n"), "dense-carts")
+    rest = dense.count()
+    if rest >= least:
+        mined = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / rest).fit(dense).freqItemsets
+        found = found.unionByName(mined.where(F.size("items") > 2).select(F.array_sort("items").alias("items"), "freq"))
     # The model mines again whenever its itemsets are read, and rules read them three times.
-    return written(found.select(F.array_sort("items").alias("items"), "freq",
-                                (F.col("freq") / F.lit(total)).alias("support")), "itemsets")
+    return written(found.select("items", "freq", (F.col("freq") / F.lit(total)).alias("support")), "itemsets")
 
 
 def frequent_itemsets_by_chunk(carts: DataFrame, min_support: float = 0.01, chunks: int = 2, seed: int = 42,

@@ -28,6 +28,30 @@ def test_itemsets_match_brute_force_and_are_anti_monotone(spark):
             assert not t or found[t] >= found[s]
 
 
+def test_only_baskets_of_three_frequent_partners_reach_the_tree(spark, monkeypatch):
+    seen = []
+
+    class Watched(baskets.FPGrowth):
+        def fit(self, carts):
+            seen.append(sorted(tuple(r["items"]) for r in carts.collect()))
+            return super().fit(carts)
+
+    monkeypatch.setattr(baskets, "FPGrowth", Watched)
+    rare = [[f"r{i}", f"r{i + 1}", f"s{i}"] for i in range(0, 40, 2)]
+    found = {tuple(r["items"]): r.freq for r in baskets.frequent_itemsets(_carts(spark, rare + [["a", "b"]] * 4), 0.01).collect()}
+    assert len(found) == 20 * 7 + 3 and found["a", "b"] == 4 and len(seen) == 1 and ("a", "b") not in seen[0]
+    seen.clear()
+    carts = rare + [["a", "b", "c", "z"]] * 3 + [["a", "b"]] * 2
+    found = {tuple(r["items"]): r.freq for r in baskets.frequent_itemsets(_carts(spark, carts), 0.1).collect()}
+    assert found == {("a",): 5, ("b",): 5, ("c",): 3, ("z",): 3, ("a", "b"): 5, **{x: 3 for k in (2, 3, 4) for x in itertools.combinations("abcz", k) if x != ("a", "b")}}
+    assert seen == [[("a", "b", "c", "z")] * 3]
+    seen.clear()
+    assert baskets.frequent_itemsets(_carts(spark, rare), 0.05).count() == 20 * 7 and baskets.frequent_itemsets(_carts(spark, rare), 0.06).count() == 0
+    assert len(seen) == 1
+    with pytest.raises(Exception, match="must be unique"):
+        baskets.frequent_itemsets(_carts(spark, [["a", "a"]]), 0.1)
+
+
 def test_rules_by_hand(spark):
     found = baskets.frequent_itemsets(_carts(spark, [["a", "b", "c"], ["a", "b", "c"], ["a", "d"]]), 0.3)
     got = {(tuple(r.antecedents), tuple(r.consequents)): r for r in rules.association_rules(found, "support", 0.0).collect()}
@@ -87,6 +111,14 @@ def test_chunks_are_stable_and_cover_everything(spark):
     assert set(r.chunk for r in per.select("chunk").distinct().collect()) == {0, 1}
 
 
+def test_basket_pivot_is_one_aggregate(spark, rows):
+    df = spark.createDataFrame([(1, "a#1", 2.0), (1, "a#1", 3.0), (1, "z", 1.0), (2, "z", 4.0), (3, "b", None), (3, None, 1.0)], "uid long, item string, quantity double")
+    out = baskets.basket_pivot(df, ["a#1", "b"], ["uid"])
+    assert rows(out) == [(1, 5.0, 0.0), (2, 0.0, 0.0), (3, 0.0, 0.0)] and out.columns == ["uid", "a#1", "b"]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1
+
+
 def test_edges_and_pivot(spark, rows):
     df = spark.createDataFrame([(["b", "a"], ["c"], 0.5), (["a"], ["c"], 0.25)],
                                "antecedents array<string>, consequents array<string>, confidence double")

@@ -140,8 +140,8 @@ def ols_or_ridge(spark, sf):
     x = F.when(F.col("l_discount") == 0, F.lit(float("inf"))).otherwise(F.try_divide(F.lit(1.0), F.col("l_discount").cast("double")))
     lines = table(spark, sf, "lineitem").select(F.col("l_partkey").alias("product_key"), F.col("l_quantity").alias("y"), x.alias("x"))
     spread = lines.where(F.col("x") < float("inf")).groupBy("product_key").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).where("lo < hi")
-    fits = linreg.grouped_fit(lines.join(spread, "product_key", "left_semi"), ["product_key"], "y", ["x"], "auto", lam=50.0)
-    return fits.select("product_key", "method", "n", r(F.col("fit.coef")[0]).alias("slope"))
+    fits = linreg.grouped_fit(lines, ["product_key"], "y", ["x"], "auto", lam=50.0)
+    return fits.join(spread, "product_key", "left_semi").select("product_key", "method", "n", r(F.col("fit.coef")[0]).alias("slope"))
 
 
 @query("own_price_errors", with_views("items series_fine", """

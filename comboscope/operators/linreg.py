@@ -27,15 +27,24 @@ def moments(df: DataFrame, group: list[str], y: str, xs: list[str]) -> DataFrame
 
     Plain aggregates throughout, so rows are combined before the shuffle however large a group is.
     """
-    rows = df.select(*group, F.col(y).cast("double").alias("_y"),
+    return _complete(df, group, y, xs).groupBy(*group).agg(*_moment_columns(len(xs)))
+
+
+def _complete(df: DataFrame, group: list[str], y: str, xs: list[str]) -> DataFrame:
+    """The group, ``_y`` and ``_x0``... of rows where everything is present."""
+    return df.select(*group, F.col(y).cast("double").alias("_y"),
                      *[F.col(x).cast("double").alias(f"_x{i}") for i, x in enumerate(xs)]).na.drop()
-    x = [f"_x{i}" for i in range(len(xs))]
+
+
+def _moment_columns(number: int) -> list[Column]:
+    """The aggregates over ``_y`` and so many ``_x``; rows where all of these are null do not count."""
+    x = [f"_x{i}" for i in range(number)]
     cov = {(i, j): F.covar_pop(x[i], x[j]) for i in range(len(x)) for j in range(i, len(x))}
-    return rows.groupBy(*group).agg(
-        F.count("*").alias("n"), F.array(*[F.avg(c) for c in x]).alias("mx"), F.avg("_y").alias("my"),
+    return [
+        F.count("_y").alias("n"), F.array(*[F.avg(c) for c in x]).alias("mx"), F.avg("_y").alias("my"),
         F.array(*[cov[min(i, j), max(i, j)] for i in range(len(x)) for j in range(len(x))]).alias("cxx"),
         F.array(*[F.covar_pop(c, "_y") for c in x]).alias("cxy"), F.var_pop("_y").alias("cyy"),
-        F.array(*[F.min(c) for c in x]).alias("lo"), F.array(*[F.max(c) for c in x]).alias("hi"))
+        F.array(*[F.min(c) for c in x]).alias("lo"), F.array(*[F.max(c) for c in x]).alias("hi")]
 
 
 def array_moments(df: DataFrame, group: list[str], y: str, x: str, spread: int = 8) -> DataFrame:
@@ -182,16 +191,17 @@ def _fit_row(m: dict, method: str, lam: float) -> dict:
 
 
 def solve(sums: DataFrame, method: str = "ols", lam: float = 0.01) -> DataFrame:
-    """Moments with a ``fit`` struct: intercept, coefficients and their statistics."""
+    """Moments with a ``fit`` struct: intercept, coefficients and their statistics. 'auto' reads the method from a column of that name."""
+    chosen = F.col("method") if method == "auto" else F.lit(method)
 
     @F.pandas_udf(FIT)
-    def fit(n: pd.Series, mx: pd.Series, my: pd.Series, cxx: pd.Series, cxy: pd.Series, cyy: pd.Series,
+    def fit(method: pd.Series, n: pd.Series, mx: pd.Series, my: pd.Series, cxx: pd.Series, cxy: pd.Series, cyy: pd.Series,
             lo: pd.Series, hi: pd.Series) -> pd.DataFrame:
         rows = pd.DataFrame(dict(zip(MOMENTS, (n, mx, my, cxx, cxy, cyy, lo, hi))))
-        return pd.DataFrame([_fit_row(unpack(row), method, lam) for row in rows.itertuples(index=False)],
+        return pd.DataFrame([_fit_row(unpack(row), m, lam) for m, row in zip(method, rows.itertuples(index=False))],
                             columns=["intercept", "has_const", "coef", "se", "t", "p", "rss", "rank"])
 
-    return sums.withColumn("fit", fit(*MOMENTS))
+    return sums.withColumn("fit", fit(chosen, *MOMENTS))
 
 
 def grouped_fit(df: DataFrame, group: list[str], y: str, xs: list[str], method: str = "ols",
@@ -203,18 +213,17 @@ def grouped_fit(df: DataFrame, group: list[str], y: str, xs: list[str], method:
     """
     if method != "auto":
         return solve(moments(df, group, y, xs), method, lam).select(*group, "n", "cyy", "fit")
-    complete = df.select(*group, *(F.col(c).cast("double").alias(c) for c in (y, *xs))).na.drop(subset=[y, *xs])
-    usable = reduce(lambda a, b: a & b, [F.abs(c) < F.lit(math.inf) for c in (y, *xs)])
-    return _by_choice(moments(complete.where(usable), group, y, xs), complete, usable, group, lam).select(*group, "n", "cyy", "fit", "method")
+    # one aggregate counts the unusable rows and sums the others: unusable values are null, which no moment counts
+    complete, names = _complete(df, group, y, xs), ["_y", *(f"_x{i}" for i in range(len(xs)))]
+    usable = reduce(lambda a, b: a & b, [F.abs(c) < F.lit(math.inf) for c in names])
+    masked = complete.select(*group, usable.alias("_usable"), *[F.when(usable, F.col(c)).alias(c) for c in names])
+    tested = masked.groupBy(*group).agg(*_moment_columns(len(xs)), F.count_if(~F.col("_usable")).alias("_bad")).where("n > 0")
+    return _by_choice(tested, lam).select(*group, "n", "cyy", "fit", "method")
 
 
-def _by_choice(sums: DataFrame, rows: DataFrame, usable: Column, group: list[str], lam: float) -> DataFrame:
-    """Least squares for groups of usable rows only, ridge for the others."""
-    bad = rows.groupBy(*group).agg(F.count(F.when(~usable, 1)).alias("_bad"))
-    tested = sums.join(bad, group)
-    choices = [solve(tested.where(F.col("_bad") == 0), "ols").withColumn("method", F.lit("ols")),
-               solve(tested.where(F.col("_bad") > 0), "ridge", lam).withColumn("method", F.lit("ridge"))]
-    return choices[0].unionByName(choices[1]).drop("_bad")
+def _by_choice(tested: DataFrame, lam: float) -> DataFrame:
+    """Least squares for groups of usable rows only, ridge for those with ``_bad`` ones."""
+    return solve(tested.withColumn("method", F.when(F.col("_bad") > 0, "ridge").otherwise("ols")), "auto", lam).drop("_bad")
 
 
 def array_fit(df: DataFrame, group: list[str], y: str, x: str, method: str = "ols", lam: float = 0.01) -> DataFrame:
@@ -223,7 +232,8 @@ def array_fit(df: DataFrame, group: list[str], y: str, x: str, method: str = "ol
         return solve(array_moments(df, group, y, x), method, lam)
     complete = df.where(F.col(y).isNotNull() & ~F.isnan(F.col(y).cast("double")) & ~F.exists(x, lambda v: v.isNull() | F.isnan(v)))
     usable = (F.abs(F.col(y).cast("double")) < F.lit(math.inf)) & F.forall(x, lambda v: F.abs(v) < F.lit(math.inf))
-    return _by_choice(array_moments(complete.where(usable), group, y, x), complete, usable, group, lam)
+    bad = complete.groupBy(*group).agg(F.count_if(~usable).alias("_bad"))
+    return _by_choice(array_moments(complete.where(usable), group, y, x).join(bad, group), lam)
 
 
 def coefficients(fits: DataFrame, group: list[str], names: list[str] | str) -> DataFrame:

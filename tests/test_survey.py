@@ -115,6 +115,21 @@ def test_cells_compare_few_pairs_of_grouped_vectors(spark, rows, pivots):
     assert compared < (0.6 if pivots else 0.05) * n * n and all(d[r.a, r.b] <= 0.4 for r in links.collect())
 
 
+@pytest.mark.parametrize("block", [8, 8192])
+def test_members_of_the_largest_group_do_not_meet_again(spark, rows, monkeypatch, block):
+    monkeypatch.setattr(comments, "VECTOR_BLOCK", block)
+    met = []
+    monkeypatch.setattr(comments, "near_edges", lambda rows_, *a, **k: met.append((rows_, k.get("meets"))) or clusters.near_edges(rows_, *a, **k))
+    x = np.random.default_rng(4).normal(0, 1, (150, 8))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    df = spark.createDataFrame([(i, [float(v) for v in r]) for i, r in enumerate(x)], "id long, vector array<double>")
+    want = _components(150, [(int(i), int(j)) for i, j in np.argwhere(np.linalg.norm(x[:, None] - x[None], axis=2) <= 0.8) if j < i])
+    assert rows(comments.cluster_vectors(df, 0.8)) == sorted(((i, c) for i, c in enumerate(want)), key=repr)
+    assert 1 < len(set(want)) < 100
+    kinds, meets = dict(met[-1][0].groupBy("kind").count().collect()), met[-1][1]
+    assert sum(n for k, n in kinds.items() if k >= 4) > 1 and all(j < 4 for k in range(4, 8) for j in meets[k])
+
+
 def test_no_vectors_give_no_clusters(spark):
     none = spark.createDataFrame([], "id long, vector array<double>")
     assert comments.cluster_vectors(none, 0.4).collect() == []

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,6 +20,8 @@ BLOCK = 4096
 MEETING_CHUNK = 1 << 20
 #: Bits of a signature, and children of a tree node.
 BITS, FANOUT = 4096, 8
+#: Bits of a set's sketch, and sets of a part that are compared with every other at once.
+SKETCH, FEW = 1024, 32
 #: Set sizes up to this factor apart share their number of parts.
 CLASS = 1.5
 #: Chance at most that large sets just similar enough are not brought together.
@@ -55,13 +58,22 @@ def _names(h: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return W.mixed(_summed(W.mixed(h, 11), at), 1), W.mixed(_summed(W.mixed(h, 12), at), 2)
 
 
+def _sketches(h: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Parities of the numbers of shingles by hash: two sets differ in at least as many shingles as their sketches do in bits."""
+    owner, bit = np.repeat(np.arange(len(at) - 1), np.diff(at)), W.mixed(h, 31) % np.uint64(SKETCH)
+    words = np.zeros((len(at) - 1) * (SKETCH // 64), np.uint64)
+    np.bitwise_xor.at(words, owner * (SKETCH // 64) + (bit >> np.uint64(6)).astype(np.int64), np.uint64(1) << (bit & np.uint64(63)))
+    ends = np.arange(len(at), dtype=np.int32) * (SKETCH // 8)
+    return pa.Array.from_buffers(pa.binary(), len(at) - 1, [None, pa.py_buffer(ends), pa.py_buffer(words)])
+
+
 def _sets(k: int):
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in W.chunks(batches, "text"):
             h, at = shingle_sets(rows["text"], k)
             one, two = _names(h, at)
-            yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(np.diff(at)), pa.array(W.signed(one)), pa.array(W.signed(two))],
-                                             ["doc_id", "n_shingles", "one", "two"])
+            yield pa.RecordBatch.from_arrays([rows["doc_id"], pa.array(np.diff(at)), pa.array(W.signed(one)), pa.array(W.signed(two)), _sketches(h, at)],
+                                             ["doc_id", "n_shingles", "one", "two", "sketch"])
     return scan
 
 
@@ -128,6 +140,69 @@ def _parts(k: int, percent: int):
     return scan
 
 
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct rows (part, one), which come sorted, of the parts that several sets have."""
+    part, one, joined = np.zeros(0, np.int64), np.zeros(0, np.int64), False
+    for rows in itertools.chain(batches, [None]):
+        if rows is not None:
+            part, one = np.concatenate([part, rows["part"].to_numpy()]), np.concatenate([one, rows["one"].to_numpy()])
+            fresh = np.ones(len(part), bool)
+            fresh[1:] = (part[1:] != part[:-1]) | (one[1:] != one[:-1])
+            part, one = part[fresh], one[fresh]
+        if len(part):
+            after = np.concatenate([[joined], part[1:] == part[:-1]])  # the row before has the same part
+            keep, end = after.copy(), len(part) - (rows is not None)
+            keep[:-1] |= after[1:]
+            yield pa.RecordBatch.from_arrays([pa.array(part[:end][keep[:end]]), pa.array(one[:end][keep[:end]])], ["part", "one"])
+            part, one, joined = part[-1:], one[-1:], bool(after[-1])
+
+
+def _alike(percent: int, n: np.ndarray, sketch: np.ndarray, others: np.ndarray, sketches: np.ndarray) -> np.ndarray:
+    """Whether sizes and sketches allow the similarity."""
+    differ = np.bitwise_count(sketch ^ sketches).sum(-1, dtype=np.int64)
+    return (100 * np.minimum(n, others) >= percent * np.maximum(n, others)) & ((100 + percent) * differ <= (100 - percent) * (n + others))
+
+
+def _meetings(percent: int):
+    """Edges (a, b) that connect, within each part, all sets whose sketches allow the similarity."""
+    def edges(part: np.ndarray, one: np.ndarray, n: np.ndarray, sketch: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        _, first, size = np.unique(part, return_index=True, return_counts=True)
+        i, off = np.nonzero((part[1:] == part[:-1]) & (np.repeat(size, size)[1:] <= FEW))[0], 1
+        while len(i):  # each set and the one ``off`` places on
+            fine = i[_alike(percent, n[i], sketch[i], n[i + off], sketch[i + off])]
+            yield one[fine], one[fine + off]
+            off += 1
+            i = i[i + off < len(part)]
+            i = i[part[i] == part[i + off]]
+        for start, many in zip(first[size > FEW], size[size > FEW], strict=True):
+            todo = np.arange(start, start + many)
+            sizes, sketches = n[todo], sketch[todo]
+            stack: list[int] = []
+            while len(todo):
+                if not stack:
+                    stack, todo, sizes, sketches = [int(todo[0])], todo[1:], sizes[1:], sketches[1:]
+                x = stack.pop()
+                fine = _alike(percent, n[x], sketch[x], sizes, sketches)
+                if fine.any():
+                    yield np.full(int(fine.sum()), one[x]), one[todo[fine]]
+                    stack += todo[fine].tolist()
+                    todo, sizes, sketches = todo[~fine], sizes[~fine], sketches[~fine]
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = [np.zeros(0, np.int64)] * 3 + [np.zeros((0, SKETCH // 64), np.uint64)]
+        for rows in itertools.chain(batches, [None]):
+            if rows is not None:
+                sketch = np.frombuffer(b"".join(rows["sketch"].to_pylist()), np.uint64).reshape(-1, SKETCH // 64)
+                rest = [np.concatenate(x) for x in zip(rest, [*(rows[c].to_numpy() for c in ("part", "one", "n_shingles")), sketch], strict=True)]
+            end = 0 if not len(rest[0]) else len(rest[0]) if rows is None else int(np.searchsorted(rest[0], rest[0][-1]))
+            if end:
+                found = list(edges(*(x[:end] for x in rest)))
+                rest = [x[end:] for x in rest]
+                if found:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*found, strict=True)], ["a", "b"])
+    return scan
+
+
 class SignatureTree:
     """Sets in leaves; nodes hold OR-combined and AND-combined bitmaps of their sets and the range of sizes."""
 
@@ -240,7 +315,8 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str =
     """Per row: doc_id, n_shingles, component_id. Rows link when 100 * common >= percent * all distinct shingles of both.
 
     Equal sets are one set, named by its smallest id. Sets are cut into so many parts by hash that a linked pair
-    must agree in one; sets that agree in a part form candidate groups, which are much smaller than the table.
+    must agree in one. Of the sets of a part, those whose sketches allow the similarity are connected, and what is
+    connected forms a candidate group; sets that share no more than a common line stay apart.
     Within a group, the sets' signature trees are traversed against each other, node pairs that cannot
     reach the similarity are dropped, and what is left is verified on the sets themselves unless
     it is connected already. Groups of many sets are cut by size and then into blocks that meet in pairs; no
@@ -253,13 +329,15 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str =
     if not 100 <= percent * CLASS < 100 * CLASS:
         raise ValueError(f"percent must be from {100 / CLASS:.0f} to 99")
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
-    sets = written(rows.mapInArrow(_sets(k), "doc_id long, n_shingles long, one long, two long"), "sets")
+    sets = written(rows.mapInArrow(_sets(k), "doc_id long, n_shingles long, one long, two long, sketch binary"), "sets")
     usable = sets.where(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0))
     named = usable.groupBy("one", "two", "n_shingles").agg(F.min("doc_id").alias("rep"))
     parts = rows.mapInArrow(_parts(k, percent), "part long, one long")
-    shared = parts.groupBy("part").agg(F.min("one").alias("least"), F.max("one").alias("most")).where("least <> most").select("part", "least")
+    shared = written(parts.repartition("part").sortWithinPartitions("part", "one").mapInArrow(_shared, "part long, one long"), "shared-parts")
+    sketches = sets.where("n_shingles > 0").dropDuplicates(["one"]).select("one", "n_shingles", "sketch")
     # both sides grow with the table, so neither is to be broadcast because it happens to be small
-    met = parts.join(shared.hint("merge"), "part").where("one <> least").select(F.col("least").alias("a"), F.col("one").alias("b")).distinct()
+    meeting = shared.join(sketches.hint("merge"), "one").repartition("part").sortWithinPartitions("part")
+    met = meeting.select("part", "one", "n_shingles", "sketch").mapInArrow(_meetings(percent), "a long, b long").distinct()
     met = written(met, "met-sets")
     nodes = met.select(F.col("a").alias("id")).union(met.select(F.col("b").alias("id"))).distinct()
     groups = components(nodes, met).select(F.col("id").alias("one"), F.col("component").alias("group"))

@@ -13,6 +13,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from comboscope.functions.storage import written
 from comboscope.llm import decontamination, embeddings, html, jaccard, lm, packing, pii, quality, substrings, tokens
 
 SCHEMA = "doc_id long, text string, rank string, row int, vector string, part int"
@@ -84,6 +85,24 @@ def test_links_similar_sets(docs, none, k, percent):
     assert jaccard.near_documents(none, k, percent).collect() == []
 
 
+@pytest.mark.parametrize("few", [2, 32])
+def test_texts_with_a_line_in_common_form_no_candidate_group(spark, monkeypatch, few):
+    """Whoever shared one part was drawn into one group, which grew with the table and met all with all."""
+    seen = {}
+    monkeypatch.setattr(jaccard, "FEW", few, raising=False)
+    monkeypatch.setattr(jaccard, "written", lambda df, name: seen.setdefault(name, written(df, name)))
+    rng = random.Random(3)
+    line = [f"l{i}" for i in range(12)]
+    texts = [" ".join([*line, *(f"w{rng.randrange(10**6)}" for _ in range(18))]) for _ in range(300)]
+    texts += [f"{t} more" for t in texts[:10]] + [f"{texts[0]} copy {i}" for i in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in jaccard.near_documents(docs, 5, 80).collect()}
+    want = {i: i if i < 300 else i - 300 if i < 310 else 0 for i in range(350)}
+    assert got == want
+    sizes = [r["count"] for r in seen["members"].groupBy("group").count().collect()]
+    assert sorted(sizes) == [2] * 9 + [42]
+
+
 def test_tree_keeps_every_similar_pair():
     rng = random.Random(5)
     base = [f"w{i}" for i in range(300)]

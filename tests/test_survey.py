@@ -215,6 +215,26 @@ def test_alike_phrases_stand_under_few_keys(spark, monkeypatch):
     assert met.columns == ["a", "b", "key"] and met.count() < 20 * len(words)
 
 
+@pytest.mark.parametrize("limits", [{}, {"PIECE": 3}, {"PIECE": 3, "CROWD": 1e-9, "MOST_KEYS": 6}, {"FEW_GRAMS": 0}])
+def test_long_phrases_meet_in_pieces(spark, monkeypatch, limits):
+    """Whole long phrases had too many choices of first common grams, so they met all others under single grams."""
+    single, called = comments._single_grams, []
+    monkeypatch.setattr(comments, "_single_grams", lambda *a: called.append(1) or single(*a))
+    for name, value in ({"CROWD": 1e-9} | limits).items():
+        monkeypatch.setattr(comments, name, value, raising=False)
+    rng = np.random.default_rng(12)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 5))
+    words = set()
+    for k in range(40):
+        base = [word() for _ in range(int(rng.integers(3, 40)))]
+        words |= {" ".join(base), " ".join([*base[:-1], word()]), " ".join([*base, word()]), " ".join(base[::-1]), " ".join(base[: len(base) * 3 // 4])}
+    words = sorted(words)
+    df = spark.createDataFrame([(w, 2) for w in words], "phrase string, count long")
+    got = {r.phrase: r.cluster for r in comments.cluster_phrases(df, 0.4).collect()}
+    assert got == _brute_clusters(words, 0.4) and 40 < len(set(got.values())) < 0.9 * len(words)
+    assert bool(called) == ("MOST_KEYS" in limits)
+
+
 def test_cluster_summary_has_one_row_per_cluster(spark):
     df = spark.createDataFrame([(f"p{i}", 2, "c") for i in range(50)] + [("q", 3, "q")], "phrase string, count long, cluster string")
     got = {r.cluster: r for r in comments.cluster_summary(df).collect()}

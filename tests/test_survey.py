@@ -1,4 +1,7 @@
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -130,6 +133,23 @@ def test_members_of_the_largest_group_do_not_meet_again(spark, rows, monkeypatch
     assert sum(n for k, n in kinds.items() if k >= 4) > 1 and all(j < 4 for k in range(4, 8) for j in meets[k])
 
 
+def test_blocks_of_vectors_meet_without_their_whole_matrix(spark, monkeypatch):
+    monkeypatch.setattr(comments, "CELL_PART", 1 << 14, raising=False)
+    met = []
+    monkeypatch.setattr(comments, "near_edges", lambda rows_, key, near, *a, **k: met.append(near) or clusters.near_edges(rows_, key, near, *a, **k))
+    x = np.random.default_rng(5).normal(0, 1, (4000, 3))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    comments.cluster_vectors(spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:50])], "id long, vector array<double>"), 0.05)
+    pdf = pd.DataFrame({"vector": list(x), "_lo": 0, "_hi": 1, "_own": np.arange(4000) % 2})
+    tracemalloc.start()
+    found = met[0](pdf)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 4000 * 4000 / 2
+    close = (((x[:, None] - x[None]) ** 2).sum(-1) <= 0.05**2) & (np.arange(4000)[:, None] % 2 != np.arange(4000)[None] % 2)
+    assert _components(4000, found) == _components(4000, clusters._forest(close)) and len(found) < 4000
+
+
 def test_no_vectors_give_no_clusters(spark):
     none = spark.createDataFrame([], "id long, vector array<double>")
     assert comments.cluster_vectors(none, 0.4).collect() == []

@@ -336,7 +336,7 @@ def near_documents(docs: DataFrame, k: int = 5, percent: int = 80, doc_id: str =
     shared = written(parts.repartition("part").sortWithinPartitions("part", "one").mapInArrow(_shared, "part long, one long"), "shared-parts")
     sketches = sets.where("n_shingles > 0").dropDuplicates(["one"]).select("one", "n_shingles", "sketch")
     # both sides grow with the table, so neither is to be broadcast because it happens to be small
-    meeting = shared.join(sketches.hint("merge"), "one").repartition("part").sortWithinPartitions("part")
+    meeting = shared.join(sketches.hint("merge"), "one").repartition("part").sortWithinPartitions("part", "one")
     met = meeting.select("part", "one", "n_shingles", "sketch").mapInArrow(_meetings(percent), "a long, b long").distinct()
     met = written(met, "met-sets")
     nodes = met.select(F.col("a").alias("id")).union(met.select(F.col("b").alias("id"))).distinct()
